@@ -29,18 +29,21 @@ def with_previous(
     group: Sequence[str],
     order: Sequence[str],
     previous: dict[str, str],
-    rows_per_task: int = ROWS_PER_TASK,
+    runs: int | None = None,
 ) -> DataFrame:
-    """Add ``previous[c]``: the value of ``c`` in the row before, within ``group``.
+    """Add a column ``previous[c]``: the value of ``c`` in the row before, within ``group``.
 
-    ``order`` must be a total order of the rows of a group.
+    ``order`` must be a total order of the rows of a group. ``runs`` asks for that
+    many runs outright; without it the largest group decides.
     """
+    if runs is not None:
+        return _with_previous_by_runs(rows, group, order, previous, runs)
     sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
     largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= rows_per_task:
+    if (largest or 0) <= ROWS_PER_TASK:
         window = Window.partitionBy(*group).orderBy(*_ascending(order))
         return rows.withColumns({name: F.lag(c).over(window) for c, name in previous.items()})
-    return _with_previous_by_runs(rows, group, order, previous, total // rows_per_task + 1)
+    return _with_previous_by_runs(rows, group, order, previous, total // ROWS_PER_TASK + 1)
 
 
 def _with_previous_by_runs(

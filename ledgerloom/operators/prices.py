@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import r2
-from ledgerloom.operators.ordered_lag import ROWS_PER_TASK, with_previous
+from ledgerloom.operators.ordered_lag import with_previous
 
 PRODUCT = ["detalle", "unidad_medida", "codigo_cabys", "impuesto_tarifa"]
 # The line number is text here too: "10" comes before "2". The price comes last to
@@ -66,7 +66,7 @@ def latest_price_list(history: DataFrame) -> DataFrame:
     )
 
 
-def price_changes(history: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def price_changes(history: DataFrame, runs: int | None = None) -> DataFrame:
     """Each line whose price differs from the line before it, per provider and product.
 
     Copies of a line differ from each other in nothing this table shows and can
@@ -79,7 +79,7 @@ def price_changes(history: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Dat
         group,
         TIMELINE,
         {"precio_unitario": "precio_anterior", "fecha_emision": "fecha_anterior"},
-        rows_per_task,
+        runs,
     )
     now, before = F.col("precio_unitario"), F.col("precio_anterior")
     percent = F.when(before != 0, (now - before) / before * 100)

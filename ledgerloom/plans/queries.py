@@ -308,7 +308,7 @@ def price_changes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def price_changes_by_runs(spark: SparkSession, folder: str) -> DataFrame:
     """The same table by the plan for products too big for one task."""
-    return prices.price_changes(Tables(spark, folder).history, rows_per_task=0)
+    return prices.price_changes(Tables(spark, folder).history, runs=32)
 
 
 # -- dashboard ---------------------------------------------------------------
@@ -492,7 +492,10 @@ def run_status_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _provider_changes(tables: Tables) -> tuple[DataFrame, DataFrame]:
-    original = tables.providers
+    """The stored provider table and what a reviewer changed in it."""
+    store = tables.store("providers")
+    store.publish("providers", tables.providers)
+    original = store.read("providers")
     return original, edits.changed_rows(original, tables.edited_providers(original), ["provider_id"])
 
 
