@@ -283,7 +283,7 @@ where {condition} and cast(NumeroLinea as int) % 2 = 1"""
 
 _EVENTS = """
 log as (
-  select event_id, ts as at, 'run_' || user_id as run_id, props, cast(regexp_extract(props, '[0-9]+') as int) as k,
+  select event_id, ts as moment, 'run_' || user_id as run_id, props, cast(regexp_extract(props, '[0-9]+') as int) as k,
          case event_type when 'signup' then 'running' when 'purchase' then 'success'
                          when 'error' then 'failed' when 'click' then 'selected' end as event
   from events where event_type in ('signup', 'purchase', 'error', 'click'))"""
@@ -293,9 +293,9 @@ def _runs(log: str = "log") -> str:
     ended = "filter (where event in ('success', 'failed'))"
     return f"""
 last_event as (
-  select run_id, min(at) filter (where event = 'running') as started_at, arg_max(event, at) {ended} as outcome,
-         max(at) {ended} as finished_at, max(at) filter (where event in ('success', 'selected')) as chosen_at,
-         arg_max(k, at) {ended} as k, arg_max(props, at) {ended} as props
+  select run_id, min(moment) filter (where event = 'running') as started_at, arg_max(event, moment) {ended} as outcome,
+         max(moment) {ended} as finished_at, max(moment) filter (where event in ('success', 'selected')) as chosen_at,
+         arg_max(k, moment) {ended} as k, arg_max(props, moment) {ended} as props
   from {log} group by run_id),
 runs as (
   select run_id, if(started_at is null, null, 'client') as client_id,
@@ -538,7 +538,7 @@ first_rows as (
                 *run_log,
                 """
 longer as (
-  select at, run_id, event, k, props from log
+  select moment, run_id, event, k, props from log
   union all
   select timestamp '2100-01-01', (select run_id from runs where status = 'success'
                                   order by started_at nulls last, run_id limit 1), 'selected', null, null)""",
