@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A full date, with "-" or "/" between its parts, then optionally a time to the
-# minute or finer and an offset. The cast alone would also read "2026", "now" or
-# a time given only to the hour.
+# minute or finer (group 1), and an offset that is left out. The cast alone would
+# also read "2026", "now" or a time given only to the hour.
 _DATE_TIME = (
-    r"^\s*\d{4}(?:-\d{1,2}-|/\d{1,2}/)\d{1,2}"
-    r"(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?)?)?$"
+    r"^\s*(\d{4}(?:-\d{1,2}-|/\d{1,2}/)\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?)"
+    r"(?:(?<=[:.]\d{1,9})\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?$"
 )
 
 
@@ -20,4 +20,4 @@ def to_timestamp(text: Column) -> Column:
     An offset is dropped and the written clock time kept, so that a late-evening
     document stays on its own day whatever the session time zone is.
     """
-    return F.when(text.rlike(_DATE_TIME), F.translate(text, "/", "-").try_cast("timestamp_ntz"))
+    return F.replace(F.regexp_extract(text, _DATE_TIME, 1), F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")

@@ -14,6 +14,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 import __spark_entry__ as entry
+from ledgerloom.session import local_session
 
 TABLES = [
     "region",
@@ -33,20 +34,6 @@ TABLES = [
 ]
 
 
-def session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .appName("ledgerloom-checks")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
-
-
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for name in TABLES:
@@ -79,7 +66,7 @@ def compare(spark: SparkSession, folder: str, name: str) -> str | None:
 
 def main() -> None:
     folder, *names = sys.argv[1:]
-    spark = session()
+    spark = local_session(name="ledgerloom-comparison")
     for name in names or list(entry.queries()):
         if name not in entry.oracle_sql():
             print(f"NONE  {name}")
