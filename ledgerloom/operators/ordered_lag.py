@@ -2,9 +2,10 @@
 
 A window keeps each group in one task. That is the plan to want while every group
 fits a task, and the wrong one when a single product holds a third of all rows.
-The largest group is therefore counted first, and past a limit the rows are cut
-into consecutive runs by range: a run is one task's work, and only the last row
-of each run meets the next run of its group.
+The largest group is therefore counted first, which shuffles one row per group and
+task. Past a limit, copies are folded and the rows are cut into consecutive runs
+by range: a run is one task's work, and only the last row of each run meets the
+next run of its group.
 """
 
 from __future__ import annotations
@@ -33,17 +34,18 @@ def with_previous(
 ) -> DataFrame:
     """Add a column ``previous[c]``: the value of ``c`` in the row before, within ``group``.
 
-    ``order`` must be a total order of the rows of a group. ``runs`` asks for that
+    Rows that agree in ``group`` and ``order`` must agree altogether; such copies
+    stand next to each other, and may come back as one row. ``runs`` asks for that
     many runs outright; without it the largest group decides.
     """
-    if runs is not None:
-        return _with_previous_by_runs(rows, group, order, previous, runs)
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    if (largest or 0) <= ROWS_PER_TASK:
-        window = Window.partitionBy(*group).orderBy(*_ascending(order))
-        return rows.withColumns({name: F.lag(c).over(window) for c, name in previous.items()})
-    return _with_previous_by_runs(rows, group, order, previous, total // ROWS_PER_TASK + 1)
+    if runs is None:
+        sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        if (largest or 0) <= ROWS_PER_TASK:
+            window = Window.partitionBy(*group).orderBy(*_ascending(order))
+            return rows.withColumns({name: F.lag(c).over(window) for c, name in previous.items()})
+        runs = total // ROWS_PER_TASK + 1
+    return _with_previous_by_runs(rows.distinct(), group, order, previous, runs)
 
 
 def _with_previous_by_runs(

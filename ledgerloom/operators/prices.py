@@ -69,11 +69,10 @@ def latest_price_list(history: DataFrame) -> DataFrame:
 def price_changes(history: DataFrame, runs: int | None = None) -> DataFrame:
     """Each line whose price differs from the line before it, per provider and product.
 
-    Copies of a line differ from each other in nothing this table shows and can
-    only repeat a price, so they are folded together before anything is sorted.
+    Copies of a line can only repeat a price, so it does not matter how many there are.
     """
     group = ["proveedor", *PRODUCT]
-    points = history.select(*group, *TIMELINE).distinct()
+    points = history.select(*group, *TIMELINE)
     sequenced = with_previous(
         points,
         group,

@@ -354,8 +354,8 @@ def provider_product_prices(spark: SparkSession, folder: str) -> DataFrame:
 def provider_product_prices_of_one(spark: SparkSession, folder: str) -> DataFrame:
     """For the provider with the smallest id, found in the data."""
     tables = Tables(spark, folder)
+    smallest = providers.with_provider_id(tables.lines).agg(F.min("provider_id")).first()[0]
     products = providers.provider_products(tables.lines)
-    smallest = products.agg(F.min("provider_id")).first()[0]
     return dashboard.provider_product_prices(products, tables.history, smallest)
 
 

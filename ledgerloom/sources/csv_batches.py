@@ -58,24 +58,30 @@ def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     """
     check_endings(paths, (".csv",), "CSV file")
     # The content column is never selected, so this lists files and reads none.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(list(paths)).select("path")
-    layouts = (
-        files.repartition(spark.sparkContext.defaultParallelism)
-        .mapInPandas(_headers, "path string, header array<string>")
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"), F.min("path").alias("first"))
-        .orderBy("first")
-        .collect()
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(list(paths)).select("path")
+    headers = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(
+        _headers, "path string, header array<string>"
     )
-    parts = [_read_layout(spark, row.header, row.paths, multi_line) for row in layouts if row.header]
-    if not parts:
+    layouts = headers.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").collect()
+    layouts = [row.header for row in layouts if row.header]
+    if not layouts:
         raise ValueError("The CSV files hold no header")
+    if len(layouts) == 1:
+        return _read_layout(spark, layouts[0], list(paths), multi_line).na.fill("")
+    parts = []
+    for header in layouts:
+        # File names only, as Spark's own file listing holds them.
+        same = headers.filter(F.col("header") == F.array(*[F.lit(c) for c in header]))
+        found = [row.path for row in same.select("path").collect()]
+        parts.append(_read_layout(spark, header, found, multi_line))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
 
 
 def _read_layout(spark: SparkSession, header: list[str], paths: list[str], multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    frame = spark.read.csv(paths, schema=schema, header=True, multiLine=multi_line, escape='"', encoding="UTF-8")
+    frame = spark.read.csv(
+        paths, schema=schema, header=True, multiLine=multi_line, escape='"', encoding="UTF-8", pathGlobFilter="*.[cC][sS][vV]"
+    )
     if has_column(frame, "SourceFile"):
         return frame
     return frame.select(F.col("_metadata.file_name").alias("SourceFile"), *[quoted(c) for c in header])

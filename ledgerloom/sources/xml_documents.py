@@ -102,7 +102,7 @@ def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     ``xml`` is null where the bytes are no text in the encoding they claim.
     """
     check_endings(paths, (".xml",), "XML file")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{xml,XML}").load(list(paths))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][mM][lL]").load(list(paths))
     return decoded_documents(files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content"))
 
 

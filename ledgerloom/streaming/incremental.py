@@ -26,7 +26,7 @@ def start_incremental_load(
     files = (
         workspace.spark.readStream.format("binaryFile")
         .schema(_FILES)
-        .option("pathGlobFilter", "*.xml")
+        .option("pathGlobFilter", "*.[xX][mM][lL]")
         .load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
     )
@@ -34,9 +34,11 @@ def start_incremental_load(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{stream_name}-{batch_id:08d}"
+        batch.persist()  # parsed once for both histories
         for staging, kind in zip(workspace.histories, DOCUMENT_TYPES.values(), strict=True):
             rows = batch.filter(F.col("TipoDocumento") == kind)
             workspace.histories[staging].append(rows, run_id, replace_run=True)
+        batch.unpersist()
 
     return (
         lines.writeStream.foreachBatch(load)

@@ -57,7 +57,7 @@ def test_csv_batch_unites_layouts_by_name(spark, tmp_path):
 
 
 def test_csv_byte_order_mark(spark, tmp_path):
-    paths = text_of(tmp_path, a__csv=b"\xef\xbb\xbfa,b\n1,2\n")
+    paths = text_of(tmp_path, a__CSV=b"\xef\xbb\xbfa,b\n1,2\n")
     frame = csv_batches.read_csv_batch(spark, paths)
     assert [tuple(r) for r in frame.select("a", "b").collect()] == [("1", "2")]
 
