@@ -8,6 +8,7 @@ the shared one.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,31 +49,31 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         return star_schema.raw_invoice_lines(self.spark, self.folder)
 
-    @property
+    @cached_property
     def raw_notes(self) -> DataFrame:
         return star_schema.raw_credit_note_lines(self.spark, self.folder)
 
-    @property
+    @cached_property
     def lines(self) -> DataFrame:
         return clean.clean_invoice_lines(self.raw, AS_OF)
 
-    @property
+    @cached_property
     def notes(self) -> DataFrame:
         return clean.clean_credit_note_lines(self.raw_notes)
 
-    @property
+    @cached_property
     def providers(self) -> DataFrame:
         return providers.providers(self.lines, self.notes)
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
         return prices.price_history(self.lines)
 
-    @property
+    @cached_property
     def totals(self) -> DataFrame:
         lines, notes = self.lines, self.notes
         return dashboard.provider_totals(
@@ -82,7 +83,7 @@ class Tables:
             providers.provider_credit_notes(notes),
         )
 
-    @property
+    @cached_property
     def runs(self) -> DataFrame:
         return runs.run_states(star_schema.run_events(self.spark, self.folder))
 

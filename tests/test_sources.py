@@ -304,6 +304,34 @@ def test_pipeline_from_files_to_edits(spark, tmp_path):
     assert workspace.table("source_data_history").count() == 5
 
 
+def test_loading_without_a_run(spark, tmp_path):
+    workspace = Workspace(spark, str(tmp_path / "client"))
+    assert workspace.table_names() == []
+    invoice, note, plain = text_of(
+        tmp_path,
+        a__xml=xml_of(INVOICE_ROWS[:2]),
+        n__xml=xml_of(NOTE_ROWS, root="NotaCreditoElectronica"),
+        p__csv="a,b\n1,2\n",
+    )
+    assert workspace.load_dataset(plain, "plain") == 1
+    assert workspace.load_invoice_xmls([invoice]).final_rows_loaded == 2
+    assert workspace.load_credit_note_xmls([note]).total_rows_uploaded == 1
+    assert workspace.table_names() == ["credit_note_lines", "credit_notes", "plain", "source_data"]
+    counts = workspace.build_derived_tables(as_of=AS_OF)
+    assert (counts["clean_invoice_lines"], counts["provider_credit_notes"]) == (2, 1)
+    with pytest.raises(ValueError):
+        workspace.load_credit_note_xmls([invoice])
+    with pytest.raises(ValueError):
+        workspace.load_dataset(plain, "plain", replace=False)
+    header = ",".join(PREPARED_COLUMNS)
+    values = ",".join(INVOICE_ROWS[2][c] for c in PREPARED_COLUMNS)
+    (prepared,) = text_of(tmp_path, q__csv=f"{header}\n{values}\n{values}\n")
+    assert workspace.load_source_data_files([prepared]).final_rows_loaded == 2
+    assert workspace.load_invoice_csvs([prepared, plain]).final_rows_loaded == 3
+    # Lines without keys or dates are loaded, but no clean line comes of them.
+    assert workspace.build_derived_tables(as_of=AS_OF)["clean_invoice_lines"] == 2
+
+
 def test_incremental_load(spark, tmp_path):
     workspace = Workspace(spark, str(tmp_path / "client"))
     folder = tmp_path / "inbox"
