@@ -49,13 +49,17 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        return star_schema.order_lines(self.spark, self.folder)
+
     @cached_property
     def raw(self) -> DataFrame:
-        return star_schema.raw_invoice_lines(self.spark, self.folder)
+        return star_schema.raw_invoice_lines(self.order_lines)
 
     @cached_property
     def raw_notes(self) -> DataFrame:
-        return star_schema.raw_credit_note_lines(self.spark, self.folder)
+        return star_schema.raw_credit_note_lines(self.order_lines)
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -140,7 +144,7 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
 def csv_batch_union(spark: SparkSession, folder: str) -> DataFrame:
     """Two layouts: returned lines without file name and date, the others without receiver."""
     path = scratch_folder(spark, "csv-batch")
-    raw = star_schema.raw_invoice_lines(spark, folder)
+    raw = Tables(spark, folder).raw
     returned = F.col("SourceFile") == "batch_r.xml"
     layouts = {
         "a": raw.filter(returned).select("NumeroLinea", "NumeroConsecutivo", "Receptor_Nombre", "Detalle"),
@@ -156,7 +160,7 @@ def csv_batch_union(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def prepared_source_load(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "prepared-csv")
-    star_schema.raw_invoice_lines(spark, folder).select(*PREPARED_COLUMNS).write.csv(path, header=True)
+    Tables(spark, folder).raw.select(*PREPARED_COLUMNS).write.csv(path, header=True)
     return csv_batches.read_prepared_lines(spark, [path])
 
 

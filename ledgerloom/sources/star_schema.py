@@ -36,7 +36,8 @@ def _moment(ts: Column) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-06:00"))
 
 
-def _joined(spark: SparkSession, folder: str) -> DataFrame:
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line with its order, supplier, customer and part."""
     lines = spread(table(spark, folder, "lineitem"))
     return (
         lines.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -46,7 +47,7 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _raw(joined: DataFrame, **document: Column) -> DataFrame:
+def _raw(lines: DataFrame, **document: Column) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     rate = F.when(F.col("l_tax") >= 0.05, 13.0).when(F.col("l_tax") >= 0.01, 1.0)
     tax = net * F.coalesce(rate, F.lit(0.0)) / 100
@@ -84,7 +85,7 @@ def _raw(joined: DataFrame, **document: Column) -> DataFrame:
         "Impuesto_Monto": F.when(rate.isNull(), "").otherwise(_money(tax)),
         **document,
     }
-    return joined.select(*[values[c].alias(c) for c in RAW_COLUMNS])
+    return lines.select(*[values[c].alias(c) for c in RAW_COLUMNS])
 
 
 def _invoice_fields() -> dict[str, Column]:
@@ -110,13 +111,12 @@ def _credit_note_fields() -> dict[str, Column]:
     }
 
 
-def raw_invoice_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _raw(_joined(spark, folder), **_invoice_fields())
+def raw_invoice_lines(lines: DataFrame) -> DataFrame:
+    return _raw(lines, **_invoice_fields())
 
 
-def raw_credit_note_lines(spark: SparkSession, folder: str) -> DataFrame:
-    returned = _joined(spark, folder).filter(F.col("l_returnflag") == "R")
-    return _raw(returned, **_credit_note_fields())
+def raw_credit_note_lines(lines: DataFrame) -> DataFrame:
+    return _raw(lines.filter(F.col("l_returnflag") == "R"), **_credit_note_fields())
 
 
 def with_blank_keys(lines: DataFrame) -> DataFrame:
