@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,13 +82,14 @@ def apply_changes(table: DataFrame, changes: DataFrame, key: Sequence[str]) -> D
 def audit_rows(
     edits: DataFrame, table_name: str, edited_by: str, run_id: str | None, at: datetime | None = None
 ) -> DataFrame:
-    """Cell edits in the layout of the audit table."""
-    moment = F.localtimestamp() if at is None else F.lit(at).cast("timestamp_ntz")
+    """Cell edits in the layout of the audit table; ``at`` is UTC, by default now."""
+    moment = at or datetime.now(timezone.utc).replace(tzinfo=None)
     values = {
         "edit_id": F.expr("uuid()"),
         "run_id": F.lit(run_id).cast("string"),
         "table_name": F.lit(table_name),
         "edited_by": F.lit(edited_by),
-        "edited_at": moment,
+        # As text, so that the session time zone does not move it.
+        "edited_at": F.lit(str(moment)).cast("timestamp_ntz"),
     }
     return edits.select(*[values.get(f.name, F.col(f.name)).alias(f.name) for f in MANUAL_EDIT.fields])

@@ -70,7 +70,7 @@ class LineHistory:
 
         rows = frame.select(
             *[text(c) for c in [*known, *new]],
-            F.lit(utc_now()).cast("timestamp_ntz").alias("loaded_at"),
+            F.lit(str(utc_now())).cast("timestamp_ntz").alias("loaded_at"),
             F.lit(run_id).alias("run_id"),
         )
         if replace_run:

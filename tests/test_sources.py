@@ -1,5 +1,7 @@
 """Files, stored tables, histories, the run log and whole pipeline runs."""
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ledgerloom.schemas import DERIVED_TABLES, PIPELINE_RUN, PREPARED_COLUMNS, R
 from ledgerloom.sources import csv_batches, runs, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
-from ledgerloom.sources.tables import TableStore
+from ledgerloom.sources.tables import TableStore, utc_now
 from ledgerloom.streaming.incremental import start_incremental_load
 from tests.samples import AS_OF, FIRST, INVOICE_ROWS, NOTE_ROWS, SECOND, raw_frame, raw_row, xml_of
 
@@ -224,6 +226,17 @@ def test_history_columns_grow(spark, tmp_path):
     assert [tuple(r) for r in history.read_run("r2").collect()] == [("3", "", "")]
 
 
+def test_load_time_is_utc_in_any_session_zone(spark, tmp_path):
+    history = LineHistory(TableStore(spark, str(tmp_path / "s")), "lines_history")
+    spark.conf.set("spark.sql.session.timeZone", "America/Costa_Rica")
+    try:
+        history.append(spark.createDataFrame([("1",)], "a string"), "r1")
+        (row,) = history.read().collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs(utc_now() - row.loaded_at) < timedelta(minutes=5)
+
+
 # -- runs and the whole pipeline -----------------------------------------------------
 
 
