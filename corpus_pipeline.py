@@ -7,22 +7,48 @@ documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import near_duplicates, packing, queries
+from ledgerloom.llm import contamination, fuzzy_lines, near_duplicates, packing, quality, queries
 from ledgerloom.llm.tables import written
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier accepts."""
+    labels = queries.table(spark, sf_dir, "labels")
+    judged = quality.classify(docs, labels, learn=queries.not_held_out(3, 1))
+    return judged.filter("predicted = 1").select(docs.columns)
+
+
+def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without lines that came before; those of which nothing is left go."""
+    rows = fuzzy_lines.without_repeated_lines(docs)
+    rows = rows.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
     return near_duplicates.without_copies(docs)
 
 
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return contamination.decontaminated(docs, queries.table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of 1024 ids."""
     return packing.pack(docs, queries.tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [("near_copies", near_copies), ("pack", pack)]
+STAGES = [
+    ("quality", good_quality),
+    ("lines", repeated_lines),
+    ("near_copies", near_copies),
+    ("benchmark", benchmark_passages),
+    ("pack", pack),
+]
 
 #: SQL can express neither the trained classifier nor the tokenizer; the stages are tested against brute force.
 ORACLE_SQL = None

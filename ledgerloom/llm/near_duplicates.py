@@ -22,12 +22,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .links import components
+from .sums import vector_sum
 from .tables import text_key, written
 from .texts import blocks, counted, folded, shingles, words
 
@@ -73,43 +73,17 @@ def _cells(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def document_frequencies(documents: DataFrame, settings: Settings) -> np.ndarray:
-    """Cells of the count-min sketch over all texts; its size is fixed by the settings.
+    """Cells of the count-min sketch over all texts; its size is fixed by the settings."""
+    cells, size, bits = 2 << settings.cell_bits, settings.size, settings.cell_bits
 
-    Tasks hand over slices of their cells, which are added up in two steps, so that no
-    task holds more than the square root of the number of tasks of them.
-    """
-    cells, slices = 2 << settings.cell_bits, 16
-    size, bits = settings.size, settings.cell_bits
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, texts = np.zeros(cells, np.int64), 0
-        for block, (_, hashes, _) in _shingled(batches, size):
-            texts += block.num_rows
+    def count(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        total = np.zeros(cells, np.int64)
+        for _, (_, hashes, _) in _shingled(batches, size):
             for row in _cells(hashes, bits):
                 total += np.bincount(row, minlength=cells)
-        if texts:
-            step = cells // slices
-            yield pa.record_batch(
-                {"slice": pa.array(range(slices), pa.int32()), "cells": pa.array([total[k * step : (k + 1) * step].tobytes() for k in range(slices)], pa.binary())}
-            )
+        return total
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(cells // slices, np.int64)
-        for part in group["cells"]:
-            total += np.frombuffer(part, np.int64)
-        return pd.DataFrame({"slice": group["slice"].iloc[:1], "cells": [total.tobytes()]})
-
-    schema = "slice int, cells binary"
-    parts = documents.select("text").mapInArrow(count, schema)
-    folds = max(1, math.isqrt(documents.sparkSession.sparkContext.defaultParallelism))
-    parts = parts.withColumn("fold", F.spark_partition_id() % folds)
-    parts = parts.groupBy("slice", "fold").applyInPandas(lambda group: add(group), schema)
-    rows = parts.groupBy("slice").applyInPandas(add, schema).collect()
-    total = np.zeros(cells, np.int64)
-    for row in rows:
-        step = cells // slices
-        total[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["cells"], np.int64)
-    return total
+    return vector_sum(documents.select("text"), cells, count)
 
 
 def shingle_weights(hashes: np.ndarray, counts: np.ndarray, cells: np.ndarray, texts: int, settings: Settings) -> np.ndarray:

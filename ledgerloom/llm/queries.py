@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, packing, token_files
+from . import contamination, fuzzy_lines, language, metric_tree, near_duplicates, packing, personal_data, quality, sharding, token_files
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,11 +20,54 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    """crc32 of doc_id as text, modulo divisor; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+def not_held_out(divisor: int, remainder: int):
+    """The rows whose labels may be learnt from."""
+    return _remainder(divisor) != remainder
+
+
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data.personal_data(table(spark, folder, "documents"))
+
+
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document."""
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return language.identify(table(spark, folder, "documents"), learn=not_held_out(5, 0), held_out=held_out)
+
+
 def op3_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Class, size and links of every document."""
     return near_duplicates.near_duplicates(table(spark, folder, "documents"))
 
 
+SHARDS = [f"shard-{k:03d}" for k in range(64)]
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Slot and shard of every document."""
+    placed = sharding.place(table(spark, folder, "documents"), "doc_id", SHARDS)
+    return placed.select("doc_id", "n_chars", "slot", "shard")
+
+
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = quality.classify(documents, labels, learn=not_held_out(3, 1))
+    return rows.select("doc_id", F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines and dropped lines of every document, with a digest of the text that stays."""
+    rows = fuzzy_lines.without_repeated_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per piece of a document in a sequence."""
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -37,10 +80,40 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op9_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents."""
+    return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_metric_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector."""
+    return metric_tree.top_k(table(spark, folder, "embeddings"), k=5, is_query=F.col("vec_id") % 50 == 0)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
 
 
 def statements() -> dict[str, str]:
-    return {}
+    table = ", ".join(map(str, sharding.lookup_table(SHARDS)))
+    place = f"('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint % {sharding.SLOTS}"
+    sharded = f"""
+        select doc_id, n_chars, slot, 'shard-' || lpad(cast(([{table}])[slot + 1] as varchar), 3, '0') as shard
+        from (select doc_id, n_chars, {place} as slot from documents)"""
+    nearest = """
+        with v as (
+            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, x -> x is null or not isfinite(cast(x as double)))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id,
+                   cast(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) as bigint) as score
+            from v q join v c on q.vec_id <> c.vec_id
+            where q.vec_id % 50 = 0
+        ), ranked as (
+            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+        )
+        select query_id, rank, vec_id, score from ranked where rank <= 5"""
+    return {"op4_sharding": sharded, "op10_metric_tree": nearest}

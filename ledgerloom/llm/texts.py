@@ -22,6 +22,7 @@ _PUNCTUATION = [(0xC2, 0x80, 0xA9, 2), (0xC2, 0xAB, 0xB4, 2), (0xC2, 0xB6, 0xB9,
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LETTERS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SYMBOLS = _LETTERS.copy()
 _LETTERS[32] = 0
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -67,15 +68,20 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def raw_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a text column and where each text starts (with the end); nulls are empty."""
+    texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def folded(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and where each text starts (with the end), ready for comparison.
 
     ASCII and Latin-1 letters become lower case. What is no letter or digit becomes a
     space: in ASCII, Latin-1, general and CJK punctuation. Nulls are empty.
     """
-    texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    raw, begins = raw_bytes(batch, column)
     data = _FOLD[raw]
     wide = np.flatnonzero(raw[:-1] >= 0xC2)
     if len(wide):
@@ -86,7 +92,26 @@ def folded(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.
             at = wide[(lead == lead_byte) & (follow >= low) & (follow <= high)]
             for k in range(width):
                 data[at + k] = 32
-    return data, offsets - offsets[0]
+    return data, begins
+
+
+def collapsed(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Folded texts with one space at most between words and none at their starts."""
+    keep = data != 32
+    keep[1:] |= keep[:-1]
+    edges = begins[:-1][begins[:-1] < len(data)]
+    keep[edges] = data[edges] != 32
+    return data[keep], np.concatenate(([0], np.cumsum(keep)))[begins]
+
+
+def grams(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the `size` bytes from each place on; there are len(data) - size + 1."""
+    n = len(data)
+    if n < size:
+        return np.zeros(0, np.uint64)
+    power, inverse = powers(n)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_SYMBOLS[data] * power, dtype=np.uint64)))
+    return mixed((sums[size:] - sums[:-size]) * inverse[: n - size + 1])
 
 
 def words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
