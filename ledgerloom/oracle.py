@@ -378,7 +378,7 @@ from raw""",
         "xml_credit_notes": sql(documents, _flattened("TipoDocumento = 'NOTA_CREDITO'")),
         "xml_route": sql(
             documents,
-            f"""select {_FILE} as source_file, if(NumeroLinea = '7', null, TipoDocumento) as TipoDocumento
+            f"""select {_FILE} as source_file, if(NumeroLinea in ('6', '7'), null, TipoDocumento) as TipoDocumento
 from documents_of_lines""",
         ),
         "xml_rejects": sql(

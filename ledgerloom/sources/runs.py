@@ -115,8 +115,10 @@ class RunLog:
         frame = self.store.spark.createDataFrame([tuple(row.get(f.name) for f in RUN_EVENT.fields)], RUN_EVENT)
         self.store.append("pipeline_runs", frame.coalesce(1))
 
-    def create(self, client_id: str, username: str, run_type: str = "full_pipeline") -> str:
-        run_id = str(uuid4())
+    def create(
+        self, client_id: str, username: str, run_type: str = "full_pipeline", run_id: str | None = None
+    ) -> str:
+        run_id = run_id or str(uuid4())
         self._record(
             CREATED, run_id, client_id=client_id, run_type=run_type, started_by=username, started_at=utc_now()
         )

@@ -1,10 +1,19 @@
-"""Electronic documents in XML: one document per row in, one line per row out."""
+"""Electronic documents in XML: one document per row in, one line per row out.
+
+The standard parser reads each document, in Arrow batches: what is well formed, which
+encodings, entities and namespaces count, is its business. Spark's ``from_xml`` reads
+only part of a document's rules: it knows no namespaces, mixes the text around inner
+elements, and takes what follows the root for granted.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
+from xml.etree import ElementTree
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,133 +51,104 @@ TAX_PATHS = {
     "Impuesto_Monto": "Monto",
 }
 _DEFAULTS = {"CodigoMoneda": DEFAULT_CURRENCY, "TipoCambio": DEFAULT_RATE}
-
-# Byte-order mark, declarations, comments and document type, then the root's local name.
-_ROOT = r"(?s)^\x{FEFF}?(?:\s|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^>\[]*(?:\[[^\]]*\])?[^>]*>)*<(?:[^\s<>/:]+:)?([^\s<>/:]+)"
-_ENCODING = r"""^[^<]*<\?xml[^>]*?encoding\s*=\s*["']([^"']+)["']"""
-
-
-def _repeated(paths: dict[str, str] | list[str]) -> T.StructType:
-    """A struct in which every element, at every level, may occur any number of times."""
-    leaves = list(paths.values()) if isinstance(paths, dict) else list(paths)
-    below: dict[str, list[str]] = {}
-    for leaf in leaves:
-        head, _, rest = leaf.partition("/")
-        below.setdefault(head, [])
-        if rest:
-            below[head].append(rest)
-    fields = []
-    for name, inner in below.items():
-        element = _repeated(inner) if inner else T.StringType()
-        fields.append(T.StructField(name, T.ArrayType(element)))
-    return T.StructType(fields)
-
-
-def _array_of(name: str, element: T.StructType) -> T.StructField:
-    return T.StructField(name, T.ArrayType(element))
-
-
-LINE_SCHEMA = T.StructType([*_repeated(LINE_ELEMENTS).fields, _array_of("Impuesto", _repeated(TAX_PATHS))])
-DOCUMENT_SCHEMA = T.StructType(
-    [
-        *_repeated(DOCUMENT_PATHS).fields,
-        _array_of("InformacionReferencia", _repeated(REFERENCE_PATHS)),
-        _array_of("DetalleServicio", T.StructType([_array_of("LineaDetalle", LINE_SCHEMA)])),
-        T.StructField("_malformed", T.StringType()),
-    ]
-)
-
-
-def _joined(arrays: Column) -> Column:
-    return F.flatten(F.array_compact(arrays))
-
-
-def _first(node: Column, path: str) -> Column:
-    """Text of the first element at ``path`` below a struct; null if there is none."""
-    head, *rest = path.split("/")
-    found = node.getField(head)
-    for name in rest:
-        found = _joined(found.getField(name))
-    return F.try_element_at(found, F.lit(1))
-
-
-def _text(node: Column, path: str, default: str = "") -> Column:
-    return F.coalesce(_first(node, path), F.lit(default))
+_LINE, _REFERENCE, _TAX = "DetalleServicio/LineaDetalle", "InformacionReferencia", "Impuesto"
 
 
 def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Whole XML files as (``source_file``, ``xml``), decoded by mark or declaration.
-
-    ``xml`` is null where the bytes are no text in the encoding they claim.
-    """
+    """Whole XML files as (``source_file``, ``content``)."""
     check_endings(paths, (".xml",), "XML file")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][mM][lL]").load(list(paths))
-    return decoded_documents(files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content"))
-
-
-def decoded_documents(files: DataFrame) -> DataFrame:
-    content = F.col("content")
-    mark = F.hex(F.substring(content, 1, 2))
-    head = F.decode(F.substring(content, 1, 400), "ISO-8859-1")
-    declared = F.upper(F.regexp_extract(head, _ENCODING, 1))
-    utf8 = content.cast("string")
-    xml = (
-        F.when(mark.isin("FEFF", "FFFE"), F.decode(content, "UTF-16"))
-        .when(declared.isin("ISO-8859-1", "LATIN-1", "LATIN1"), F.decode(content, "ISO-8859-1"))
-        .when(F.is_valid_utf8(utf8) & declared.isin("", "UTF-8", "UTF8", "US-ASCII", "ASCII"), utf8)
-    )
-    return files.select("source_file", xml.alias("xml"))
+    return file_documents(files)
+
+
+def file_documents(files: DataFrame) -> DataFrame:
+    """Rows of Spark's binary file source as (``source_file``, ``content``)."""
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
+
+
+@lru_cache(maxsize=1024)
+def _qualified(path: str, namespace: str) -> str:
+    """The path with every step in the namespace of the root."""
+    return "/".join(namespace + step for step in path.split("/"))
+
+
+class _Document:
+    """One parsed document, or the reason why it gives no lines."""
+
+    def __init__(self, content: bytes | str | None):
+        self.kind = self.reason = None
+        if content is None:
+            self.reason = "unreadable"
+            return
+        parser = ElementTree.XMLParser()
+        try:
+            parser.feed(content)
+            self.root = parser.close()
+        except ElementTree.ParseError:
+            self.reason = "malformed"
+            return
+        except (LookupError, ValueError):  # an encoding that nobody knows
+            self.reason = "unreadable"
+            return
+        namespace, brace, name = self.root.tag.rpartition("}")
+        self.namespace = namespace + brace
+        self.kind = DOCUMENT_TYPES.get(name)
+        if self.kind is None:
+            self.reason = "other document"
+
+    def texts(self, node: ElementTree.Element | None, paths: dict[str, str]) -> dict[str, str]:
+        """Text of the first element at each path below the node."""
+        if node is None:
+            return dict.fromkeys(paths, "")
+        return {c: node.findtext(_qualified(p, self.namespace), _DEFAULTS.get(c, "")) for c, p in paths.items()}
+
+    def lines(self, source_file: str) -> Iterator[dict[str, str]]:
+        if self.reason:
+            return
+        head = {"SourceFile": source_file, "TipoDocumento": self.kind, **self.texts(self.root, DOCUMENT_PATHS)}
+        head |= self.texts(self.root.find(_qualified(_REFERENCE, self.namespace)), REFERENCE_PATHS)
+        for line in self.root.iterfind(_qualified(_LINE, self.namespace)):
+            tax = self.texts(line.find(_qualified(_TAX, self.namespace)), TAX_PATHS)
+            yield head | self.texts(line, dict(zip(LINE_ELEMENTS, LINE_ELEMENTS, strict=True))) | tax
+
+
+def _each(documents: DataFrame, columns: Sequence[str], rows: Callable[[str, _Document], Iterator[dict]]) -> DataFrame:
+    """``rows`` of every document; its text is in ``content`` (bytes) or ``xml``."""
+    body = "content" if "content" in documents.columns else "xml"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                found = [
+                    row
+                    for name, content in zip(part.column("source_file").to_pylist(), part.column(body).to_pylist(), strict=True)
+                    for row in rows(name, _Document(content))
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], pa.string()) for c in columns], list(columns))
+
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return documents.select("source_file", body).mapInArrow(read, schema)
 
 
 def routed_documents(documents: DataFrame) -> DataFrame:
-    """Add ``TipoDocumento`` from the root element; null for roots that are not ours."""
-    types = F.create_map(*[F.lit(word) for pair in DOCUMENT_TYPES.items() for word in pair])
-    return documents.withColumn("TipoDocumento", F.try_element_at(types, F.regexp_extract("xml", _ROOT, 1)))
-
-
-def parsed_documents(documents: DataFrame) -> DataFrame:
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": "_malformed",
-        "ignoreNamespace": "true",
-        "ignoreSurroundingSpaces": "false",
-    }
-    ours = routed_documents(documents).filter(F.col("TipoDocumento").isNotNull())
-    return ours.withColumn("doc", F.from_xml("xml", DOCUMENT_SCHEMA, options)).drop("xml")
+    """(``source_file``, ``TipoDocumento``) by the root element; null for those that give no lines."""
+    return _each(
+        documents, ["source_file", "TipoDocumento"], lambda name, doc: iter([{"source_file": name, "TipoDocumento": doc.kind}])
+    )
 
 
 def flatten_documents(documents: DataFrame) -> DataFrame:
     """One raw row per line; unknown roots and malformed documents give none."""
-    doc = F.col("doc")
-    # Not a filter on the malformed ones: pushed below the parse, it would parse twice.
-    details = F.when(F.col("doc._malformed").isNull(), F.col("doc.DetalleServicio.LineaDetalle"))
-    fields = {c: _text(doc, p, _DEFAULTS.get(c, "")) for c, p in DOCUMENT_PATHS.items()}
-    reference = F.try_element_at(F.col("doc.InformacionReferencia"), F.lit(1))
-    lines = parsed_documents(documents).select(
-        F.col("source_file").alias("SourceFile"),
-        "TipoDocumento",
-        *[value.alias(c) for c, value in fields.items()],
-        *[_text(reference, p).alias(c) for c, p in REFERENCE_PATHS.items()],
-        F.explode(_joined(details)).alias("line"),
-    )
-    line = F.col("line")
-    tax = F.try_element_at(F.col("line.Impuesto"), F.lit(1))
-    return lines.select(
-        *RAW_COLUMNS[: RAW_COLUMNS.index("NumeroLinea")],
-        *[_text(line, c).alias(c) for c in LINE_ELEMENTS],
-        *[_text(tax, p).alias(c) for c, p in TAX_PATHS.items()],
-    )
+    return _each(documents, RAW_COLUMNS, lambda name, doc: doc.lines(name))
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
-    """Documents that give no rows, with the reason."""
-    unreadable = F.col("xml").isNull()
-    routed = routed_documents(documents)
-    other = routed.filter(unreadable | F.col("TipoDocumento").isNull()).select(
-        "source_file", F.when(unreadable, "unreadable").otherwise("other document").alias("reason")
+    """Documents that give no rows, with the reason: unreadable, malformed or other document."""
+    reasons = _each(
+        documents, ["source_file", "reason"], lambda name, doc: iter([{"source_file": name, "reason": doc.reason}])
     )
-    malformed = parsed_documents(documents).filter(F.col("doc._malformed").isNotNull())
-    return other.unionByName(malformed.select("source_file", F.lit("malformed").alias("reason")))
+    return reasons.filter(F.col("reason").isNotNull())
 
 
 def invoice_lines(documents: DataFrame) -> DataFrame:
@@ -183,7 +163,7 @@ def read_invoice_xmls(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Invoice lines of many files; an error if they hold none."""
     lines = invoice_lines(read_documents(spark, paths))
     if lines.isEmpty():
-        raise ValueError("No invoice line items were found in the XML files")
+        raise ValueError("The XML files hold no line of any invoice")
     return lines
 
 

@@ -1,5 +1,6 @@
 """Files, stored tables, histories, the run log and whole pipeline runs."""
 
+import re
 from datetime import timedelta
 
 import pytest
@@ -118,8 +119,8 @@ def test_xml_lines(spark, namespace):
 
 
 def test_xml_prefix_mark_and_declaration(spark):
-    text = xml_of(INVOICE_ROWS[:1], namespace="").replace("<FacturaElectronica>", '<f:FacturaElectronica xmlns:f="u">')
-    text = "﻿" + text.replace("</FacturaElectronica>", "</f:FacturaElectronica>")
+    text = re.sub("<(/?)([A-Z])", r"<\1f:\2", xml_of(INVOICE_ROWS[:1], namespace=""))
+    text = "\ufeff" + text.replace("<f:FacturaElectronica>", '<f:FacturaElectronica xmlns:f="u">')
     assert [r["NumeroConsecutivo"] for r in flat(spark, text)] == [FIRST]
 
 
@@ -158,7 +159,7 @@ def test_xml_routing_and_rejects(spark):
     assert reasons == {
         "d2.xml": "malformed",
         "d3.xml": "other document",
-        "d4.xml": "other document",
+        "d4.xml": "malformed",
         "d6.xml": "unreadable",
     }
     assert xml_documents.invoice_lines(texts).count() == 1
@@ -175,7 +176,55 @@ def test_xml_files_and_encodings(spark, tmp_path):
     found = {r.SourceFile: r.Emisor_Nombre for r in xml_documents.read_invoice_xmls(spark, paths).collect()}
     assert found == dict.fromkeys(["a.xml", "b.xml", "c.xml", "e.XML"], "Café")
     rejected = xml_documents.rejected_documents(xml_documents.read_documents(spark, paths)).collect()
-    assert [tuple(r) for r in rejected] == [("d.xml", "unreadable")]
+    assert [tuple(r) for r in rejected] == [("d.xml", "malformed")]
+
+
+LINE = "<DetalleServicio><LineaDetalle><Detalle>own</Detalle></LineaDetalle></DetalleServicio>"
+
+
+@pytest.mark.parametrize(
+    "odd",
+    [
+        f"<FacturaElectronica>{LINE}</FacturaElectronica>garbage",
+        f"<FacturaElectronica>{LINE}</FacturaElectronica><FacturaElectronica/>",
+        f"<FacturaElectronica>{LINE}<ds:Sig/></FacturaElectronica>",
+        f"<FacturaElectronica>{LINE}</FacturaElectronic>",
+        "",
+    ],
+)
+def test_xml_not_well_formed(spark, odd):
+    assert flat(spark, odd) == []
+    assert [r.reason for r in xml_documents.rejected_documents(documents(spark, odd)).collect()] == ["malformed"]
+
+
+@pytest.mark.parametrize(
+    "text, detail",
+    [
+        ("\n" * 100_000 + "<FacturaElectronica>{}</FacturaElectronica>", "own"),
+        ("<!-- c -->" * 20_000 + "<FacturaElectronica>{}</FacturaElectronica><!-- end --><?p?>\n", "own"),
+        ('<!DOCTYPE FacturaElectronica [<!ENTITY foo "b]ar">]><FacturaElectronica>{}</FacturaElectronica>', "own"),
+        ('<!DOCTYPE f [<!ENTITY foo "bar">]><FacturaElectronica>{}</FacturaElectronica>'.replace("{}", LINE.replace("own", "&foo;")), "bar"),
+        ("<FacturaElectronica>" + LINE.replace("own", "a<i>c</i>d") + "</FacturaElectronica>", "a"),
+        (
+            '<FacturaElectronica xmlns:o="other">'
+            + LINE.replace("<Detalle>", "<o:Detalle>foreign</o:Detalle><Detalle>")
+            + "</FacturaElectronica>",
+            "own",
+        ),
+        ('<r:FacturaElectronica xmlns:r="u">{}</r:FacturaElectronica>', None),
+    ],
+)
+def test_xml_odd_documents(spark, text, detail):
+    found = [r["Detalle"] for r in flat(spark, text.replace("{}", LINE))]
+    assert found == ([detail] if detail else [])
+
+
+@pytest.mark.parametrize("encoding", ["windows-1252", "ISO-8859-15"])
+def test_xml_more_encodings(spark, tmp_path, encoding):
+    padding = " " * 500  # the declaration may be as long as it likes
+    text = f'<?xml version="1.0" {padding}encoding="{encoding}"?><FacturaElectronica>{LINE.replace("own", "10 €")}</FacturaElectronica>'
+    (path,) = text_of(tmp_path, a__xml=text.encode(encoding))
+    assert [r.Detalle for r in xml_documents.read_invoice_xmls(spark, [path]).collect()] == ["10 €"]
 
 
 def test_xml_inputs_are_checked(spark, tmp_path):
@@ -327,8 +376,8 @@ def test_loading_without_a_run(spark, tmp_path):
         p__csv="a,b\n1,2\n",
     )
     assert workspace.load_dataset(plain, "plain") == 1
-    assert workspace.load_invoice_xmls([invoice]).final_rows_loaded == 2
-    assert workspace.load_credit_note_xmls([note]).total_rows_uploaded == 1
+    assert workspace.load_invoice_xmls([invoice]).rows_stored == 2
+    assert workspace.load_credit_note_xmls([note]).rows_read == 1
     assert workspace.table_names() == ["credit_note_lines", "credit_notes", "plain", "source_data"]
     counts = workspace.build_derived_tables(as_of=AS_OF)
     assert (counts["clean_invoice_lines"], counts["provider_credit_notes"]) == (2, 1)
@@ -339,8 +388,8 @@ def test_loading_without_a_run(spark, tmp_path):
     header = ",".join(PREPARED_COLUMNS)
     values = ",".join(INVOICE_ROWS[2][c] for c in PREPARED_COLUMNS)
     (prepared,) = text_of(tmp_path, q__csv=f"{header}\n{values}\n{values}\n")
-    assert workspace.load_source_data_files([prepared]).final_rows_loaded == 2
-    assert workspace.load_invoice_csvs([prepared, plain]).final_rows_loaded == 3
+    assert workspace.load_source_data_files([prepared]).rows_stored == 2
+    assert workspace.load_invoice_csvs([prepared, plain]).rows_stored == 3
     # Lines without keys or dates are loaded, but no clean line comes of them.
     assert workspace.build_derived_tables(as_of=AS_OF)["clean_invoice_lines"] == 2
 
@@ -361,5 +410,13 @@ def test_incremental_load(spark, tmp_path):
     load()
     load()
     found = workspace.table("source_data_history").groupBy("run_id").count().collect()
-    assert {tuple(r) for r in found} == {("stream-00000000", 2), ("stream-00000001", 1)}
+    assert sorted(r["count"] for r in found) == [1, 2]
     assert workspace.table("credit_note_lines_history").count() == 1
+    # Another stream with the same name adds runs and takes none away.
+    other = tmp_path / "other"
+    other.mkdir()
+    text_of(other, c__xml=xml_of(INVOICE_ROWS[:1]))
+    start_incremental_load(workspace, str(other), str(tmp_path / "more")).awaitTermination(120)
+    assert workspace.table("source_data_history").count() == 4
+    runs_logged = workspace.table("pipeline_runs").collect()
+    assert {r.status for r in runs_logged} == {"success"} and sum(r.invoice_rows_loaded for r in runs_logged) == 4
