@@ -33,16 +33,23 @@ def to_double(text: Column) -> Column:
 def as_text(column: Column, data_type: T.DataType) -> Column:
     """The value as a reader would type it into a search box.
 
-    Doubles are printed without an exponent below 1e16 (``12345678.0``, not
-    ``1.2345678E7``); everything else is the plain cast.
+    Doubles are the shortest digits that name them, never with an exponent: ``12345678.0``,
+    ``0.0001``, ``10000000000000000.0``; everything else is the plain cast.
     """
     if not isinstance(data_type, (T.DoubleType, T.FloatType)):
         return column.cast("string")
-    plain = F.regexp_replace(column.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    text = column.cast("string")
+    sign, lead, rest, power = (F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", k) for k in range(1, 5))
+    digits = F.concat(lead, F.regexp_replace(rest, "^0$", ""))
+    power = power.cast("int")
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    padded = F.rpad(digits, F.greatest(power + 1, F.length(digits)), "0")
+    after = F.substring(padded, power + 2, F.length(padded))
+    large = F.concat(sign, F.substring(padded, F.lit(1), power + 1), F.lit("."), F.when(after == "", "0").otherwise(after))
     return (
         F.when(F.isnan(column), F.lit("nan"))
-        .when(column == F.lit(float("inf")), F.lit("inf"))
-        .when(column == F.lit(float("-inf")), F.lit("-inf"))
-        .when((F.abs(column) >= 1e7) & (F.abs(column) < 1e16), plain)
-        .otherwise(column.cast("string"))
+        .when(F.abs(column) == F.lit(float("inf")), F.lower(F.replace(text, F.lit("inity"), F.lit(""))))
+        .when(~text.contains("E"), text)
+        .when(power < 0, small)
+        .otherwise(large)
     )

@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A full date, with "-" or "/" between its parts, then optionally a time to the
-# minute or finer (group 1), and an offset that is left out. The cast alone would
-# also read "2026", "now" or a time given only to the hour.
+# minute or finer (with any number of fraction digits, of which six count), and an offset
+# that is left out; white space may stand around. The cast alone would also read "2026",
+# "now" or a time given only to the hour.
 _DATE_TIME = (
-    r"^\s*(\d{4}(?:-\d{1,2}-|/\d{1,2}/)\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)?)"
-    r"(?:(?<=[:.]\d{1,9})\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?$"
+    r"^\s*(\d{4}(?:-\d{1,2}-|/\d{1,2}/)\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?)?)"
+    r"(?:(?<=\.\d{6})\d+)?"
+    r"(?:(?<=:\d{1,2}|\.\d{1,6}|\d{7})\s*(?:Z|UTC|[+-]\d{2}(?::?\d{2})?))?\s*$"
 )
 
 

@@ -1,40 +1,17 @@
-"""Cutting lineage on shared, reliable storage."""
+"""Folders on shared, reliable storage."""
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Folders of local sessions that name none, by application id.
-_local_folders: dict[str, str] = {}
+from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
-    return _local_folders[context.applicationId]
+    """The folder the cluster names in ``spark.checkpoint.dir``, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/{purpose}-{uuid4().hex}"
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The same rows, read back from the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)

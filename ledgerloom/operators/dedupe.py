@@ -1,9 +1,9 @@
 """Optional removal of repeated lines: one row per (document number, line number).
 
-Both forms keep the first row of each pair and every row with neither key. Rows
-without keys never enter the shuffle, and the ``row_number() = 1`` filter lets
-Spark keep one row per pair and task before the shuffle, so neither a flood of
-blank keys nor one pair repeated a billion times lands in a single task.
+Both forms keep the first row of each pair and every row with neither key, in one pass:
+rows without keys get a number of their own beside the keys, so they are dealt out
+evenly, and the ``row_number() = 1`` filter lets Spark keep one row per pair and task
+before the shuffle, so one pair repeated a billion times does not land in a single task.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ PAIR = ["NumeroConsecutivo", "NumeroLinea"]
 
 def _first_of_pair(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
     blank = [F.coalesce(k, F.lit("")) == "" for k in keys]
-    unkeyed = blank[0] & blank[1]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    first = df.filter(~unkeyed).withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
-    return first.unionByName(df.filter(unkeyed))
+    alone = F.when(blank[0] & blank[1], F.monotonically_increasing_id())
+    rank = F.row_number().over(Window.partitionBy(*keys, "_alone").orderBy(*order))
+    ranked = df.withColumn("_alone", alone).withColumn("_rank", rank)
+    return ranked.filter(F.col("_rank") == 1).drop("_rank", "_alone")
 
 
 def dedupe_lines(raw: DataFrame) -> DataFrame:

@@ -17,6 +17,13 @@ def refuse_read_only(table_name: str) -> None:
         raise ValueError(f"Table {table_name} is read-only")
 
 
+def require_unique(rows: DataFrame, key: Sequence[str], what: str) -> None:
+    """An error if a key names several rows: an edit could not tell them apart."""
+    repeated = rows.groupBy(*[quoted(k) for k in key]).agg(F.count("*").alias("rows")).filter("rows > 1")
+    if not repeated.isEmpty():
+        raise ValueError(f"{what}: {', '.join(key)} names more than one row")
+
+
 def changed_rows(original: DataFrame, edited: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows with at least one changed cell: the key, then per column its old and new
     value, or null where they agree (two nulls agree). Rows new in ``edited`` are skipped.

@@ -1,11 +1,9 @@
 """``lag`` over groups of any size.
 
-A window keeps each group in one task. That is the plan to want while every group
-fits a task, and the wrong one when a single product holds a third of all rows.
-The largest group is therefore counted first, which shuffles one row per group and
-task. Past a limit, copies are folded and the rows are cut into consecutive runs
-by range: a run is one task's work, and only the last row of each run meets the
-next run of its group.
+A window would keep each group in one task, and a single product may hold a third of
+all rows. So a group is cut into spans of time (a column gives the span), a span of a
+group is one task's work, and only the last row of each span meets the next span. The
+plan is the same for any data; both branches of it read one exchange of the rows.
 """
 
 from __future__ import annotations
@@ -15,62 +13,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.checkpoints import checkpointed
-
-# A group of this many narrow rows sorts comfortably within one task.
-ROWS_PER_TASK = 5_000_000
-
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
 def with_previous(
-    rows: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    previous: dict[str, str],
-    runs: int | None = None,
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], previous: dict[str, str], span: Column
 ) -> DataFrame:
     """Add a column ``previous[c]``: the value of ``c`` in the row before, within ``group``.
 
-    Rows that agree in ``group`` and ``order`` must agree altogether; such copies
-    stand next to each other, and may come back as one row. ``runs`` asks for that
-    many runs outright; without it the largest group decides.
+    Nulls of ``order`` come last. ``span`` must not fall as the rows go on in that order, and be null
+    only at the end. Rows that agree in ``group`` and ``order`` stand next to each other
+    in no fixed order.
     """
-    if runs is None:
-        sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
-        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-        if (largest or 0) <= ROWS_PER_TASK:
-            window = Window.partitionBy(*group).orderBy(*_ascending(order))
-            return rows.withColumns({name: F.lag(c).over(window) for c, name in previous.items()})
-        runs = total // ROWS_PER_TASK + 1
-    return _with_previous_by_runs(rows.distinct(), group, order, previous, runs)
-
-
-def _with_previous_by_runs(
-    rows: DataFrame, group: Sequence[str], order: Sequence[str], previous: dict[str, str], runs: int
-) -> DataFrame:
-    shuffle_partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Range bounds come from a sample, so the run numbers are fixed on reliable
-    # storage before two branches read them.
-    cut = rows.repartitionByRange(max(runs, shuffle_partitions), *_ascending([*group, *order]))
-    cut = checkpointed(cut.withColumn("_run", F.spark_partition_id()))
-
-    within = Window.partitionBy(*group, "_run").orderBy(*_ascending(order))
-    marked = cut.withColumns(
+    names = list(previous.values())
+    # Structs compare null fields as equal, so one key serves the window and the join.
+    keyed = rows.withColumn("_group", F.struct(*group)).withColumn("_key", F.struct(*group, span.alias("_span")))
+    within = Window.partitionBy("_key").orderBy(*_ascending(order))
+    marked = keyed.withColumns(
         {
             **{name: F.lag(c).over(within) for c, name in previous.items()},
             "_first": F.row_number().over(within) == 1,
             "_last": F.lead(F.lit(True)).over(within).isNull(),
         }
     )
-    inside = marked.filter(~F.col("_first"))
-    # At most two rows per run and group get here.
-    across = Window.partitionBy(*group).orderBy(*_ascending(order))
-    edges = (
-        marked.filter(F.col("_first") | F.col("_last"))
-        .withColumns({name: F.lag(c).over(across) for c, name in previous.items()})
-        .filter(F.col("_first"))
+    # One row per group and span.
+    across = Window.partitionBy("_group").orderBy(F.col("_key._span").asc_nulls_last())
+    carried = marked.filter("_last").select(
+        F.col("_key").alias("_to"), *[F.lag(c).over(across).alias(f"_carried {name}") for c, name in previous.items()]
     )
-    return inside.unionByName(edges).drop("_run", "_first", "_last")
+    joined = marked.join(carried, F.col("_key") == F.col("_to"))
+    values = {n: F.when(F.col("_first"), F.col(f"`_carried {n}`")).otherwise(F.col(n)) for n in names}
+    return joined.withColumns(values).select(*rows.columns, *names)

@@ -66,10 +66,11 @@ def latest_price_list(history: DataFrame) -> DataFrame:
     )
 
 
-def price_changes(history: DataFrame, runs: int | None = None) -> DataFrame:
+def price_changes(history: DataFrame, span: str = "month") -> DataFrame:
     """Each line whose price differs from the line before it, per provider and product.
 
     Copies of a line can only repeat a price, so it does not matter how many there are.
+    Lines of one provider, product and ``span`` of time are put in order by one task.
     """
     group = ["proveedor", *PRODUCT]
     points = history.select(*group, *TIMELINE)
@@ -78,7 +79,7 @@ def price_changes(history: DataFrame, runs: int | None = None) -> DataFrame:
         group,
         TIMELINE,
         {"precio_unitario": "precio_anterior", "fecha_emision": "fecha_anterior"},
-        runs,
+        F.date_trunc(span, "fecha_emision"),
     )
     now, before = F.col("precio_unitario"), F.col("precio_anterior")
     percent = F.when(before != 0, (now - before) / before * 100)

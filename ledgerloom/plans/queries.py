@@ -312,8 +312,8 @@ def price_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def price_changes_by_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table by the plan for products too big for one task."""
-    return prices.price_changes(Tables(spark, folder).history, runs=32)
+    """The same table, with products cut into days, for products too big for a month in one task."""
+    return prices.price_changes(Tables(spark, folder).history, span="day")
 
 
 # -- dashboard ---------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
@@ -13,10 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import quoted
+from ledgerloom.operators.checkpoints import scratch_folder
 from ledgerloom.operators.columns import has_column, require_columns
 from ledgerloom.schemas import PREPARED_COLUMNS
 
 
+# Characters that a path of Spark's readers takes for a pattern.
+_GLOB = re.compile(r"([\[\]{}*?\\])")
+
+
 def _open(path: str):
     from pyarrow import fs
 
@@ -59,9 +65,13 @@ def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     check_endings(paths, (".csv",), "CSV file")
     # The content column is never selected, so this lists files and reads none.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(list(paths)).select("path")
-    headers = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(
+    listed = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(
         _headers, "path string, header array<string>"
     )
+    # Kept, so that every file is opened for its header once.
+    kept = scratch_folder(spark, "csv-headers")
+    listed.write.parquet(kept)
+    headers = spark.read.schema(listed.schema).parquet(kept)
     layouts = headers.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").collect()
     layouts = [row.header for row in layouts if row.header]
     if not layouts:
@@ -72,19 +82,36 @@ def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     for header in layouts:
         # File names only, as Spark's own file listing holds them.
         same = headers.filter(F.col("header") == F.array(*[F.lit(c) for c in header]))
-        found = [row.path for row in same.select("path").collect()]
+        found = [_GLOB.sub(r"\\\1", row.path) for row in same.select("path").collect()]
         parts.append(_read_layout(spark, header, found, multi_line))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
 
 
 def _read_layout(spark: SparkSession, header: list[str], paths: list[str], multi_line: bool) -> DataFrame:
+    header = unrepeated(header)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     frame = spark.read.csv(
         paths, schema=schema, header=True, multiLine=multi_line, escape='"', encoding="UTF-8", pathGlobFilter="*.[cC][sS][vV]"
     )
     if has_column(frame, "SourceFile"):
         return frame
-    return frame.select(F.col("_metadata.file_name").alias("SourceFile"), *[quoted(c) for c in header])
+    # Names come encoded as in a URL, in which a plus sign stands for itself.
+    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+    return frame.select(name.alias("SourceFile"), *[quoted(c) for c in header])
+
+
+def unrepeated(header: Sequence[str]) -> list[str]:
+    """Column names in which a name that comes again, in any letter case, is numbered: a, a.1, a.2."""
+    names: list[str] = []
+    taken: set[str] = set()
+    for column in header:
+        name, number = column, 0
+        while name.lower() in taken:
+            number += 1
+            name = f"{column}.{number}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
 
 
 def read_prepared_lines(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:

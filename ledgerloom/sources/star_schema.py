@@ -19,15 +19,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return read_dataset(spark, f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores where a scan has fewer splits than there are cores.
-
-    A scan of many files has enough splits and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _money(x: Column) -> Column:
     return r2(x).cast("decimal(18,2)").cast("string")
 
@@ -38,7 +29,7 @@ def _moment(ts: Column) -> Column:
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every order line with its order, supplier, customer and part."""
-    lines = spread(table(spark, folder, "lineitem"))
+    lines = table(spark, folder, "lineitem")
     return (
         lines.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

@@ -53,6 +53,10 @@ def test_nan_is_read(spark):
         ("2026-01-15T22:30:00Z", "2026-01-15 22:30:00"),
         ("2026-01-15 22:30", "2026-01-15 22:30:00"),
         ("2026-01-15T10:00:00.123456-06:00", "2026-01-15 10:00:00.123456"),
+        ("2026-01-15T10:00:00.1234567890Z", "2026-01-15 10:00:00.123456"),
+        ("2026-01-15T10:00:00.1234567891234", "2026-01-15 10:00:00.123456"),
+        ("2026-01-15 ", "2026-01-15 00:00:00"),
+        ("2026-01-15T10:00:00 ", "2026-01-15 10:00:00"),
         ("2026/01/15", "2026-01-15 00:00:00"),
         ("2026/1/5 10:00:00", "2026-01-05 10:00:00"),
         *[(t, None) for t in ("2026", "2026-01", "now", "2026-01-15T10", "2026-02-30", "", "x", "2026-01/15", None)],
@@ -70,6 +74,9 @@ def test_text_to_time_keeps_the_wall_clock(spark, text, moment):
 def test_numbers_as_text(spark):
     values = [12.5, 12345678.0, -12345678.55, 0.01, 1e15, 0.0, float("nan"), float("-inf"), None]
     expected = ["12.5", "12345678.0", "-12345678.55", "0.01", "1000000000000000.0", "0.0", "nan", "-inf", None]
+    values += [12345678.12345678, 0.0001, -1.25e-7, 1e16, 1.5e17, -1.2345e20, float("inf")]
+    expected += ["12345678.12345678", "0.0001", "-0.000000125", "10000000000000000.0", "150000000000000000.0"]
+    expected += ["-123450000000000000000.0", "inf"]
     assert _column(spark, values, "double", lambda c: as_text(c, T.DoubleType())) == expected
 
 

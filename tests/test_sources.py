@@ -420,3 +420,23 @@ def test_incremental_load(spark, tmp_path):
     assert workspace.table("source_data_history").count() == 4
     runs_logged = workspace.table("pipeline_runs").collect()
     assert {r.status for r in runs_logged} == {"success"} and sum(r.invoice_rows_loaded for r in runs_logged) == 4
+
+
+def test_csv_names_and_headers(spark, tmp_path):
+    folder = tmp_path / "odd names"
+    folder.mkdir()
+    (folder / "a[1] +2.csv").write_text("x,y\n1,2\n")
+    (folder / "b.csv").write_text("x,x,X\n3,4,5\n")
+    found = csv_batches.read_csv_batch(spark, [str(folder)]).orderBy("SourceFile")
+    assert found.columns == ["SourceFile", "x", "y", "x.1", "X.2"] or set(found.columns) == {"SourceFile", "x", "y", "x.1", "X.2"}
+    assert [r.SourceFile for r in found.collect()] == ["a[1] +2.csv", "b.csv"]
+    assert [r["x.1"] for r in found.collect()] == ["", "4"]
+
+
+def test_edits_need_a_key(spark, tmp_path):
+    workspace = Workspace(spark, str(tmp_path / "client"))
+    rows = spark.createDataFrame([("a", 1)] * 3 + [("b", 1)], "k string, v int")
+    workspace.store.publish("source_data", rows)
+    with pytest.raises(ValueError):
+        workspace.save_table_edits("source_data", rows, rows.withColumn("v", F.lit(2)), ["k"], edited_by="me")
+    assert workspace.table("source_data").count() == 4

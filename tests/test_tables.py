@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import clean, dedupe, edits, invoices, prices, providers
@@ -201,15 +202,20 @@ def test_line_numbers_order_as_text(spark):
     assert (change["precio_anterior"], change["precio_nuevo"]) == (7.0, 5.0)
 
 
-@pytest.mark.parametrize("runs", [1, 3, 40])
-def test_previous_row_across_runs(spark, runs):
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_previous_row_across_spans(spark, width):
     rows = [("hot" if i % 3 else f"k{i % 7}", i // 4, i, float(i * 7 % 11)) for i in range(400)]
     frame = spark.createDataFrame(rows, "k string, t int, n int, v double")
-    arguments = (frame, ["k"], ["t", "n"], {"v": "before", "t": "when"})
-    plain, cut = with_previous(*arguments), with_previous(*arguments, runs=runs)
-    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(
-        map(tuple, cut.select(*plain.columns).collect()), key=repr
-    )
+    frame = frame.union(spark.createDataFrame([("hot", None, None, 1.0), (None, 3, 1, 2.0), (None, 40, 1, 3.0)], frame.schema))
+    cut = with_previous(frame, ["k"], ["t", "n"], {"v": "before", "t": "when"}, F.floor(F.col("t") / width))
+    window = Window.partitionBy("k").orderBy(F.asc_nulls_last("t"), F.asc_nulls_last("n"))
+    plain = frame.withColumns({"before": F.lag("v").over(window), "when": F.lag("t").over(window)})
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, cut.collect()), key=repr)
+
+
+def test_previous_row_keeps_copies(spark):
+    frame = spark.createDataFrame([("a", 1, 5.0)] * 4, "k string, t int, v double")
+    assert with_previous(frame, ["k"], ["t"], {"v": "before"}, F.col("t")).count() == 4
 
 
 def test_monthly(lines):
