@@ -201,5 +201,6 @@ def personal_data(documents: DataFrame, id: str = "doc_id", text: str = "text",
     added = added.groupBy("row").agg(F.collect_list(F.struct("start", F.col("as").alias("kind"), "end")).alias("added"))
     out = seen.join(added, "row", "left").withColumn("added", F.coalesce("added", F.expr("cast(array() as array<struct<start:long,kind:int,end:long>>)")))
     out = out.withColumn("all", F.array_sort(F.concat("base", "added")))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return out.select(F.col("id").alias(id), *counts, F.sha2(_joined("base"), 256).alias("base_sha256"), _joined("all").alias("spans"), F.size("added").cast("long").alias("n_added"))
