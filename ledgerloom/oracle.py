@@ -5,7 +5,7 @@ Used to check results only; nothing here is read by the Spark code.
 
 from __future__ import annotations
 
-from ledgerloom.plans.queries import AS_OF, RUN_STATUSES
+from ledgerloom.plans.queries import AS_OF
 from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
 
 
@@ -325,10 +325,10 @@ from providers p join edited e using (provider_id) where p.{c} is distinct from
     for c in ("credit", "legal_name", "provider_name")
 )
 
-_KEPT = ["SourceFile", "NumeroConsecutivo", "NumeroLinea", "Receptor_Nombre", "Detalle", "MontoTotalLinea"]
+_FIRST_RUN, _LAST_RUN = (f"'run_' || (select {f}(o_orderstatus) from orders)" for f in ("min", "max"))
 _RUN_LINES = f"""
 run_lines as (
-  select 'run_' || o_orderstatus as run_id, {_list([f"r.{c}" for c in _KEPT])}
+  select 'run_' || o_orderstatus as run_id, r.*
   from raw r join orders on r.Clave = '506' || lpad(cast(o_orderkey as varchar), 20, '0'))"""
 
 
@@ -357,7 +357,6 @@ from provider_products p left join latest l
     latest = f"""
 identified as (select {_PROVIDER_ID} as provider_id, * from price_history),
 latest as (select * from identified qualify {_newest("provider_id")})"""
-    first_status, _, last_status = RUN_STATUSES
     facturas = [*invoice, _FACTURAS]
     counted = ["clean_invoice_lines", "providers", "provider_invoices", "provider_products", "provider_credit_notes"]
     sources = {"clean_invoice_lines": "lines"}
@@ -367,9 +366,9 @@ latest as (select * from identified qualify {_newest("provider_id")})"""
         "csv_batch_union": sql(
             [_JOINED, _RAW],
             """
-select if(SourceFile = 'batch_r.xml', 'part.csv', SourceFile) as SourceFile, NumeroConsecutivo, NumeroLinea, Detalle,
+select * replace (if(SourceFile = 'batch_r.xml', 'part.csv', SourceFile) as SourceFile,
        if(SourceFile = 'batch_r.xml', Receptor_Nombre, '') as Receptor_Nombre,
-       if(SourceFile = 'batch_r.xml', '', FechaEmision) as FechaEmision
+       if(SourceFile = 'batch_r.xml', '', FechaEmision) as FechaEmision)
 from raw""",
         ),
         "prepared_source_load": sql([_JOINED, _RAW], f"select {_list(PREPARED_COLUMNS)} from raw"),
@@ -395,12 +394,11 @@ from lines where impuesto_tarifa = 13 and monto_total_linea_crc >= 100000 group
         "clean_credit_note_lines": sql(note, "select * from notes"),
         "optional_columns": sql(
             [_JOINED, _RAW, _lines(optional=False)],
-            "select numero_consecutivo, numero_linea, codigo_moneda, tipo_cambio, subtotal, subtotal_crc from lines",
+            "select * from lines",
         ),
         "empty_credit_notes": sql(
-            invoice,
-            f"""select {_PROVIDER_ID} as provider_id, count(distinct numero_consecutivo) as invoice_count,
-       cast(0 as bigint) as credit_note_count from lines group by 1""",
+            [*invoice, _RAW_NOTES, _NOTES.replace("from raw_notes)", "from raw_notes where false)"), _PROVIDERS],
+            "select * from providers",
         ),
         "credit_notes": sql(
             [_JOINED, _RAW_NOTES],
@@ -520,12 +518,13 @@ first_rows as (
         ),
         "history_evolve": sql(
             [_JOINED, _RAW, _RUN_LINES],
-            f"""select * replace (if(run_id = 'run_{first_status}', null, Receptor_Nombre) as Receptor_Nombre,
-       if(run_id = 'run_{last_status}', '', Detalle) as Detalle) from run_lines""",
+            f"""select * replace (if(run_id = {_FIRST_RUN}, null, Receptor_Nombre) as Receptor_Nombre,
+       if(run_id = {_LAST_RUN}, '', Detalle) as Detalle) from run_lines""",
         ),
         "current_run": sql(
             [_JOINED, _RAW, _RUN_LINES],
-            f"select {_list(_KEPT)} from run_lines where run_id = 'run_{RUN_STATUSES[1]}'",
+            """select * exclude (run_id) from run_lines
+where run_id = 'run_' || (select list_sort(list(distinct o_orderstatus))[2] from orders)""",
         ),
         "export_table": sql([*invoice, _SUMMARY], "select cast(columns(*) as varchar) from summary"),
         "run_log": sql(

@@ -116,7 +116,9 @@ def provider_labels(totals: DataFrame) -> DataFrame:
     return totals.select("provider_id", label.alias("provider_label"))
 
 
-def provider_product_prices(products: DataFrame, history: DataFrame, provider: str | None = None) -> DataFrame:
+def provider_product_prices(
+    products: DataFrame, history: DataFrame, provider: str | Column | None = None
+) -> DataFrame:
     """Each product of a provider (of every provider if none is named) with its latest price.
 
     Null and "" count as one unit or code here, as do null and -1 as tax rate.

@@ -28,8 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Inside the range of order dates, so that later lines are dropped.
 AS_OF = "2000-12-31 00:00:00"
-# Order statuses play the runs of the line history.
-RUN_STATUSES = ["F", "O", "P"]
 
 _registry: dict[str, Query] = {}
 
@@ -94,6 +92,12 @@ class Tables:
     def store(self, purpose: str) -> TableStore:
         return TableStore(self.spark, scratch_folder(self.spark, purpose))
 
+    @cached_property
+    def statuses(self) -> list[str]:
+        """Order statuses, which play the runs of the line history."""
+        found = star_schema.table(self.spark, self.folder, "orders").select("o_orderstatus").distinct()
+        return sorted(row[0] for row in found.collect())
+
     @property
     def documents(self) -> DataFrame:
         """XML documents of all invoice and credit-note lines, landed as one table."""
@@ -118,6 +122,26 @@ class Tables:
         )
 
 
+class StoredTables(Tables):
+    """The same tables over clean lines and notes that are written once and read back."""
+
+    @cached_property
+    def stock(self) -> TableStore:
+        return self.store("stock")
+
+    def kept(self, name: str, frame: DataFrame) -> DataFrame:
+        self.stock.publish(name, frame)
+        return self.stock.read(name)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self.kept("clean_invoice_lines", clean.clean_invoice_lines(self.raw, AS_OF))
+
+    @cached_property
+    def notes(self) -> DataFrame:
+        return self.kept("clean_credit_note_lines", clean.clean_credit_note_lines(self.raw_notes))
+
+
 # -- sources -----------------------------------------------------------------
 
 
@@ -142,13 +166,13 @@ def scan_csv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_batch_union(spark: SparkSession, folder: str) -> DataFrame:
-    """Two layouts: returned lines without file name and date, the others without receiver."""
+    """Two layouts: returned lines without file name and date, last column first, the others without receiver."""
     path = scratch_folder(spark, "csv-batch")
     raw = Tables(spark, folder).raw
     returned = F.col("SourceFile") == "batch_r.xml"
     layouts = {
-        "a": raw.filter(returned).select("NumeroLinea", "NumeroConsecutivo", "Receptor_Nombre", "Detalle"),
-        "b": raw.filter(~returned).select("SourceFile", "NumeroConsecutivo", "FechaEmision", "Detalle", "NumeroLinea"),
+        "a": raw.filter(returned).select(*[c for c in reversed(RAW_COLUMNS) if c not in ("SourceFile", "FechaEmision")]),
+        "b": raw.filter(~returned).drop("Receptor_Nombre"),
     }
     for name, frame in layouts.items():
         frame.write.csv(f"{path}/{name}", header=True)
@@ -222,9 +246,7 @@ def clean_credit_note_lines(spark: SparkSession, folder: str) -> DataFrame:
 def optional_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of a table without currency and rate."""
     raw = Tables(spark, folder).raw.drop("CodigoMoneda", "TipoCambio")
-    return clean.clean_invoice_lines(raw, AS_OF).select(
-        "numero_consecutivo", "numero_linea", "codigo_moneda", "tipo_cambio", "subtotal", "subtotal_crc"
-    )
+    return clean.clean_invoice_lines(raw, AS_OF)
 
 
 @query
@@ -232,9 +254,7 @@ def empty_credit_notes(spark: SparkSession, folder: str) -> DataFrame:
     """Providers of a client whose credit-note tables lack the needed columns."""
     tables = Tables(spark, folder)
     review = invoices.credit_note_review(tables.raw_notes)
-    return providers.providers(tables.lines, clean.credit_note_lines(spark, [None, review])).select(
-        "provider_id", "invoice_count", "credit_note_count"
-    )
+    return providers.providers(tables.lines, clean.credit_note_lines(spark, [None, review]))
 
 
 @query
@@ -326,42 +346,42 @@ def invoice_monthly(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def provider_overview(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.provider_overview(Tables(spark, folder).totals)
+    return dashboard.provider_overview(StoredTables(spark, folder).totals)
 
 
 @query
 def overview_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.overview_kpis(Tables(spark, folder).totals)
+    return dashboard.overview_kpis(StoredTables(spark, folder).totals)
 
 
 @query
 def top_providers_amount(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.top_by_amount(Tables(spark, folder).totals)
+    return dashboard.top_by_amount(StoredTables(spark, folder).totals)
 
 
 @query
 def top_providers_products(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.top_by_products(Tables(spark, folder).totals)
+    return dashboard.top_by_products(StoredTables(spark, folder).totals)
 
 
 @query
 def provider_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.provider_labels(Tables(spark, folder).totals)
+    return dashboard.provider_labels(Tables(spark, folder).providers)
 
 
 @query
 def provider_product_prices(spark: SparkSession, folder: str) -> DataFrame:
-    tables = Tables(spark, folder)
+    tables = StoredTables(spark, folder)
     return dashboard.provider_product_prices(providers.provider_products(tables.lines), tables.history)
 
 
 @query
 def provider_product_prices_of_one(spark: SparkSession, folder: str) -> DataFrame:
     """For the provider with the smallest id, found in the data."""
-    tables = Tables(spark, folder)
-    smallest = providers.with_provider_id(tables.lines).agg(F.min("provider_id")).first()[0]
+    tables = StoredTables(spark, folder)
+    smallest = providers.with_provider_id(tables.lines).agg(F.min("provider_id"))
     products = providers.provider_products(tables.lines)
-    return dashboard.provider_product_prices(products, tables.history, smallest)
+    return dashboard.provider_product_prices(products, tables.history, smallest.scalar())
 
 
 @query
@@ -379,18 +399,19 @@ def contains_number(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def table_counts(spark: SparkSession, folder: str) -> DataFrame:
-    tables = Tables(spark, folder)
+    """Row counts as they come with the writes."""
+    tables = StoredTables(spark, folder)
     lines, notes = tables.lines, tables.notes
-    return look.table_counts(
-        {
-            "clean_invoice_lines": lines,
-            "providers": tables.providers,
-            "provider_invoices": providers.provider_invoices(lines),
-            "provider_products": providers.provider_products(lines),
-            "provider_credit_notes": providers.provider_credit_notes(notes),
-            "facturas_individuales": invoices.facturas_individuales(lines),
-            "no_such_table": None,
-        }
+    built = {
+        "providers": tables.providers,
+        "provider_invoices": providers.provider_invoices(lines),
+        "provider_products": providers.provider_products(lines),
+        "provider_credit_notes": providers.provider_credit_notes(notes),
+        "facturas_individuales": invoices.facturas_individuales(lines),
+    }
+    counts = {name: tables.stock.publish(name, frame) for name, frame in built.items()}
+    return look.table_counts({"clean_invoice_lines": lines, "no_such_table": None}).unionByName(
+        spark.createDataFrame(list(counts.items()), "table string, rows long")
     )
 
 
@@ -418,12 +439,13 @@ def _line_history(tables: Tables) -> LineHistory:
     orders = star_schema.table(tables.spark, tables.folder, "orders").select(
         F.lpad(F.col("o_orderkey").cast("string"), 20, "0").alias("number"), "o_orderstatus"
     )
-    keyed = tables.raw.join(orders, F.col("NumeroConsecutivo") == F.col("number"))
-    kept = ["SourceFile", "NumeroConsecutivo", "NumeroLinea", "Receptor_Nombre", "Detalle", "MontoTotalLinea"]
-    absent = {RUN_STATUSES[0]: "Receptor_Nombre", RUN_STATUSES[-1]: "Detalle"}
-    for status in RUN_STATUSES:
-        columns = [c for c in kept if c != absent.get(status)]
-        history.append(keyed.filter(F.col("o_orderstatus") == status).select(*columns), f"run_{status}")
+    landed = scratch_folder(tables.spark, "run-lines")
+    keyed = tables.raw.join(orders, F.col("NumeroConsecutivo") == F.col("number")).drop("number")
+    keyed.write.partitionBy("o_orderstatus").parquet(landed)
+    absent = {tables.statuses[0]: "Receptor_Nombre", tables.statuses[-1]: "Detalle"}
+    for status in tables.statuses:
+        rows = tables.spark.read.parquet(f"{landed}/o_orderstatus={status}")
+        history.append(rows.drop(absent[status]) if status in absent else rows, f"run_{status}")
     return history
 
 
@@ -445,7 +467,9 @@ def history_evolve(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def current_run(spark: SparkSession, folder: str) -> DataFrame:
-    return _line_history(Tables(spark, folder)).read_run(f"run_{RUN_STATUSES[1]}")
+    """The run of the second status."""
+    tables = Tables(spark, folder)
+    return _line_history(tables).read_run(f"run_{tables.statuses[:2][-1]}")
 
 
 @query
