@@ -103,13 +103,13 @@ def statements() -> dict[str, str]:
         from (select doc_id, n_chars, {place} as slot from documents)"""
     nearest = """
         with v as (
-            select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
             where vec_id is not null and embedding is not null
-              and len(list_filter(embedding, x -> x is null or not isfinite(cast(x as double)))) = 0
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
         ), scored as (
             select q.vec_id as query_id, c.vec_id,
-                   cast(list_sum(list_transform(list_zip(q.v, c.v), z -> z[1] * z[2])) as bigint) as score
+                   cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
             from v q join v c on q.vec_id <> c.vec_id
             where q.vec_id % 50 = 0
         ), ranked as (
