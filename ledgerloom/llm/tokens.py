@@ -17,7 +17,11 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_WHOLE = re.compile(r"\s\s|[^\S \n]|\x00|<\|")
+#: What a text that is encoded by words must not hold: white space in runs or of other kinds, special tokens.
+_RUNS = ["  ", "\n\n", " \n", "\n ", "<|", "\0", "\t", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x1f"]
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: A full stop or comma that is one piece with what stands beside it: other punctuation, or a space before it.
+_TOGETHER = re.compile(r"[.,](?:[^\w\s]|_|(?<![^\W_].))")
 #: Letters of Latin-1, with a space before them at most, and punctuation behind: two pieces for either vocabulary.
 _WORD = re.compile(r"( ?[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([^\w\s']*)")
 #: Byte-level vocabularies write the bytes of these ranges as themselves, all others, in order, from 256 on.
@@ -28,7 +32,7 @@ _SHOWN = {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in set
 class Encoder:
     """Encodes texts; keeps the ids of `kept` words and drops those seen once when it holds more."""
 
-    def __init__(self, path: str, kept: int = 500_000):
+    def __init__(self, path: str, kept: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -44,12 +48,10 @@ class Encoder:
             self._forget()
         units, ends, whole = [], [], {}
         for i, text in enumerate(texts):
-            if _WHOLE.search(text):
+            if any(x in text for x in _RUNS) or (not text.isascii() and _WIDE.search(text)):
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            elif self.spaced:
-                units += filter(None, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
             else:
-                units += _lower(text).split()
+                units += self._units(text)
             ends.append(len(units))
         at = np.fromiter(map(self.at.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(at < 0).tolist()
@@ -68,10 +70,19 @@ class Encoder:
             offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
         return ids, offsets
 
+    def _units(self, text: str) -> list[str]:
+        cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0") if self.spaced else _lower(text).replace(" ", "\0").replace("\n", "\0")
+        if not _TOGETHER.search(text):
+            cut = cut.replace(",", "\0,\0").replace(".", "\0.\0")
+        return list(filter(None, cut.split("\0")))
+
     def _learn(self, units: set[str]) -> None:
         gc.disable()  # many small lists that hold no cycles
         rows, known, at = [], {}, self.at
         for unit in units:
+            if unit.isascii() and (unit.isalpha() or (unit[0] == " " and unit[1:].isalpha())):
+                rows.append(self._merged(unit))
+                continue
             cut = _WORD.fullmatch(unit)
             ids = []
             for piece in (cut[1], cut[2]) if cut and cut[2] else (unit,):
