@@ -221,13 +221,15 @@ def _newest(group: str) -> str:
              precio_unitario desc nulls last) = 1"""
 
 
-_CHANGES = """
+_SEQUENCED = """
 sequenced as (
   select *, lag(precio_unitario) over timeline as precio_anterior, lag(fecha_emision) over timeline as fecha_anterior
   from price_history
   window timeline as (
     partition by proveedor, detalle, unidad_medida, codigo_cabys, impuesto_tarifa
-    order by fecha_emision nulls last, numero_consecutivo nulls last, numero_linea nulls last, precio_unitario))
+    order by fecha_emision nulls last, numero_consecutivo nulls last, numero_linea nulls last, precio_unitario))"""
+
+_CHANGES = _SEQUENCED + """
 select proveedor, detalle, impuesto_tarifa, fecha_anterior, fecha_emision, precio_anterior,
        precio_unitario as precio_nuevo, round(precio_unitario - precio_anterior, 2) as cambio_precio,
        round((precio_unitario - precio_anterior) / nullif(precio_anterior, 0) * 100, 2) as cambio_porcentaje,
@@ -281,6 +283,28 @@ select {_FILE} as SourceFile, {_list(head)}, {spare} from parsed
 where {condition} and cast(NumeroLinea as int) % 2 = 1"""
 
 
+# One document per order and kind; where its lines differ, the smallest value counts.
+_HEAD = [c for c in RAW_COLUMNS[1 : RAW_COLUMNS.index("NumeroLinea")] if c not in ("TipoDocumento", "NumeroConsecutivo")]
+
+
+def _of_order(name: str, raw: str) -> str:
+    """The lines of a raw table under the name ``name``, as documents of whole orders give them."""
+    heads = _list([f"min({c}) over whole as {c}" for c in _HEAD])
+    return f"""
+{name} as (
+  select * replace (TipoDocumento || '_' || NumeroConsecutivo || '.xml' as SourceFile, {heads})
+  from {raw} window whole as (partition by TipoDocumento, NumeroConsecutivo))"""
+
+
+_ORDER_FILES = [
+    _JOINED,
+    _RAW.replace("raw as (", "line_raw as (", 1),
+    _RAW_NOTES.replace("raw_notes as (", "line_raw_notes as (", 1),
+    _of_order("raw", "line_raw"),
+    _of_order("raw_notes", "line_raw_notes"),
+]
+
+
 _EVENTS = """
 log as (
   select event_id, ts as moment, 'run_' || user_id as run_id, props, cast(regexp_extract(props, '[0-9]+') as int) as k,
@@ -373,6 +397,27 @@ from raw""",
         ),
         "prepared_source_load": sql([_JOINED, _RAW], f"select {_list(PREPARED_COLUMNS)} from raw"),
         "xml_flatten": sql(documents, _flattened("true")),
+        "xml_files": sql(_ORDER_FILES, "select * from raw union all select * from raw_notes"),
+        "pipeline_run": sql(
+            [*_ORDER_FILES, _lines(), _NOTES, _PROVIDERS, _INVOICES, _PRODUCTS, _PROVIDER_NOTES, _FACTURAS, _SUMMARY, _HISTORY, _SEQUENCED],
+            " union all ".join(
+                f"select '{table}' as \"table\", count(*) as \"rows\" from ({source})"
+                for table, source in {
+                    "invoice_rows_loaded": "select 1 from raw",
+                    "credit_note_rows_loaded": "select 1 from raw_notes",
+                    "providers": "select 1 from providers",
+                    "provider_invoices": "select 1 from provider_invoices",
+                    "provider_products": "select 1 from provider_products",
+                    "provider_credit_notes": "select 1 from provider_credit_notes",
+                    "clean_invoice_lines": "select 1 from lines",
+                    "facturas_individuales": "select 1 from facturas",
+                    "invoice_summary": "select 1 from summary",
+                    "price_history": "select 1 from price_history",
+                    "latest_price_list": f"select 1 from price_history qualify {_newest('proveedor')}",
+                    "price_changes": "select 1 from sequenced where precio_anterior <> precio_unitario",
+                }.items()
+            ),
+        ),
         "xml_invoices": sql(documents, _flattened("TipoDocumento = 'FACTURA'")),
         "xml_credit_notes": sql(documents, _flattened("TipoDocumento = 'NOTA_CREDITO'")),
         "xml_route": sql(

@@ -18,6 +18,7 @@ from ledgerloom.operators import clean, dedupe, edits, export, invoices, prices,
 from ledgerloom.operators import preview as look
 from ledgerloom.operators.checkpoints import scratch_folder
 from ledgerloom.plans import dashboard
+from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
 from ledgerloom.sources import csv_batches, runs, star_schema, xml_documents
 from ledgerloom.sources.datasets import read_dataset
@@ -106,6 +107,13 @@ class Tables:
             star_schema.line_documents(lines).write.mode("append").parquet(landed)
         return self.spark.read.parquet(landed)
 
+    def landed_files(self) -> tuple[str, str]:
+        """Folders of .xml files: one invoice per order, one credit note per order with returned lines."""
+        folder = scratch_folder(self.spark, "xml-files")
+        for name, lines in (("invoices", self.raw), ("notes", self.raw_notes)):
+            star_schema.land_files(star_schema.order_documents(lines), f"{folder}/{name}")
+        return f"{folder}/invoices", f"{folder}/notes"
+
     def edited_providers(self, original: DataFrame) -> DataFrame:
         """What a reviewer might do: set terms, capitalise, blank out a name."""
         terms = star_schema.credit_terms(self.spark, self.folder)
@@ -193,6 +201,26 @@ def xml_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return xml_documents.flatten_documents(Tables(spark, folder).documents)
 
 
+@query
+def xml_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of .xml files with all lines of an order in one document."""
+    landed = Tables(spark, folder).landed_files()
+    return xml_documents.flatten_documents(xml_documents.read_documents(spark, landed))
+
+
+@query
+def pipeline_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts that the run log holds after a run from .xml files to derived tables."""
+    invoices_folder, notes_folder = Tables(spark, folder).landed_files()
+    workspace = Workspace(spark, scratch_folder(spark, "workspace"))
+    run = workspace.run_full_pipeline([invoices_folder], [notes_folder], client_id="c", username="u", as_of=AS_OF)
+    logged = workspace.runs.runs().filter((F.col("run_id") == run.run_id) & (F.col("status") == runs.SUCCESS))
+    loaded = [F.struct(F.lit(c).alias("table"), F.col(c).cast("long").alias("rows")) for c in ("invoice_rows_loaded", "credit_note_rows_loaded")]
+    derived = F.map_entries(F.from_json("derived_table_counts_json", "map<string, bigint>"))
+    derived = F.transform(derived, lambda x: F.struct(x["key"].alias("table"), x["value"].alias("rows")))
+    return logged.select(F.inline(F.concat(F.array(*loaded), derived)))
+
+
 @query
 def xml_invoices(spark: SparkSession, folder: str) -> DataFrame:
     return xml_documents.invoice_lines(Tables(spark, folder).documents)

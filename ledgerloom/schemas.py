@@ -49,34 +49,62 @@ RAW_COLUMNS = [
     "Impuesto_Monto",
 ]
 
-# Raw columns a prepared file may leave out.
-OPTIONAL_IN_PREPARED = {
-    "TipoDocumento",
-    "Clave",
+# The columns that a prepared file must bring.
+PREPARED_COLUMNS = [
+    "SourceFile",
+    "NumeroConsecutivo",
+    "FechaEmision",
+    "Emisor_Nombre",
+    "Emisor_NombreComercial",
+    "Emisor_Identificacion",
+    "Receptor_Nombre",
+    "Receptor_Identificacion",
+    "NumeroLinea",
+    "CodigoCABYS",
+    "Cantidad",
+    "UnidadMedida",
+    "TipoTransaccion",
+    "Detalle",
+    "PrecioUnitario",
+    "MontoTotal",
+    "SubTotal",
+    "BaseImponible",
+    "ImpuestoNeto",
+    "MontoTotalLinea",
+    "Impuesto_Codigo",
+    "Impuesto_CodigoTarifaIVA",
+    "Impuesto_Tarifa",
+    "Impuesto_Monto",
+]
+
+# The columns that a credit-note source must bring.
+CREDIT_NOTE_COLUMNS = [
+    "SourceFile",
+    "NumeroConsecutivo",
+    "FechaEmision",
+    "Emisor_Nombre",
+    "Emisor_NombreComercial",
+    "Emisor_Identificacion",
+    "Receptor_Nombre",
+    "Receptor_Identificacion",
     "CodigoMoneda",
     "TipoCambio",
-    "Referencia_TipoDoc",
     "Referencia_Numero",
     "Referencia_FechaEmision",
     "Referencia_Codigo",
     "Referencia_Razon",
-    "ImpuestoAsumidoEmisorFabrica",
-}
-PREPARED_COLUMNS = [c for c in RAW_COLUMNS if c not in OPTIONAL_IN_PREPARED]
-
-# Raw columns a credit-note source may leave out.
-OPTIONAL_IN_CREDIT_NOTES = {
-    "TipoDocumento",
-    "Clave",
-    "Referencia_TipoDoc",
-    "TipoTransaccion",
-    "MontoTotal",
-    "BaseImponible",
-    "ImpuestoAsumidoEmisorFabrica",
-    "Impuesto_Codigo",
-    "Impuesto_CodigoTarifaIVA",
-}
-CREDIT_NOTE_COLUMNS = [c for c in RAW_COLUMNS if c not in OPTIONAL_IN_CREDIT_NOTES]
+    "NumeroLinea",
+    "CodigoCABYS",
+    "Cantidad",
+    "UnidadMedida",
+    "Detalle",
+    "PrecioUnitario",
+    "SubTotal",
+    "ImpuestoNeto",
+    "MontoTotalLinea",
+    "Impuesto_Tarifa",
+    "Impuesto_Monto",
+]
 
 # Root element of a document and the type recorded for it.
 DOCUMENT_TYPES = {

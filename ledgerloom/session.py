@@ -29,6 +29,7 @@ def local_session(cores: str = "8", memory: str = "8g", name: str = "ledgerloom"
         "spark.sql.shuffle.partitions": cores,
         # So that a scan of one small file occupies all cores.
         "spark.sql.files.maxPartitionBytes": "2m",
+        "spark.sql.files.openCostInBytes": "16k",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": memory,

@@ -6,6 +6,10 @@ Odd values (no identification, no trade name, no rate) are put in by rule.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,6 +213,77 @@ def line_documents(lines: DataFrame) -> DataFrame:
     return spelled.select("source_file", F.when(F.col("number") == 6, cut).otherwise(F.col("xml")).alias("xml"))
 
 
+def order_documents(lines: DataFrame) -> DataFrame:
+    """One XML document per document number, as (``source_file``, ``xml``), with all its lines.
+
+    Where lines of a document differ in a field of the document, the smallest value stands in it.
+    """
+
+    def least(column: str) -> Column:
+        return F.min(column).alias(column)
+
+    first, last = RAW_COLUMNS.index("NumeroLinea"), RAW_COLUMNS.index("Impuesto_Codigo")
+    line = F.struct(
+        *RAW_COLUMNS[first:last],
+        F.struct(*[F.col(c).alias(c.partition("_")[2]) for c in RAW_COLUMNS[last:]]).alias("Impuesto"),
+    )
+    heads = [c for c in RAW_COLUMNS[:first] if c not in ("SourceFile", "TipoDocumento", "NumeroConsecutivo")]
+    # An order has a handful of lines.
+    grouped = lines.groupBy("TipoDocumento", "NumeroConsecutivo").agg(
+        *[least(c) for c in heads], F.sort_array(F.collect_list(line)).alias("LineaDetalle")
+    )
+
+    def part(name: str, **children: str) -> Column:
+        return F.struct(*[F.col(c).alias(n) for n, c in children.items()]).alias(name)
+
+    def person(name: str, *more: str) -> Column:
+        number = F.struct(F.col(f"{name}_Identificacion").alias("Numero")).alias("Identificacion")
+        return F.struct(F.col(f"{name}_Nombre").alias("Nombre"), number, *[F.col(f"{name}_{m}").alias(m) for m in more]).alias(name)
+
+    document = F.struct(
+        F.lit("https://documents.example/v1").alias("_xmlns"),
+        "Clave",
+        "NumeroConsecutivo",
+        "FechaEmision",
+        person("Emisor", "NombreComercial"),
+        person("Receptor"),
+        F.struct("LineaDetalle").alias("DetalleServicio"),
+        F.struct(F.struct("CodigoMoneda", "TipoCambio").alias("CodigoTipoMoneda")).alias("ResumenFactura"),
+        part(
+            "InformacionReferencia",
+            TipoDocIR="Referencia_TipoDoc",
+            Numero="Referencia_Numero",
+            FechaEmisionIR="Referencia_FechaEmision",
+            Codigo="Referencia_Codigo",
+            Razon="Referencia_Razon",
+        ),
+    )
+    xml = F.lit(None).cast("string")
+    for root, kind in DOCUMENT_TYPES.items():
+        xml = F.when(F.col("TipoDocumento") == kind, F.to_xml(document, {"rowTag": root})).otherwise(xml)
+    name = F.concat("TipoDocumento", F.lit("_"), "NumeroConsecutivo", F.lit(".xml"))
+    return grouped.select(name.alias("source_file"), xml.alias("xml"))
+
+
+def land_files(documents: DataFrame, folder: str) -> int:
+    """Write each document to a file of its name, from the tasks; returns how many.
+
+    Spark's writers name their files themselves, so this goes through Arrow's file systems, and the
+    folder must be one that they reach.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store.create_dir(root)
+        for batch in batches:
+            for name, xml in zip(batch.column("source_file").to_pylist(), batch.column("xml").to_pylist(), strict=True):
+                with store.open_output_stream(f"{root}/{name}") as out:
+                    out.write(xml.encode())
+            yield pa.record_batch({"files": pa.array([batch.num_rows], pa.int64())})
+
+    return documents.mapInArrow(write, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+
+
 def credit_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Provider id and the credit term last set for it: the newest event of each user."""
     latest = (
