@@ -24,7 +24,7 @@ from .texts import blocks, collapsed, folded, grams
 class Settings:
     """piece: least bytes of a piece; shorter items are not looked for. block_bytes: items searched for in one pass."""
 
-    piece: int = 16
+    piece: int = 12
     block_bytes: int = 1 << 22
 
 

@@ -222,7 +222,7 @@ def test_links_of_lines_are_the_brute_force_ones(spark):
     docs = documents(spark, texts)
     rows = fuzzy_lines.occurrences(docs, "doc_id", "text", settings.words).collect()
     by_line = {r.line: (r.mark, plain(texts[r.id])) for r in rows}
-    links = fuzzy_lines.links(docs, spark.createDataFrame([(n, m) for n, (m, _) in by_line.items()], "line long, mark long"), "text", settings)
+    links = fuzzy_lines.links(docs, spark.createDataFrame([(n, m, 1) for n, (m, _) in by_line.items()], "line long, mark long, n long"), "text", settings)
     found = {r.node: r.component for r in components(links).collect()}
 
     def edits(a, b):
@@ -345,7 +345,7 @@ def test_edited_items_are_found(spark):
         folded = " ".join(re.findall(r"[^\W_]+", (text or "").lower())).encode()
         for k, item in enumerate(items[:6]):
             name = " ".join(re.findall(r"[^\W_]+", item.lower())).encode()
-            most = len(name) // 16 - 1
+            most = len(name) // contamination.Settings().piece - 1
             found = contamination.distance(name, folded, most)
             if found <= most:
                 expected |= {(d, i, found) for i in ([0, 99] if k == 0 else [k])}
