@@ -23,6 +23,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in file_system.listStatus(location) if s.isDirectory())
 
 
+def rename_folder(spark: SparkSession, path: str, new_path: str) -> None:
+    file_system, location = _file_system(spark, path)
+    if not file_system.rename(location, _file_system(spark, new_path)[1]):
+        raise OSError(f"{path} could not become {new_path}")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     file_system, location = _file_system(spark, path)
     if file_system.exists(location):

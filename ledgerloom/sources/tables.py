@@ -3,13 +3,17 @@
 A *replaceable* table is a folder of versions. Publishing writes a new version
 beside the old ones, and Spark's own ``_SUCCESS`` marker makes it current: readers
 never see half a table, a lost executor or driver leaves the old version in place,
-and a table can be rebuilt from its own previous contents.
+and a table can be rebuilt from its own previous contents. Tables that belong together
+are staged first, out of sight, and become current one right after the other when all
+are written.
 
 An *append-only* table is one dataset that only gains files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -19,13 +23,22 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import check_table_name
 from ledgerloom.operators.columns import has_column
-from ledgerloom.sources.files import path_exists, remove_folder, subfolders
+from ledgerloom.sources.files import path_exists, remove_folder, rename_folder, subfolders
 
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+@dataclass(frozen=True)
+class Staged:
+    """A version that is written and not current yet."""
+
+    name: str
+    path: str
+    rows: int
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -45,10 +58,22 @@ class TableStore:
         """Write a new current version; the row count is taken during the write."""
         if not replace and self.exists(name):
             raise ValueError(f"Table {name} exists already")
+        staged = self.stage(name, df)
+        self.switch([staged])
+        return staged.rows
+
+    def stage(self, name: str, df: DataFrame) -> Staged:
+        """Write a version that readers do not see yet."""
         counted = Observation()
-        version = f"version={utc_now():%Y%m%dT%H%M%S%f}-{uuid4().hex[:8]}"
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(f"{self.path(name)}/{version}")
-        return counted.get["rows"]
+        path = f"{self.path(name)}/staged={uuid4().hex}"
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return Staged(name, path, counted.get["rows"])
+
+    def switch(self, staged: Iterable[Staged]) -> None:
+        """Make staged versions current: one rename each, and no work in between."""
+        for version in staged:
+            current = f"version={utc_now():%Y%m%dT%H%M%S%f}-{uuid4().hex[:8]}"
+            rename_folder(self.spark, version.path, f"{self.path(version.name)}/{current}")
 
     def drop(self, name: str) -> None:
         """Remove the table with all its versions; nothing happens if it is absent."""
