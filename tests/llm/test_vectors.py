@@ -53,3 +53,38 @@ def test_bounds_spare_distances():
         expected = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != q)[:5]
         assert sorted((-s, -i) for s, i in best) == expected
     assert computed < 0.5 * 20 * 2000
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_edit_distance(seed):
+    from ledgerloom.llm.edits import edit_distance
+
+    made = random.Random(seed)
+    for _ in range(200):
+        x = "".join(made.choice("abé日") for _ in range(made.randint(0, 80)))
+        y = x[: made.randint(0, len(x))] + "".join(made.choice("abé") for _ in range(made.randint(0, 6))) + x[made.randint(0, len(x)) :]
+        last = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            row = [i]
+            for j, b in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (a != b)))
+            last = row
+        for most in (0, 3, 200):
+            assert edit_distance(x, y, most) == min(last[-1], most + 1)
+
+
+def test_runs_are_whole():
+    import pyarrow as pa
+
+    from ledgerloom.llm.runs import whole_runs
+
+    made = random.Random(2)
+    runs = sorted(made.randint(0, 30) for _ in range(300))
+    batches, at = [], 0
+    while at < len(runs):
+        n = made.choice([1, 1, 2, 7, 40])
+        batches.append(pa.record_batch({"run": pa.array(runs[at : at + n], pa.int64())}))
+        at += n
+    tables = [t.column("run").to_pylist() for t in whole_runs(iter(batches)) if t.num_rows]
+    assert [r for t in tables for r in t] == runs
+    assert all(a[-1] != b[0] for a, b in zip(tables, tables[1:]))
