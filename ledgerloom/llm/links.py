@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .tables import written
@@ -15,10 +15,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     to the smallest node it knows, then its smaller neighbours as well. Every round is
     a few joins and sums over the links and is kept as a table in the shared folder.
     """
-    links = written(
-        edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links"
-    )
-    state = _state(links)
+    links, state = _kept(edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct())
     while state[0]:
         both = links.union(links.select("b", "a"))
         least = both.groupBy(F.col("a").alias("hub")).agg(F.least(F.min("b"), F.first("a")).alias("least"))
@@ -36,8 +33,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        links = written(small, "links")
-        before, state = state, _state(links)
+        before, (links, state) = state, _kept(small)
         if state == before:
             break
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
@@ -45,7 +41,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    """Equal for equal sets of links: their number and a sum of hashes."""
-    row = links.agg(F.count("*"), F.coalesce(F.sum((F.xxhash64("a", "b") % 1_000_000_007).cast("decimal(20,0)")), F.lit(0)))
-    return tuple(row.first())
+def _kept(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a table, and what is equal for equal sets of them: their number and a sum of hashes."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b") % 1_000_000_007)
+    table = written(links.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(total, F.lit(0)).alias("sum")), "links")
+    found = seen.get
+    return table, (found["n"], found["sum"])

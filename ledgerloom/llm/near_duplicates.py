@@ -5,12 +5,14 @@
 2. A second pass weighs the shingles of each text (occurrences times idf) and draws
    consistent weighted samples: sample k of a text is a (shingle, level) pair, and two
    texts agree on it with the probability of their weighted Jaccard similarity.
-3. Samples are banded. Within each bucket the texts are first compared with its smallest
-   text; what is linked by that is one group, so that a large group of copies costs one
-   comparison a text. Buckets that still hold several groups are then compared in full
-   across groups, in blocks, by their samples.
-4. Every candidate pair is verified by the exact weighted Jaccard similarity, and
-   the verified links are joined to classes.
+3. Samples are banded. Within each bucket the texts are first compared with the one whose
+   buckets hold most texts, which is what copies of one text have in common; what is linked
+   by that is one group, so that a large group of copies costs one comparison a text.
+4. Buckets that still hold several groups are compared in full across groups, in blocks, by further
+   samples of one byte each. Texts that may be alike by those make clusters, within which all
+   pairs across groups are verified, again in blocks. Tasks hand over forests of links only, so the
+   rows between steps grow with the texts and not with their pairs.
+5. All links are verified by the exact weighted Jaccard similarity, and joined to classes.
 
 Texts are compared once each: exact copies share the node of their text.
 """
@@ -27,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .links import components
+from .runs import whole_runs
 from .sums import vector_sum
 from .tables import text_key, written
-from .texts import blocks, counted, folded, shingles, words
+from .texts import blocks, counted, folded, mixed, shingles, words
 
 STRATA = 1 << 16
 
@@ -42,8 +45,8 @@ class Settings:
     idf_share: how much of a weight depends on rarity. A group of copies makes its own
     shingles common, so a full idf would hide large groups; weights lie in [1, 1 + idf_share].
     cell_bits: log2 of the cells in each of the two rows of the count-min sketch.
-    slack: how far the share of equal samples may lie below the threshold for a pair to be
-    verified (3.5 standard deviations).
+    fine: further samples, by which pairs are chosen that are worth verifying.
+    slack: how far the share of equal ones may lie below the threshold (3.5 standard deviations).
     """
 
     size: int = 5
@@ -52,7 +55,8 @@ class Settings:
     rows: int = 3
     idf_share: float = 0.25
     cell_bits: int = 18
-    slack: float = 0.24
+    fine: int = 192
+    slack: float = 0.1
     seed: int = 7
 
     @property
@@ -112,9 +116,10 @@ class Sampler:
         self.level = (np.log(c) - r + r * b).astype(np.float32)
         self.factors = random.integers(1, 1 << 62, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def draw(self, hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Samples of each text, as 32-bit names of (shingle, t) pairs: array of texts by samples."""
-        out = np.empty((len(starts), len(self.factors)), np.uint32)
+    def draw(self, hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray, kind: type = np.uint32) -> np.ndarray:
+        """Samples of each text, as 32-bit (or 8-bit) names of (shingle, t) pairs: array of texts by samples."""
+        out = np.empty((len(starts), len(self.factors)), kind)
+        shift = np.uint64(64 - 8 * np.dtype(kind).itemsize)
         logs, names = np.log(weights), hashes & np.uint64(0xFFFFFFFF)
         spread = hashes * np.uint64(0x9E3779B97F4A7C15)
         spread ^= spread >> np.uint64(29)
@@ -125,40 +130,48 @@ class Sampler:
             value = self.level[at] - r * t + np.float32(128)
             keys = (value.view(np.uint32).astype(np.uint64) << np.uint64(32)) | names
             least = np.minimum.reduceat(keys, starts)
-            out[:, k] = (least * factor >> np.uint64(32)).astype(np.uint32)
+            out[:, k] = (mixed(least * factor) >> shift).astype(kind)
         return out
 
 
 def sketches(documents: DataFrame, id: str, text: str, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
-    """(id, node, sketch) of every document; the sketch of a text without words is null."""
+    """(id, node, sketch, fine) of every document; the samples of a text without words are null."""
     shared = documents.sparkSession.sparkContext.broadcast(cells)  # fixed size, see Settings.cell_bits
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler, table = Sampler(settings.samples, settings.seed), shared.value
+        banded, further = Sampler(settings.samples, settings.seed), Sampler(settings.fine, settings.seed + 1)
         for block, (owner, hashes, counts) in _shingled(batches, settings.size):
-            names = [None] * block.num_rows
+            names = [[None] * block.num_rows, [None] * block.num_rows]
             if len(owner):
-                weights = shingle_weights(hashes, counts, table, texts, settings)
+                weights = shingle_weights(hashes, counts, shared.value, texts, settings)
                 starts = np.flatnonzero(np.diff(owner, prepend=-1))
-                for at, row in zip(owner[starts], sampler.draw(hashes, weights, starts)):
-                    names[at] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("node"), pa.array(names, pa.binary())], ["id", "node", "sketch"])
+                for k, drawn in enumerate((banded.draw(hashes, weights, starts), further.draw(hashes, weights, starts, np.uint8))):
+                    for at, row in zip(owner[starts], drawn):
+                        names[k][at] = row.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [block.column("id"), block.column("node"), *(pa.array(n, pa.binary()) for n in names)], ["id", "node", "sketch", "fine"]
+            )
 
     rows = documents.select(F.col(id).alias("id"), text_key(text).alias("node"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(draw, f"id {kind}, node binary, sketch binary")
+    return rows.mapInArrow(draw, f"id {kind}, node binary, sketch binary, fine binary")
+
+
+def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Share of equal samples of one byte, less those that are equal by chance."""
+    return ((x == y).mean(1) - 1 / 256) / (1 - 1 / 256)
 
 
 def estimated(pairs: DataFrame, points: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of nodes whose share of equal samples is `least` or more."""
-    left = points.select(F.col("node").alias("a"), F.col("sketch").alias("x"))
-    right = points.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
+    left = points.select(F.col("node").alias("a"), F.col("fine").alias("x"))
+    right = points.select(F.col("node").alias("b"), F.col("fine").alias("y"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for c in "xy")
-                yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(1) >= least))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in "xy")
+                yield batch.select(["a", "b"]).filter(pa.array(likeness(x, y) >= least))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
 
@@ -210,99 +223,144 @@ def verified(pairs: DataFrame, weights: DataFrame, threshold: float) -> DataFram
     return pairs.join(left, "a").join(right, "b").mapInArrow(check, "a binary, b binary, similarity double")
 
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = 256
 
 
-def across_groups(mixed: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one bucket and different groups whose share of equal samples is `least` or more.
+def dealt(rows: DataFrame, of: str) -> DataFrame:
+    """rows with run and side, sorted by run, so that any two rows of one `of` meet in one run.
 
-    mixed: bucket, n (members of the bucket), node, component, sketch. Buckets are cut into
-    blocks of about BLOCK_ROWS members, and every two blocks of a bucket meet in one
-    run of rows, so no run grows with the bucket.
+    Each `of` (n: how many rows it has) is cut into blocks of about BLOCK_ROWS rows, and every two of its
+    blocks make a run, so no run grows with it. side tells the blocks of a run apart; it is -1 for a block
+    with itself.
     """
-    cut = mixed.withColumn("cuts", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    cut = rows.withColumn("cuts", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-    cut = cut.select(
-        F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("run"),
-        F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")).alias("side"),
-        "node",
-        F.xxhash64("component").alias("group"),
-        "sketch",
-    )
+    cut = cut.withColumn("run", F.xxhash64(of, F.least("own", "other"), F.greatest("own", "other")))
+    cut = cut.withColumn("side", F.when(F.col("own") == F.col("other"), F.lit(-1)).otherwise(F.col("own")))
+    return cut.drop("n", "cuts", "own", "other", of).repartition("run").sortWithinPartitions("run")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in _with_end(batches):
-            table = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            held = None
-            if table is None or not table.num_rows:
-                continue
-            runs = table.column("run").to_numpy()
-            if batch is not None:  # the last run may go on in the next batch
-                whole = int(np.flatnonzero(runs == runs[-1])[0])
-                held, table, runs = table.slice(whole), table.slice(0, whole), runs[:whole]
-            if not table.num_rows:
-                continue
-            side, group = (table.column(c).to_numpy() for c in ("side", "group"))
-            nodes = np.array(table.column("node").to_pylist(), object)
-            marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(len(runs), -1)
-            ends = _ends(runs)
-            at = np.arange(len(runs))
-            for step in range(1, int((ends - at).max())):
-                at = at[at + step < ends[at]]
-                pick = at[(group[at] != group[at + step]) & ((side[at] < 0) | (side[at] != side[at + step]))]
-                pick = pick[(marks[pick] == marks[pick + step]).mean(1) >= least]
-                if len(pick):
-                    x, y = nodes[pick], nodes[pick + step]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.binary()), pa.array(np.maximum(x, y), pa.binary())], ["a", "b"])
-
-    return cut.repartition("run").sortWithinPartitions("run").mapInArrow(compare, "a binary, b binary").distinct()
-
-
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
-def _ends(runs: np.ndarray) -> np.ndarray:
+
+def near_pairs(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs of a run, of different blocks and groups, that are worth verifying."""
+    runs, side, group = (table.column(c).to_numpy() for c in ("run", "side", "group"))
+    marks = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(len(runs), -1)
     edges = np.append(np.flatnonzero(runs[1:] != runs[:-1]) + 1, len(runs))
-    return edges[np.searchsorted(edges, np.arange(len(runs)), "right")]
+    ends = edges[np.searchsorted(edges, np.arange(len(runs)), "right")]
+    at, found = np.arange(len(runs)), []
+    for step in range(1, int((ends - at).max())):
+        at = at[at + step < ends[at]]
+        pick = at[(group[at] != group[at + step]) & ((side[at] < 0) | (side[at] != side[at + step]))]
+        pick = pick[likeness(marks[pick], marks[pick + step]) >= least]
+        found.append((pick, pick + step))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+
+
+class Joined:
+    """Which rows have been joined so far."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while x != (up := self.above.get(x, x)):
+            self.above[x] = self.above.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """False if they were joined before."""
+        x, y = self.root(x), self.root(y)
+        self.above[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _links(nodes: list[bytes], pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch({"a": pa.array([nodes[x] for x, _ in pairs], pa.binary()), "b": pa.array([nodes[y] for _, y in pairs], pa.binary())})
+
+
+def across_groups(crossed: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that join all nodes of one bucket and different groups that are worth verifying.
+
+    crossed: bucket, n (members of the bucket), node, group, fine. A run hands over a forest of its pairs.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches):
+            joined = Joined()
+            pairs = [(x, y) for x, y in zip(*(p.tolist() for p in near_pairs(table, least))) if joined.join(x, y)]
+            if pairs:
+                yield _links(table.column("node").to_pylist(), pairs)
+
+    return dealt(crossed, "bucket").mapInArrow(compare, "a binary, b binary").distinct()
+
+
+def verified_within(clusters: DataFrame, least: float, threshold: float) -> DataFrame:
+    """Links (a, b) that join all nodes of one cluster and different groups that are similar.
+
+    clusters: cluster, n, node, group, fine, hashes, weights. A run hands over a forest of its links.
+    """
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches):
+            joined, links = Joined(), []
+            hashes = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+            weights = [np.frombuffer(x, np.float32) for x in table.column("weights").to_pylist()]
+            for x, y in zip(*(p.tolist() for p in near_pairs(table, least))):
+                if joined.root(x) != joined.root(y) and weighted_jaccard(hashes[x], weights[x], hashes[y], weights[y]) >= threshold:
+                    joined.join(x, y)
+                    links.append((x, y))
+            if links:
+                yield _links(table.column("node").to_pylist(), links)
+
+    return dealt(clusters, "cluster").mapInArrow(check, "a binary, b binary").distinct()
 
 
 def links(documents: DataFrame, rows: DataFrame, text: str, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
-    """Verified links (a, b, similarity) that join every near-duplicate class."""
+    """Verified links (a, b) that join every near-duplicate class."""
     least = settings.threshold - settings.slack
-    points = written(rows.filter("sketch is not null").groupBy("node").agg(F.first("sketch").alias("sketch")), "points")
+    points = rows.filter("sketch is not null").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("fine").alias("fine"))
+    points = written(points, "points")
     width = 4 * settings.rows
     members = points.select(
         "node",
         F.explode(F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(sketch, {k * width + 1}, {width})")) for k in range(settings.bands)])).alias("bucket"),
     )
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    crowded = written(members.join(leaders, "bucket"), "crowded")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(members.join(sizes, "bucket"), "shared")
+    # The sum of the sizes of a text's buckets: the largest is the one nearest to all others.
+    central = shared.groupBy("node").agg(F.sum("n").alias("score"))
+    ranked = shared.join(central, "node")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
+    crowded = written(shared.join(leaders, "bucket"), "crowded")
 
-    def check(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        weights = written(weighed(documents, text, nodes, cells, texts, settings), "weights")
-        return written(verified(pairs, weights, settings.threshold), "verified")
+    def contents(nodes: DataFrame) -> DataFrame:
+        return written(weighed(documents, text, nodes, cells, texts, settings), "weights")
 
     pairs = crowded.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    first = check(written(estimated(pairs, points, least), "pairs"))
+    pairs = written(estimated(pairs, points, least), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    first = written(verified(pairs, contents(nodes), settings.threshold), "verified").select("a", "b")
     groups = components(first)
-    placed = crowded.join(groups, "node", "left").select("bucket", "n", "node", F.coalesce("component", "node").alias("component"))
-    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    mixed = placed.join(several, "bucket", "left_semi").join(points, "node")
-    pairs = written(across_groups(mixed, least).join(first, ["a", "b"], "left_anti"), "pairs")
-    return first if pairs.isEmpty() else first.union(check(pairs))
+    placed = crowded.join(groups, "node", "left").select("bucket", "n", "node", F.xxhash64(F.coalesce("component", "node")).alias("group"))
+    several = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y").select("bucket")
+    crossed = placed.join(several, "bucket", "left_semi").join(points.select("node", "fine"), "node")
+    clusters = written(components(across_groups(crossed, least)).withColumnRenamed("component", "cluster"), "clusters")
+    if clusters.isEmpty():
+        return first
+    clusters = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster")
+    clusters = clusters.join(placed.select("node", "group").distinct(), "node").join(points.select("node", "fine"), "node")
+    clusters = clusters.join(contents(clusters.select("node")), "node")
+    return first.union(written(verified_within(clusters, least, settings.threshold), "verified"))
 
 
 def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """(id, class_id, class_size, n_links, keep) of every row of documents.
+    """(id, class_id, class_size, keep) of every row of documents.
 
     class_id is the smallest id of the class; keep marks the document that has it.
-    n_links counts the verified links of the row's text. A null text counts as an empty
-    one. Texts without a word are alike only if they are equal. Rows without an id belong to
+    A null text counts as an empty one. Texts without a word are alike only if they are equal. Rows without an id belong to
     classes as all others but never name one; if no row of a class has an id, class_id is
     null and all its rows are kept. Rows that repeat an id and its text get equal results.
     Other columns are not read. An empty table gives no rows.
@@ -312,14 +370,12 @@ def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text"
     texts = documents.count()
     rows = written(sketches(documents, id, text, cells, texts, settings), "sketches")
     found = links(documents, rows, text, cells, texts, settings)
-    degrees = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     nodes = rows.groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     nodes = nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    nodes = nodes.join(degrees, "node", "left")
     classes = nodes.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    nodes = nodes.join(classes, "component").select("node", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    nodes = nodes.join(classes, "component").select("node", "class_id", "class_size")
     return rows.join(nodes, "node").select(
-        F.col("id").alias(id), "class_id", "class_size", "n_links", F.col("id").eqNullSafe(F.col("class_id")).alias("keep")
+        F.col("id").alias(id), "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("keep")
     )
 
 
