@@ -196,7 +196,7 @@ def plain(line):
 
 
 def test_lines_are_kept_once(spark):
-    shared, near = prose(50, 40), prose(51, 60)
+    shared, near = prose(50, 40), prose(51, 400)
     texts = [
         f"{prose(1)}\n{shared}\nshort line here",
         f"{shared.upper()}\n{prose(2)}\n\nshort line here",
