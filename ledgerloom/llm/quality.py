@@ -1,8 +1,9 @@
 """Quality of texts by naive Bayes support vectors.
 
-Features are the distinct 3-byte n-grams of a text, hashed. Each is scaled by the log of how much
-more often it occurs in the texts of one class than of the other; a linear model with hinge
-loss is fitted to the scaled indicators (of length 1 for every text) by dual coordinate
+Features are the distinct n-grams of a text, hashed: those of 3 bytes, and those of 4 words of which only
+counts how far back each word stands before, which is what repetitive texts have in common. Each
+is scaled by the log of how much more often it occurs in the texts of one class than of the
+other; a linear model with hinge loss is fitted to the scaled indicators (of length 1 for every text) by dual coordinate
 descent.
 """
 
@@ -17,23 +18,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sums import vector_sum
-from .texts import blocks, raw_bytes
+from .tables import written
+from .texts import blocks, folded, raw_bytes, words
 
 
 @dataclass(frozen=True)
 class Settings:
-    """bits: log2 of the features. sample: most rows that the hinge loss is fitted to.
+    """bits: log2 of the features. labels: most labelled ids that are learnt from, sample: most rows of
+    those that the hinge loss is fitted to; either takes the smallest hashes of the ids.
 
     cost: bound of the dual variables. rounds: passes over the sample.
     """
 
     bits: int = 18
+    labels: int = 40_000
     sample: int = 12_000
     cost: float = 1.0
     rounds: int = 12
     smoothing: float = 1.0
 
 
+def recurrences(block: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, rows) of the 4-grams of words by their recurrence: 0 for a word that is new to its text, else
+    1 + log2 of the number of words since it stood there, 8 at most."""
+    hashes, _, offsets = words(*folded(block))
+    if len(hashes) < 4:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(offsets))
+    keys = rows << np.uint64(44) | hashes >> np.uint64(20)
+    order = np.argsort(keys, kind="stable")
+    again = keys[order][1:] == keys[order][:-1]
+    steps = np.zeros(len(keys))
+    steps[order[1:][again]] = np.diff(order)[again]
+    marks = np.where(steps > 0, np.minimum(np.log2(np.maximum(steps, 1)).astype(np.int64) + 1, 8), 0).astype(np.uint64)
+    codes = ((marks[:-3] * np.uint64(9) + marks[1:-2]) * np.uint64(9) + marks[2:-1]) * np.uint64(9) + marks[3:]
+    inside = rows[:-3] == rows[3:]
+    return codes[inside] + np.uint64(1 << 32), rows[:-3][inside]
+
+
 def features(block: pa.RecordBatch, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(features, begins): the distinct features of each text, in ascending order."""
     raw, begins = raw_bytes(block)
@@ -44,8 +66,9 @@ def features(block: pa.RecordBatch, bits: int) -> tuple[np.ndarray, np.ndarray]:
     codes = wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]
     rows = np.repeat(np.arange(n, dtype=np.uint64), np.diff(begins))
     inside = rows[:-2] == rows[2:]
-    keys = ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)) | rows[:-2] << np.uint64(bits)
-    keys = np.sort(keys[inside])
+    more, owners = recurrences(block)
+    codes, rows = np.concatenate((codes[inside], more)), np.concatenate((rows[:-2][inside], owners))
+    keys = np.sort(((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)) | rows << np.uint64(bits))
     first = np.ones(len(keys), bool)
     first[1:] = keys[1:] != keys[:-1]
     keys = keys[first]
@@ -91,8 +114,8 @@ def dual_descent(rows: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray,
 def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     """A model of rows (id, text, label); label 0 or 1, others and null ones teach nothing.
 
-    The log-count ratios come from all rows, the fit from those settings.sample rows
-    with the smallest hashes of their id. With one class only, or none, every score is that
+    The log-count ratios come from all these rows, the fit from those settings.sample rows
+    with the smallest hashes. With one class only, or none, every score is that
     class or 0.5.
     """
     rows = rows.filter("label in (0, 1)").withColumn("order", F.xxhash64("id", "text"))
@@ -141,12 +164,15 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     return Model(weights[:-1] * ratios, ratios * ratios, float(weights[-1]), bits)
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, learn: Column, id: str, text: str, label: str) -> DataFrame:
-    """(id, text, label) of the documents for which `learn` holds; ids with both labels, and null ids, teach nothing."""
+def training_rows(documents: DataFrame, labels: DataFrame, learn: Column, id: str, text: str, label: str, settings: Settings) -> DataFrame:
+    """(id, text, label) of settings.labels ids for which `learn` holds; ids with both labels, and null ids, teach nothing."""
     marks = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).filter("label in (0, 1)")
-    marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other")
-    rows = documents.filter(learn).select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.join(marks.drop("other"), "id").filter("text is not null")
+    marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    rows = documents.filter(learn).select(F.col(id).alias("id"), F.col(text).alias("text")).filter("text is not null")
+    known = rows.select("id").distinct().join(marks, "id")
+    chosen = written(known.orderBy(F.xxhash64("id"), "id").limit(settings.labels), "labels")
+    # Bounded by settings.labels, so texts need not be shuffled.
+    return rows.join(F.broadcast(chosen), "id")
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -169,4 +195,4 @@ def classify(documents: DataFrame, labels: DataFrame, learn: Column, id: str = "
     Rows that repeat are scored alike, and an empty table gives no rows. A text's label, language,
     source and id have no part in its score.
     """
-    return scored(documents, learnt(training_rows(documents, labels, learn, id, text, label), settings), text)
+    return scored(documents, learnt(training_rows(documents, labels, learn, id, text, label, settings), settings), text)
