@@ -39,17 +39,11 @@ def as_text(column: Column, data_type: T.DataType) -> Column:
     if not isinstance(data_type, (T.DoubleType, T.FloatType)):
         return column.cast("string")
     text = column.cast("string")
-    sign, lead, rest, power = (F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", k) for k in range(1, 5))
-    digits = F.concat(lead, F.regexp_replace(rest, "^0$", ""))
-    power = power.cast("int")
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-    padded = F.rpad(digits, F.greatest(power + 1, F.length(digits)), "0")
-    after = F.substring(padded, power + 2, F.length(padded))
-    large = F.concat(sign, F.substring(padded, F.lit(1), power + 1), F.lit("."), F.when(after == "", "0").otherwise(after))
+    # The formatter pads the shortest digits with zeros; no double has more places.
+    plain = F.regexp_replace(F.format_string("%.340f", column), r"(\.\d+?)0+$", "$1")
     return (
         F.when(F.isnan(column), F.lit("nan"))
         .when(F.abs(column) == F.lit(float("inf")), F.lower(F.replace(text, F.lit("inity"), F.lit(""))))
-        .when(~text.contains("E"), text)
-        .when(power < 0, small)
-        .otherwise(large)
+        .when(text.contains("E"), plain)
+        .otherwise(text)
     )
