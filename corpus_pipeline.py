@@ -22,7 +22,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that came before; those of which nothing is left go."""
-    rows = fuzzy_lines.without_repeated_lines(docs)
+    rows = fuzzy_lines.without_repeated_lines(docs, settings=fuzzy_lines.EVERY_LINE)
     rows = rows.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 

@@ -64,7 +64,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines and dropped lines of every document, with a digest of the text that stays."""
-    rows = fuzzy_lines.without_repeated_lines(table(spark, folder, "documents"))
+    rows = fuzzy_lines.without_repeated_lines(table(spark, folder, "documents"), settings=fuzzy_lines.EVERY_LINE)
     return rows.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
