@@ -365,24 +365,34 @@ def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text"
     null and all its rows are kept. Rows that repeat an id and its text get equal results.
     Other columns are not read. An empty table gives no rows.
     """
+    rows, nodes = _classes(documents, id, text, settings)
+    classes = nodes.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
+    nodes = nodes.join(classes, "component").select("node", "class_id", "class_size")
+    return rows.join(nodes, "node").select(
+        F.col("id").alias(id), "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("keep")
+    )
+
+
+def _classes(documents: DataFrame, id: str, text: str, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """(id, node, ...) of every row, and (node, least, copies, component) of every text: its smallest id, rows and class."""
     documents = documents.select(id, text)
     cells = document_frequencies(documents.select(F.col(text).alias("text")), settings)
     texts = documents.count()
     rows = written(sketches(documents, id, text, cells, texts, settings), "sketches")
     found = links(documents, rows, text, cells, texts, settings)
     nodes = rows.groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-    nodes = nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = nodes.groupBy("component").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    nodes = nodes.join(classes, "component").select("node", "class_id", "class_size")
-    return rows.join(nodes, "node").select(
-        F.col("id").alias(id), "class_id", "class_size", F.col("id").eqNullSafe(F.col("class_id")).alias("keep")
-    )
+    return rows, nodes.join(components(found), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def without_copies(documents: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """The documents with one of each near-duplicate class; repeated rows of it come once."""
-    marks = near_duplicates(documents, id, text, settings)
-    kept = marks.filter("keep").select(F.col(id).alias("kept id")).distinct()
+    """The documents with one of each near-duplicate class; repeated rows of it come once.
+
+    The one is the row of the smallest id, of equal ids that of the smallest text key; a row without an id
+    stands for a class only if no row of it has one.
+    """
+    _, nodes = _classes(documents, id, text, settings)
+    first = F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "node")).alias("first")
+    kept = nodes.groupBy("component").agg(first).select(F.col("first.least").alias("kept id"), F.col("first.node").alias("kept node"))
     rows = documents.withColumn("text key", text_key(text))
-    rows = rows.join(kept, rows[id].eqNullSafe(kept["kept id"]), "left_semi")
+    rows = rows.join(kept, rows[id].eqNullSafe(kept["kept id"]) & (rows["text key"] == kept["kept node"]), "left_semi")
     return rows.dropDuplicates([id, "text key"]).drop("text key")
