@@ -1,9 +1,11 @@
 """Personal data in texts: fixed patterns, and bootstrapped extraction by context.
 
 Spans of the fixed patterns (email, ip, card, phone) are the seeds. The words around them
-are lexical patterns, and so are those around other strings that look like identifiers.
+are lexical patterns, and so are those around other strings that look like identifiers: such with "@" or "(at)",
+runs of groups of digits, and strings between white space that hold digits.
 Patterns and the strings they surround form a graph, which Spark scores in turns: a pattern is
-as trustworthy for a kind as the strings it surrounds, a string as the patterns around it.
+as trustworthy for a kind as the strings it surrounds, a string as the patterns around it. Strings found
+back further patterns in the next turn.
 Strings whose score passes the threshold become spans of that kind, beside the seeds.
 """
 
@@ -31,20 +33,27 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SEEN = re.compile(r"[0-9@]")
 _NO_DIGIT = re.compile(r"[^0-9]+")
 _TOKEN = re.compile(r"\S+")
+_MAYBE = re.compile(r"[0-9@]|[(\[{<] ?at ?[)\]}>]", re.IGNORECASE)
+_AT = re.compile(r" ?[(\[{<] ?at ?[)\]}>] ?", re.IGNORECASE)
+_RUN = re.compile(r"(?<![0-9])[0-9]++(?:[\x20().-]{1,3}[0-9]++)+")
+_SPACE = re.compile(r"\s")
 _EDGE = "()[]{}<>\"'`,;:!?.*#$%&|=_-/\\~^"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """digits: least digits of a string that may be an identifier; longest: most characters of it.
+    """digits: least digits of a string without "@" or "(at)" that may be an identifier; longest: most characters of it.
+
+    longest_at: most characters of one with "@" or "(at)", as of an address.
 
     around: characters before and after a span in which context words are looked for.
-    rounds: turns of scoring. support: least distinct seeds of a trusted pattern.
+    rounds: most turns of scoring. support: least distinct seeds or strings found of a trusted pattern.
     threshold: least score of a string that becomes a span.
     """
 
     digits: int = 5
     longest: int = 64
+    longest_at: int = 254
     around: int = 80
     rounds: int = 3
     support: int = 3
@@ -86,7 +95,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _shape(value: str) -> str:
-    if "@" in value:
+    if "@" in value or _AT.search(value):
         return "at"
     if any(c.isalpha() for c in value):
         return "mixed"
@@ -105,20 +114,37 @@ def patterns(text: str, start: int, end: int, around: int) -> list[str]:
     return [f"{shape}|{before[-2]} {before[-1]}|", f"{shape}|{before[-1]}|{after}", f"{shape}|{before[-1]}|", f"{shape}||{after}"]
 
 
+def _marked(text: str, longest: int) -> Iterator[tuple[int, int]]:
+    """Strings around each "(at)", found outwards from it."""
+    for m in _AT.finditer(text):
+        start, end = m.start(), m.end()
+        while start > 0 and m.start() - start <= longest and not _SPACE.match(text, start - 1):
+            start -= 1
+        while end < len(text) and end - m.end() <= longest and not _SPACE.match(text, end):
+            end += 1
+        if start < m.start() and end > m.end():
+            yield start, end
+
+
 def candidates(text: str, taken: list[tuple[int, int, int]], settings: Settings) -> list[tuple[int, int]]:
-    """Strings between white space, less the punctuation at their ends, that hold enough digits and no span taken."""
-    out = []
-    for m in _TOKEN.finditer(text):
-        if not _SEEN.search(m[0]):
-            continue
-        token = m[0].rstrip(_EDGE)
-        start, end = m.end() - len(m[0].lstrip(_EDGE)), m.start() + len(token)
-        value = text[start:end]
-        if sum("0" <= c <= "9" for c in value) < settings.digits or len(value) > settings.longest:
-            continue
-        if not any(s < end and start < e for s, _, e in taken):
-            out.append((start, end))
-    return out
+    """Strings that may be identifiers by their shape, less the punctuation at their ends, and that hold no span taken.
+
+    These are strings between white space and around "(at)", and runs of groups of digits. They may lie within each other.
+    """
+    out = set()
+    spans = [(m.start(), m.end()) for m in _TOKEN.finditer(text) if _SEEN.search(m[0])]
+    for start, end in [*spans, *_marked(text, settings.longest_at)]:
+        whole = text[start:end]
+        value = whole.strip(_EDGE)
+        start += len(whole) - len(whole.lstrip(_EDGE))
+        at = _AT.search(value) or value.find("@", 1, len(value) - 1) > 0
+        if at and len(value) <= settings.longest_at or sum("0" <= c <= "9" for c in value) >= settings.digits and len(value) <= settings.longest:
+            out.add((start, start + len(value)))
+    for m in _RUN.finditer(text):
+        start = m.start() - (m.start() > 0 and text[m.start() - 1] == "(" and ")" in m[0])
+        if len(_NO_DIGIT.sub("", m[0])) >= settings.digits and m.end() - start <= settings.longest:
+            out.add((start, m.end()))
+    return sorted((start, end) for start, end in out if not any(s < end and start < e for s, _, e in taken))
 
 
 def found_spans(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -134,7 +160,7 @@ def found_spans(rows: DataFrame, settings: Settings) -> DataFrame:
             for text in strings(block):
                 taken = base_spans(text)
                 spans = [(s, e, k) for s, k, e in taken]
-                if _SEEN.search(text):
+                if _MAYBE.search(text):
                     spans += [(s, e, -1) for s, e in candidates(text, taken, settings)]
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in taken])
                 others.append(
@@ -157,23 +183,26 @@ def scored_strings(graph: DataFrame, settings: Settings) -> DataFrame:
     """(value, kind, score) of the strings that the patterns make identifiers.
 
     graph: distinct (pattern, value, kind), kind -1 for strings of unknown kind. A pattern's score for
-    a kind is the sum of its strings' scores over their number plus one, if enough seeds of the kind
-    support it; a string's score is 1 - the product of (1 - score) over its patterns.
+    a kind is the sum of its strings' scores over their number plus one, if enough seeds of the kind and
+    strings that pass the threshold support it; this is found anew in each turn, until no string is added or the turns end. A string's score is 1 - the product of (1 - score) over its patterns.
     """
     seeds = graph.filter("kind >= 0").select("value", "kind").distinct().withColumn("score", F.lit(1.0))
-    sizes = graph.select("pattern", "value").distinct().groupBy("pattern").agg(F.count("*").alias("size"))
-    backing = graph.filter("kind >= 0").groupBy("pattern", "kind").agg(F.countDistinct("value").alias("seeds"))
-    trusted = written(backing.filter(F.col("seeds") >= settings.support).join(sizes, "pattern"), "patterns")
+    edges = written(graph.select("pattern", "value").distinct(), "edges")
+    sizes = written(edges.groupBy("pattern").agg(F.count("*").alias("size")), "sizes")
     unknown = graph.filter("kind < 0").select("pattern", "value").distinct()
-    unknown = written(unknown.join(trusted.select("pattern").distinct(), "pattern", "left_semi"), "unknown")
-    edges = written(graph.select("pattern", "value").distinct().join(trusted.select("pattern").distinct(), "pattern", "left_semi"), "edges")
-    scores, found = seeds, None
+    scores, found, before = seeds, None, -1
     for _ in range(settings.rounds):
-        weights = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("weight"))
-        rated = weights.join(trusted, ["pattern", "kind"]).select("pattern", "kind", (F.col("weight") / (F.col("size") + 1)).alias("rate"))
+        backing = F.count(F.when(F.col("score") >= settings.threshold, 1)).alias("backing")
+        weights = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("weight"), backing)
+        rated = weights.filter(F.col("backing") >= settings.support).join(sizes, "pattern")
+        rated = rated.select("pattern", "kind", (F.col("weight") / (F.col("size") + 1)).alias("rate"))
         found = unknown.join(rated, "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log1p(-F.col("rate"))))).alias("score"))
         found = written(found, "scores")
-        scores = seeds.union(found.select("value", "kind", "score"))
+        scores = seeds.union(found.select("value", "kind", "score")).groupBy("value", "kind").agg(F.max("score").alias("score"))
+        passed = found.filter(F.col("score") >= settings.threshold).count()
+        if passed == before:
+            break
+        before = passed
     best = F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best")
     found = found.groupBy("value").agg(best).select("value", (-F.col("best.kind")).alias("kind"), F.col("best.score").alias("score"))
     return found.filter(F.col("score") >= settings.threshold)
@@ -200,6 +229,9 @@ def personal_data(documents: DataFrame, id: str = "doc_id", text: str = "text",
     added = every.filter("kind < 0").join(known, "value")
     added = added.groupBy("row").agg(F.collect_list(F.struct("start", F.col("as").alias("kind"), "end")).alias("added"))
     out = seen.join(added, "row", "left").withColumn("added", F.coalesce("added", F.expr("cast(array() as array<struct<start:long,kind:int,end:long>>)")))
+    # Of added spans within each other the longest stays.
+    within = lambda s, t: (t["start"] <= s["start"]) & (t["end"] >= s["end"]) & (t["end"] - t["start"] > s["end"] - s["start"])
+    out = out.withColumn("added", F.filter("added", lambda s: ~F.exists("added", lambda t: within(s, t))))
     out = out.withColumn("all", F.array_sort(F.concat("base", "added")))
     of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     counts = [of_kind(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
