@@ -1,8 +1,8 @@
 """Language of texts by a bit-sliced Bloom filter of n-grams.
 
 For each language the n-grams (4 bytes of folded text) that are usual in it are put into a
-Bloom filter. The filters of all languages share their probes: a cell holds one bit per language, so
-the AND of a few cells is a mask of all languages that hold an n-gram. A text's masks are
+Bloom filter. The filters of all languages share their probes: a cell holds one bit per language, in as many
+words of 63 bits as needed, so the AND of a few cells is a mask of all languages that hold an n-gram. A text's masks are
 counted by language, the expected false positives are taken off, and the largest share
 decides.
 """
@@ -21,6 +21,10 @@ from .tables import written
 from .texts import blocks, collapsed, folded, mixed
 
 PROBES = 3
+#: Languages in a word of a cell.
+WORD = 63
+#: Languages up to which the ids to learn from are sent to all tasks.
+FEW = 256
 
 
 @dataclass(frozen=True)
@@ -39,22 +43,22 @@ class Settings:
 
 @dataclass
 class Model:
-    """languages: in order of their bits. cells: masks by cell."""
+    """languages: in order of their bits, WORD of them a word. cells: masks by word and cell."""
 
     languages: list[str]
     cells: np.ndarray
     bits: int
 
     def masks(self, codes: np.ndarray) -> np.ndarray:
-        """For each n-gram the mask of the languages that seem to hold it."""
-        found = np.full(len(codes), -1, np.int64)
+        """For each word and n-gram the mask of the languages that seem to hold it; of a single word without that axis."""
+        found = np.full((len(self.cells), len(codes)), -1, np.int64)
         for cell in probes(codes, self.bits):
-            found &= self.cells[cell]
-        return found
+            found &= self.cells[:, cell]
+        return found[0] if len(found) == 1 else found
 
     def false_positives(self) -> np.ndarray:
         """For each language the chance that an n-gram it does not hold seems to be held."""
-        return np.array([np.mean(self.cells >> k & 1) ** PROBES for k in range(len(self.languages))])
+        return np.array([np.mean(self.cells[k // WORD] >> k % WORD & 1) ** PROBES for k in range(len(self.languages))])
 
 
 def probes(codes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -86,13 +90,15 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     """A model of the languages of rows (id, text, lang); null languages and texts teach nothing.
 
     At most settings.sample texts of a language are read, those with the smallest hashes
-    of their id, and at most 63 languages are told apart.
+    of their id. Any number of languages is told apart.
     """
     usable = rows.filter("lang is not null and text is not null")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = usable.select("id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= settings.sample)
-    # Bounded by settings.sample for each of 63 languages.
-    sample = usable.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"], "left_semi")
+    chosen = chosen.select("id", "lang")
+    if usable.select("lang").distinct().limit(FEW + 1).count() <= FEW:
+        chosen = F.broadcast(chosen)  # bounded by settings.sample for each of them
+    sample = usable.join(chosen, ["id", "lang"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -109,26 +115,23 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     counts = sample.select("text", "lang").mapInArrow(count, "lang string, code long, n long")
     counts = written(counts.groupBy("lang", "code").agg(F.sum("n").alias("n")), "ngrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    languages = sorted(row["lang"] for row in totals.select("lang").limit(64).collect())
-    if len(languages) > 63:
-        raise ValueError("No more than 63 languages can be told apart")
+    languages = sorted(row["lang"] for row in totals.select("lang").collect())
     rates = counts.join(totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
     most = rates.groupBy("code").agg(F.max("rate").alias("most"))
-    bit = F.lit(0).cast("long")
-    for k, language in enumerate(languages):
-        bit = F.when(F.col("lang") == language, F.lit(1 << k)).otherwise(bit)
+    bits = [(language, k // WORD, 1 << k % WORD) for k, language in enumerate(languages)]
+    bits = rows.sparkSession.createDataFrame(bits, "lang string, word int, bit long")
     usual = rates.join(most, "code").filter((F.col("rate") >= settings.least) & (F.col("rate") >= settings.share * F.col("most")))
-    grams = usual.groupBy("code").agg(F.bit_or(bit).alias("mask"))
+    grams = usual.join(F.broadcast(bits), "lang").groupBy("code", "word").agg(F.bit_or("bit").alias("mask"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for cell in probes(batch.column("code").to_numpy(), settings.bits):
-                yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column("mask")], ["cell", "mask"])
+                yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(cell), batch.column("mask")], ["word", "cell", "mask"])
 
-    filled = grams.mapInArrow(deal, "cell long, mask long").groupBy("cell").agg(F.bit_or("mask").alias("mask"))
-    cells = np.zeros(1 << settings.bits, np.int64)
-    found = filled.toPandas()  # one row per cell at most
-    cells[found["cell"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64)
+    filled = grams.mapInArrow(deal, "word int, cell long, mask long").groupBy("word", "cell").agg(F.bit_or("mask").alias("mask"))
+    cells = np.zeros((max(1, -(-len(languages) // WORD)), 1 << settings.bits), np.int64)
+    found = filled.toPandas()  # one row per word and cell at most
+    cells[found["word"].to_numpy(np.int64), found["cell"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64)
     return Model(languages, cells, settings.bits)
 
 
@@ -138,18 +141,18 @@ def predicted(rows: DataFrame, model: Model) -> DataFrame:
     lang_pred is `und` for a null text, a text without a letter, and where nothing was learnt. score is the
     share of the language among the corrected counts of all languages. Ties go to the first language.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # 2**bits masks
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # 2**bits masks for each word
+    chance = model.false_positives()
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = np.array([*shared.value.languages, "und"], object)
-        chance = shared.value.false_positives()
         for block in blocks(batches):
             codes, begins = ngrams(block)
-            masks = shared.value.masks(codes)
+            masks = shared.value.masks(codes).reshape(-1, len(codes))
             totals = np.diff(begins)
             shares = np.zeros((block.num_rows, len(chance)))
             for k in range(len(chance)):
-                hits = np.concatenate(([0], np.cumsum(masks >> k & 1)))[begins]
+                hits = np.concatenate(([0], np.cumsum(masks[k // WORD] >> k % WORD & 1)))[begins]
                 shares[:, k] = np.maximum(0, np.diff(hits) - totals * chance[k]) / (1 - min(chance[k], 0.999))
             known = block.column("letters").to_numpy(zero_copy_only=False).astype(bool) & (len(chance) > 0)
             best = shares.argmax(1) if len(chance) else np.zeros(block.num_rows, int)
