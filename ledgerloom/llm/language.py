@@ -50,11 +50,11 @@ class Model:
     bits: int
 
     def masks(self, codes: np.ndarray) -> np.ndarray:
-        """For each word and n-gram the mask of the languages that seem to hold it; of a single word without that axis."""
+        """For each word and n-gram the mask of the languages that seem to hold it."""
         found = np.full((len(self.cells), len(codes)), -1, np.int64)
         for cell in probes(codes, self.bits):
             found &= self.cells[:, cell]
-        return found[0] if len(found) == 1 else found
+        return found
 
     def false_positives(self) -> np.ndarray:
         """For each language the chance that an n-gram it does not hold seems to be held."""
@@ -148,7 +148,7 @@ def predicted(rows: DataFrame, model: Model) -> DataFrame:
         languages = np.array([*shared.value.languages, "und"], object)
         for block in blocks(batches):
             codes, begins = ngrams(block)
-            masks = shared.value.masks(codes).reshape(-1, len(codes))
+            masks = shared.value.masks(codes)
             totals = np.diff(begins)
             shares = np.zeros((block.num_rows, len(chance)))
             for k in range(len(chance)):

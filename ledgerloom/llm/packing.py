@@ -15,8 +15,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,25 +128,28 @@ def pack(documents: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "
     whole = pieces.filter("ids is null").drop("ids")
     left = pieces.filter("ids is not null")
     group = F.shiftright(F.col("sequence_id"), 32) / settings.together
-    merged = left.withColumn("group", F.floor(group).cast("long")).groupBy("group").applyInPandas(
+    merged = left.withColumn("group", F.floor(group).cast("long")).groupBy("group").applyInArrow(
         lambda g: _merge(g, settings.length), f"id {kind}, {_PIECE}"
     )
     return whole.union(merged).withColumnRenamed("id", id)
 
 
-def _merge(group: pd.DataFrame, length: int) -> pd.DataFrame:
+def _merge(group: pa.Table, length: int) -> pa.Table:
     """Strings the open windows together and cuts them into sequences without padding."""
-    group = group.sort_values(["sequence_id", "offset"], kind="stable")
-    total, at, sequence = int(group["length"].sum()), 0, (1 << 60) + (int(group["group"].iloc[0]) << 32)
+    group = group.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+    total, at, sequence = pc.sum(group["length"]).as_py(), 0, (1 << 60) + (group["group"][0].as_py() << 32)
     ends = list(range(length, total + 1, length))
     rest = total - (ends[-1] if ends else 0)
     ends += list(total - rest + np.cumsum([1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1])) if rest else []
     begins, out, number = [0, *ends], [], 0
-    for row in group.itertuples():
-        ids, used = np.frombuffer(row.ids, "<u4"), 0
+    columns = [group[c].to_pylist() for c in ("start", "doc_tokens", "ids")]
+    for row, (start, tokens, packed) in enumerate(zip(*columns)):
+        ids, used = np.frombuffer(packed, "<u4"), 0
         while used < len(ids):
             size = min(len(ids) - used, int(ends[number]) - at)
-            out.append((row.id, row.start + used, size, crc(ids[used : used + size]), row.doc_tokens, sequence + number, at - int(begins[number])))
+            out.append((row, start + used, size, crc(ids[used : used + size]), tokens, sequence + number, at - int(begins[number])))
             used, at = used + size, at + size
             number += at == ends[number]
-    return pd.DataFrame(out, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]).astype({"id": group["id"].dtype})
+    rows, *values = zip(*out)
+    names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return pa.table([group["id"].take(pa.array(rows)), *(pa.array(v, pa.int64()) for v in values)], ["id", *names])

@@ -79,12 +79,17 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _byte(digits: str) -> bool:
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, in that order."""
     if not _SEEN.search(text):
         return []
     found = [(s, 0, e) for s, e in _emails(text)]
-    found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(int(x) <= 255 for x in m[0].split(".") if len(x.lstrip("0")) <= 3) and all(len(x.lstrip("0")) <= 3 for x in m[0].split("."))]
+    found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(_byte(x) for x in m[0].split("."))]
     for m in _CARD.finditer(text):
         digits = _NO_DIGIT.sub("", m[0])
         if 12 <= len(digits) <= 19 and _luhn(digits):

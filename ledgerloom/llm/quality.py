@@ -87,8 +87,9 @@ class Model:
 
     def scores(self, block: pa.RecordBatch) -> np.ndarray:
         found, begins = features(block, self.bits)
-        margins = np.diff(np.concatenate(([0.0], np.cumsum(self.weights[found])))[begins])
-        lengths = np.diff(np.concatenate(([0.0], np.cumsum(self.squares[found])))[begins])
+        # Added up text by text, so that equal texts have equal scores to the last bit.
+        owner = np.repeat(np.arange(block.num_rows), np.diff(begins))
+        margins, lengths = (np.bincount(owner, weights=w[found], minlength=block.num_rows) for w in (self.weights, self.squares))
         margins = np.divide(margins, np.sqrt(np.maximum(lengths, 1e-12)), out=np.zeros(len(margins)), where=lengths > 1e-9)
         return 1 / (1 + np.exp(-np.clip(4 * (margins + self.bias), -500, 500)))
 
@@ -115,7 +116,7 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     """A model of rows (id, text, label); label 0 or 1, others and null ones teach nothing.
 
     The log-count ratios come from all these rows, the fit from those settings.sample rows
-    with the smallest hashes. With one class only, or none, every score is that
+    with the smallest hashes, where rows that repeat count once. With one class only, or none, every score is that
     class or 0.5.
     """
     rows = rows.filter("label in (0, 1)").withColumn("order", F.xxhash64("id", "text"))
@@ -139,7 +140,7 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
     worse, better = (counts[k * size : (k + 1) * size] + settings.smoothing for k in (0, 1))
     ratios = np.log((better / better.sum()) / (worse / worse.sum()))
     ratios[(counts[:size] + counts[size : 2 * size]) == 0] = 0
-    last = rows.select("order").orderBy("order").limit(settings.sample).agg(F.max("order")).first()[0]
+    last = rows.select("order").distinct().orderBy("order").limit(settings.sample).agg(F.max("order")).first()[0]
     sample = rows.filter(F.col("order") <= last).select("order", "text", F.col("label").cast("int"))
     shared = rows.sparkSession.sparkContext.broadcast(ratios)  # 2**bits numbers
 
@@ -158,8 +159,11 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
             {"weights": pa.array([dual_descent([np.frombuffer(x, np.int32) for _, x, _ in held], signs, shared.value, settings).tobytes()], pa.binary())}
         )
 
+    extracted = sample.mapInArrow(extract, "order long, features binary, label int")
+    # Rows that repeat have equal hashes, and count once here: the sample stays bounded.
+    once = extracted.groupBy("order").agg(F.min(F.struct("features", "label")).alias("row")).select("order", "row.*")
     # The bounded sample goes to one task, and its weights to the driver.
-    found = sample.mapInArrow(extract, "order long, features binary, label int").repartition(1).mapInArrow(fit, "weights binary").first()
+    found = once.repartition(1).mapInArrow(fit, "weights binary").first()
     weights = np.frombuffer(found["weights"])
     return Model(weights[:-1] * ratios, ratios * ratios, float(weights[-1]), bits)
 

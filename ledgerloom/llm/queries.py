@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, fuzzy_lines, language, metric_tree, near_duplicates, packing, personal_data, quality, sharding, token_files
+from . import contamination, fuzzy_lines, language, metric_tree, near_duplicates, packing, personal_data, quality, sharding, token_files, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -90,6 +90,13 @@ def op10_metric_tree(spark: SparkSession, folder: str) -> DataFrame:
     return metric_tree.top_k(table(spark, folder, "embeddings"), k=5, is_query=F.col("vec_id") % 50 == 0)
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = toxicity.classify(documents, labels, learn=not_held_out(5, 0))
+    return rows.select("doc_id", F.coalesce(_remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
