@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, conversation_repair, fuzzy_lines, language, metric_tree, near_duplicates, packing, personal_data, quality, sharding, token_files, toxicity
+from . import contamination, conversation_repair, fuzzy_lines, hard_negatives, language, metric_tree, near_duplicates, packing, personal_data, quality, sharding, token_files, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -114,6 +114,12 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("conv_id", *(F.coalesce(c, empty).alias(c) for c, empty in nothing.items()))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector, some labels changed."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), is_anchor=F.col("vec_id") % 50 == 0, label=label)
+
+
 def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document."""
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -222,4 +228,25 @@ def statements() -> dict[str, str]:
         from (select distinct conv_id from conversations) o
         left join counted c on c.conv_id is not distinct from o.conv_id
         left join ended e on e.conv_id is not distinct from o.conv_id and e.choice = 1"""
-    return {"op4_sharding": sharded, "op10_metric_tree": nearest, "op11_conversation_repair": repaired}
+    mined = """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                   list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
+        ), scored as (
+            select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+                   cast(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
+            from v a join v c on a.vec_id <> c.vec_id
+            where a.vec_id % 50 = 0
+        ), positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        )
+        select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+               vec_id as negative_id, positive_score, score as negative_score
+        from positives p join scored s on s.anchor_id = p.anchor_id and not same
+         and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3"""
+    return {"op12_hard_negatives": mined, "op4_sharding": sharded, "op10_metric_tree": nearest, "op11_conversation_repair": repaired}
