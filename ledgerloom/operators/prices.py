@@ -66,21 +66,16 @@ def latest_price_list(history: DataFrame) -> DataFrame:
     )
 
 
-def price_changes(history: DataFrame, span: str = "month") -> DataFrame:
+def price_changes(history: DataFrame, tasks: int | None = None) -> DataFrame:
     """Each line whose price differs from the line before it, per provider and product.
 
     Copies of a line can only repeat a price, so it does not matter how many there are.
-    Lines of one provider, product and ``span`` of time are put in order by one task.
+    Lines are put in order in stretches that cut through products; ``tasks`` sets their number.
     """
     group = ["proveedor", *PRODUCT]
     points = history.select(*group, *TIMELINE)
-    sequenced = with_previous(
-        points,
-        group,
-        TIMELINE,
-        {"precio_unitario": "precio_anterior", "fecha_emision": "fecha_anterior"},
-        F.date_trunc(span, "fecha_emision"),
-    )
+    carried = {"precio_unitario": "precio_anterior", "fecha_emision": "fecha_anterior"}
+    sequenced = with_previous(points, group, TIMELINE, carried, tasks)
     now, before = F.col("precio_unitario"), F.col("precio_anterior")
     percent = F.when(before != 0, (now - before) / before * 100)
     return sequenced.filter(before.isNotNull() & (now != before)).select(

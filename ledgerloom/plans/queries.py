@@ -149,6 +149,12 @@ class StoredTables(Tables):
     def notes(self) -> DataFrame:
         return self.kept("clean_credit_note_lines", clean.clean_credit_note_lines(self.raw_notes))
 
+    @cached_property
+    def price_points(self) -> DataFrame:
+        """What price changes are made of, of the price history."""
+        history = prices.price_history(Tables.lines.func(self))
+        return self.kept("price_points", history.select("proveedor", *prices.PRODUCT, *prices.TIMELINE))
+
 
 # -- sources -----------------------------------------------------------------
 
@@ -355,13 +361,14 @@ def latest_price_list(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def price_changes(spark: SparkSession, folder: str) -> DataFrame:
-    return prices.price_changes(Tables(spark, folder).history)
+    return prices.price_changes(StoredTables(spark, folder).price_points)
 
 
 @query
 def price_changes_by_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table, with products cut into days, for products too big for a month in one task."""
-    return prices.price_changes(Tables(spark, folder).history, span="day")
+    """The same table from three times as many stretches of lines as the session has partitions."""
+    tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return prices.price_changes(StoredTables(spark, folder).price_points, tasks)
 
 
 # -- dashboard ---------------------------------------------------------------

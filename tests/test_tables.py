@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import clean, dedupe, edits, invoices, prices, providers
 from ledgerloom.operators import preview as look
-from ledgerloom.operators.ordered_lag import with_previous
+from ledgerloom.operators.ordered_lag import ranged, with_previous
 from ledgerloom.plans import dashboard
 from ledgerloom.schemas import CLEAN_CREDIT_NOTE_LINE
 from tests.samples import AS_OF, FIRST, INVOICE_ROWS, NOTE, NOTE_ROWS, SECOND, raw_frame, raw_row
@@ -202,12 +202,12 @@ def test_line_numbers_order_as_text(spark):
     assert (change["precio_anterior"], change["precio_nuevo"]) == (7.0, 5.0)
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_previous_row_across_spans(spark, width):
+@pytest.mark.parametrize("tasks", [None, 1, 7, 100])
+def test_previous_row_across_stretches(spark, tasks):
     rows = [("hot" if i % 3 else f"k{i % 7}", i // 4, i, float(i * 7 % 11)) for i in range(400)]
     frame = spark.createDataFrame(rows, "k string, t int, n int, v double")
     frame = frame.union(spark.createDataFrame([("hot", None, None, 1.0), (None, 3, 1, 2.0), (None, 40, 1, 3.0)], frame.schema))
-    cut = with_previous(frame, ["k"], ["t", "n"], {"v": "before", "t": "when"}, F.floor(F.col("t") / width))
+    cut = with_previous(frame, ["k"], ["t", "n"], {"v": "before", "t": "when"}, tasks)
     window = Window.partitionBy("k").orderBy(F.asc_nulls_last("t"), F.asc_nulls_last("n"))
     plain = frame.withColumns({"before": F.lag("v").over(window), "when": F.lag("t").over(window)})
     assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, cut.collect()), key=repr)
@@ -215,7 +215,30 @@ def test_previous_row_across_spans(spark, width):
 
 def test_previous_row_keeps_copies(spark):
     frame = spark.createDataFrame([("a", 1, 5.0)] * 4, "k string, t int, v double")
-    assert with_previous(frame, ["k"], ["t"], {"v": "before"}, F.col("t")).count() == 4
+    for tasks in (None, 4):
+        found = with_previous(frame, ["k"], ["t"], {"v": "before"}, tasks)
+        assert sorted(repr(r.before) for r in found.collect()) == ["5.0", "5.0", "5.0", "None"]
+    assert with_previous(frame.limit(0), ["k"], ["t"], {"v": "before"}).count() == 0
+
+
+def test_previous_row_of_odd_groups(spark):
+    odd = [None, float("nan"), 0.0, -0.0, 1.5]
+    rows = [(odd[i % 5], i // 5, float(i)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "k double, t int, v double").repartition(4)
+    window = Window.partitionBy("k").orderBy(F.asc_nulls_last("t"), "v")
+    plain = frame.withColumn("before", F.lag("v").over(window)).select("t", "v", "before")
+    found = with_previous(frame, ["k"], ["t", "v"], {"v": "before"}, 9).select("t", "v", "before")
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, found.collect()))
+
+
+def test_a_hot_group_is_dealt_over_all_tasks(spark):
+    """A third of all rows is one product on one day, and half of those are one line repeated."""
+    hot = spark.range(6000).select(F.lit("hot").alias("k"), F.lit(1).alias("t"), F.greatest(F.col("id") - 3000, F.lit(0)).alias("n"))
+    rest = spark.range(12000).select(F.concat(F.lit("p"), F.col("id") % 400).alias("k"), (F.col("id") % 7).cast("int").alias("t"), F.col("id").alias("n"))
+    rows = hot.union(rest).repartition(12)
+    dealt = ranged(rows, ["k", "t", "n"], 12)
+    sizes = dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum((F.col("k") == "hot").cast("int")).alias("hot")).collect()
+    assert len(sizes) == 12 and max(r.n for r in sizes) < 2 * 18000 / 12 and sum(r.hot > 0 for r in sizes) >= 4
 
 
 def test_monthly(lines):
