@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import r2
 from ledgerloom.operators.ordered_lag import with_previous
+from ledgerloom.operators.providers import with_provider_id
 
 PRODUCT = ["detalle", "unidad_medida", "codigo_cabys", "impuesto_tarifa"]
 # The line number is text here too: "10" comes before "2". The price comes last to
@@ -55,6 +56,11 @@ def latest_per(history: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
+def provider_prices(history: DataFrame) -> DataFrame:
+    """Every price with the id of its provider, and what the latest price of a product is found by."""
+    return with_provider_id(history).select("provider_id", *PRODUCT, *TIMELINE)
+
+
 def latest_price_list(history: DataFrame) -> DataFrame:
     return latest_per(history, ["proveedor", *PRODUCT]).select(
         "proveedor",

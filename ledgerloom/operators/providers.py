@@ -10,6 +10,8 @@ from ledgerloom.operators.columns import has_column
 
 
 def with_provider_id(lines: DataFrame) -> DataFrame:
+    if has_column(lines, "provider_id"):
+        return lines
     return lines.withColumn("provider_id", provider_id(F.col("emisor_identificacion"), F.col("proveedor")))
 
 
@@ -18,11 +20,16 @@ def total(amount: str) -> Column:
     return r2(F.sum(F.coalesce(F.col(amount), F.lit(0.0))))
 
 
+def of_known_providers(lines: DataFrame) -> DataFrame:
+    """The lines that name their provider by a tax identification or a name."""
+    known = F.coalesce(blank_to_null(F.col("emisor_identificacion")), blank_to_null(F.col("proveedor"))).isNotNull()
+    return lines.filter(known)
+
+
 def _documents_seen(lines: DataFrame, is_invoice: bool) -> DataFrame:
     """One row per provider and document, for lines whose provider is known."""
-    known = F.coalesce(blank_to_null(F.col("emisor_identificacion")), blank_to_null(F.col("proveedor"))).isNotNull()
     documents = (
-        with_provider_id(lines.filter(known))
+        with_provider_id(of_known_providers(lines))
         .groupBy("provider_id", "numero_consecutivo")
         .agg(
             F.min(blank_to_null(F.col("emisor_identificacion"))).alias("provider_identification"),

@@ -259,9 +259,9 @@ keyed as (select * replace (
 marked as (select *, trim(NumeroConsecutivo) as k1, trim(NumeroLinea) as k2 from keyed)"""
 
 
-def _first_of_pair(order: list[str]) -> str:
+def _first_of_pair(order: list[str], table: str = "marked") -> str:
     terms = ", ".join(f"{c} nulls last" for c in order)
-    return f"""from marked
+    return f"""from {table}
   qualify (k1 = '' and k2 = '') or row_number() over (partition by k1, k2 order by {terms}) = 1"""
 
 
@@ -460,9 +460,29 @@ from lines group by all""",
             [_JOINED, _RAW, _BLANK_KEYS], f"select {_list(RAW_COLUMNS)} {_first_of_pair(_file_first())}"
         ),
         "dedupe_keep_first": sql(
-            [_JOINED, _RAW, _BLANK_KEYS],
+            [
+                _JOINED,
+                _RAW,
+                _BLANK_KEYS,
+                f"""
+placed as (select *, if(SourceFile = 'batch_r.xml', 0, 1) as load_rank, 'cents_' || right(PrecioUnitario, 2) || '.csv' as load_file from marked),
+loaded as (
+  select *, row_number() over (partition by load_rank, load_file order by {_list([f"{c} desc" for c in RAW_COLUMNS])}) - 1 as load_row
+  from placed)""",
+            ],
             "select * exclude (k1, k2) replace (k1 as NumeroConsecutivo, k2 as NumeroLinea) "
-            + _first_of_pair([c for c in RAW_COLUMNS if c not in ("NumeroConsecutivo", "NumeroLinea")]),
+            + _first_of_pair(["load_rank", "load_file", "load_row"], "loaded"),
+        ),
+        "dedupe_documents": sql(
+            [
+                *_ORDER_FILES,
+                f"""
+loaded as (
+  select *, if(TipoDocumento = 'FACTURA', 1, 0) as load_rank, SourceFile as load_file, NumeroConsecutivo as k1, NumeroLinea as k2,
+         row_number() over (partition by SourceFile order by {_list([f"{c} desc" for c in RAW_COLUMNS[RAW_COLUMNS.index("NumeroLinea") :]])}) - 1 as load_row
+  from (select * from raw union all select * from raw_notes))""",
+            ],
+            "select * exclude (k1, k2) " + _first_of_pair(["load_rank", "load_file", "load_row"], "loaded"),
         ),
         "load_metrics": sql(
             [_JOINED, _RAW, _BLANK_KEYS],

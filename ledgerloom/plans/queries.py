@@ -23,6 +23,7 @@ from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
 from ledgerloom.sources import csv_batches, runs, star_schema, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
+from ledgerloom.sources.intake import LOAD_ORDER
 from ledgerloom.sources.tables import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,13 +79,7 @@ class Tables:
 
     @cached_property
     def totals(self) -> DataFrame:
-        lines, notes = self.lines, self.notes
-        return dashboard.provider_totals(
-            providers.providers(lines, notes),
-            providers.provider_invoices(lines),
-            providers.provider_products(lines),
-            providers.provider_credit_notes(notes),
-        )
+        return dashboard.provider_totals_of_lines(self.lines, self.notes)
 
     @cached_property
     def runs(self) -> DataFrame:
@@ -107,11 +102,11 @@ class Tables:
             star_schema.line_documents(lines).write.mode("append").parquet(landed)
         return self.spark.read.parquet(landed)
 
-    def landed_files(self) -> tuple[str, str]:
+    def landed_files(self, ascending: bool = True) -> tuple[str, str]:
         """Folders of .xml files: one invoice per order, one credit note per order with returned lines."""
         folder = scratch_folder(self.spark, "xml-files")
         for name, lines in (("invoices", self.raw), ("notes", self.raw_notes)):
-            star_schema.land_files(star_schema.order_documents(lines), f"{folder}/{name}")
+            star_schema.land_files(star_schema.order_documents(lines, ascending), f"{folder}/{name}")
         return f"{folder}/invoices", f"{folder}/notes"
 
     def edited_providers(self, original: DataFrame) -> DataFrame:
@@ -149,6 +144,15 @@ class StoredTables(Tables):
     def notes(self) -> DataFrame:
         return self.kept("clean_credit_note_lines", clean.clean_credit_note_lines(self.raw_notes))
 
+    @cached_property
+    def provider_lines(self) -> DataFrame:
+        """What products and their prices are made of, stored by provider."""
+        lines = providers.with_provider_id(Tables.lines.func(self))
+        columns = ["provider_id", "proveedor", *prices.PRODUCT, *prices.TIMELINE, "cantidad", "monto_total_linea_crc"]
+        # Written as they come first: finding the ranges reads the rows once more.
+        self.stock.publish("provider_lines", self.kept("line_points", lines.select(*columns)), cluster_by=["provider_id"])
+        return self.stock.read("provider_lines")
+
     @cached_property
     def price_points(self) -> DataFrame:
         """What price changes are made of, of the price history."""
@@ -310,10 +314,27 @@ def dedupe_lines(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe.dedupe_lines(star_schema.with_blank_keys(Tables(spark, folder).raw))
 
 
+def _loaded(frame: DataFrame) -> DataFrame:
+    """Lines with their place in the order of loading, less the folders that are new in every run."""
+    file = F.element_at(F.split("load_path", "/"), -1)
+    return frame.select(*RAW_COLUMNS, "load_rank", file.alias("load_file"), "load_row")
+
+
 @query
 def dedupe_keep_first(spark: SparkSession, folder: str) -> DataFrame:
-    lines = star_schema.with_blank_keys(Tables(spark, folder).raw)
-    return dedupe.dedupe_keep_first(lines, [c for c in RAW_COLUMNS if c not in dedupe.PAIR])
+    """Lines loaded from CSV files: returned ones first, by file name, in files that run from large to small lines."""
+    landed = scratch_folder(spark, "load-order")
+    star_schema.land_csv(star_schema.with_blank_keys(Tables(spark, folder).raw), landed)
+    given = [f"{landed}/returned", f"{landed}/others"]
+    return _loaded(dedupe.dedupe_keep_first(csv_batches.read_prepared_lines(spark, given, load_order=True), LOAD_ORDER))
+
+
+@query
+def dedupe_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines loaded from XML files, credit notes first, in documents that run from large to small lines."""
+    invoices_folder, notes_folder = Tables(spark, folder).landed_files(ascending=False)
+    documents = xml_documents.read_documents(spark, [notes_folder, invoices_folder])
+    return _loaded(dedupe.dedupe_keep_first(xml_documents.flatten_documents(documents, load_order=True), LOAD_ORDER))
 
 
 @query
@@ -381,22 +402,22 @@ def invoice_monthly(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def provider_overview(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.provider_overview(StoredTables(spark, folder).totals)
+    return dashboard.provider_overview(Tables(spark, folder).totals)
 
 
 @query
 def overview_kpis(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.overview_kpis(StoredTables(spark, folder).totals)
+    return dashboard.overview_kpis(Tables(spark, folder).totals)
 
 
 @query
 def top_providers_amount(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.top_by_amount(StoredTables(spark, folder).totals)
+    return dashboard.top_by_amount(Tables(spark, folder).totals)
 
 
 @query
 def top_providers_products(spark: SparkSession, folder: str) -> DataFrame:
-    return dashboard.top_by_products(StoredTables(spark, folder).totals)
+    return dashboard.top_by_products(Tables(spark, folder).totals)
 
 
 @query
@@ -404,19 +425,22 @@ def provider_labels(spark: SparkSession, folder: str) -> DataFrame:
     return dashboard.provider_labels(Tables(spark, folder).providers)
 
 
+def _product_prices(lines: DataFrame, provider: str | None = None) -> DataFrame:
+    history = lines.filter(F.col("detalle").isNotNull() & F.col("precio_unitario").isNotNull())
+    return dashboard.provider_product_prices(providers.provider_products(lines), prices.provider_prices(history), provider)
+
+
 @query
 def provider_product_prices(spark: SparkSession, folder: str) -> DataFrame:
-    tables = StoredTables(spark, folder)
-    return dashboard.provider_product_prices(providers.provider_products(tables.lines), tables.history)
+    return _product_prices(StoredTables(spark, folder).provider_lines)
 
 
 @query
 def provider_product_prices_of_one(spark: SparkSession, folder: str) -> DataFrame:
     """For the provider with the smallest id, found in the data."""
-    tables = StoredTables(spark, folder)
-    smallest = providers.with_provider_id(tables.lines).agg(F.min("provider_id"))
-    products = providers.provider_products(tables.lines)
-    return dashboard.provider_product_prices(products, tables.history, smallest.scalar())
+    lines = StoredTables(spark, folder).provider_lines
+    # The value is named in the plan, so that it reaches the scan's filter.
+    return _product_prices(lines, lines.agg(F.min("provider_id")).first()[0])
 
 
 @query

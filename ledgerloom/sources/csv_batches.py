@@ -1,103 +1,147 @@
-"""Batches of CSV files that may not share a header."""
+"""Batches of CSV files that may not share a header.
+
+All files are read in one scan, whatever their headers: the task that opens a file reads its header and
+puts each value under the column of its name. A CSV scan of Spark's takes one header for
+all files and would put values under wrong names.
+"""
 
 from __future__ import annotations
 
 import csv
 import io
-import re
-from collections.abc import Iterable, Iterator, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import quoted
 from ledgerloom.operators.checkpoints import scratch_folder
-from ledgerloom.operators.columns import has_column, require_columns
+from ledgerloom.operators.columns import require_columns
 from ledgerloom.schemas import PREPARED_COLUMNS
+from ledgerloom.sources.intake import LOAD_ORDER, LOAD_TYPES, TASK_BYTES, dealt, file_name, listed, store_of
 
+#: Records of a batch.
+BATCH = 8192
+_LONGEST_FIELD = (1 << 31) - 1
 
-# Characters that a path of Spark's readers takes for a pattern.
-_GLOB = re.compile(r"([\[\]{}*?\\])")
 
+def _open(path: str) -> io.TextIOWrapper:
+    store, inner = store_of(path)
+    return io.TextIOWrapper(store.open_input_stream(inner), encoding="utf-8-sig", errors="replace", newline="")
 
-def _open(path: str):
-    from pyarrow import fs
 
-    scheme, _, rest = path.partition(":")
-    if scheme == "file":
-        return fs.LocalFileSystem().open_input_stream("/" + rest.lstrip("/"))
-    file_system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return file_system.open_input_stream(inner)
+def _header(path: str) -> list[str]:
+    with _open(path) as lines:
+        return next(csv.reader(lines), [])
 
 
-def _headers(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first record of each file; the rest of the file is not read."""
+    csv.field_size_limit(_LONGEST_FIELD)
     for batch in batches:
-        headers = []
-        for path in batch["path"]:
-            with _open(path) as stream:
-                lines = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-                headers.append(next(csv.reader(lines), []))
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
-
-
-def check_endings(paths: Sequence[str], endings: tuple[str, ...], what: str) -> None:
-    """Refuse an empty batch and files of another kind; a path without a dot is a folder."""
-    if not paths:
-        raise ValueError(f"Give at least one {what}")
-    for path in paths:
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        if "." in name and "*" not in name and not name.lower().endswith(endings):
-            raise ValueError(f"Not a {what}: {name}")
-
-
-def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
+        headers = pa.array([_header(p) for p in batch.column("load_path").to_pylist()], pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([batch.column("load_rank"), batch.column("load_path"), headers], ["load_rank", "load_path", "header"])
+
+
+def _whole(path: str) -> Iterator[list[str]]:
+    """The records of a file after its header; line breaks may stand inside quotes."""
+    with _open(path) as lines:
+        yield from islice(csv.reader(lines), 1, None)
+
+
+def _part(path: str, start: int, stop: int) -> Iterator[list[str]]:
+    """The records of the lines that begin from byte `start` to before `stop`, without the header."""
+    store, inner = store_of(path)
+    with store.open_input_file(inner) as file:
+        file.seek(max(0, start - 1))
+        raw = io.BufferedReader(file, 1 << 20)
+        # A line that begins right at `start` is told by the line break before it.
+        at = start - 1 + len(raw.readline()) if start else len(raw.readline())
+        while at < stop:
+            line = raw.readline()
+            if not line:
+                return
+            at += len(line)
+            yield next(csv.reader([line.decode("utf-8", "replace")]), [])
+
+
+def _reader(columns: list[str], multi_line: bool, load_order: bool) -> Callable:
+    """Reads parts of files as batches of all the columns; what a file lacks is ""."""
+    places = {c.lower(): k for k, c in enumerate(columns)}
+
+    def sources(header: Sequence[str]) -> list[int | None]:
+        found: list[int | None] = [None] * len(columns)
+        for k, name in enumerate(unrepeated(header)):
+            found[places[name.lower()]] = k
+        return found
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(_LONGEST_FIELD)
+        known: dict[tuple, list[int | None]] = {}
+        names = [*columns, *(LOAD_ORDER if load_order else [])]
+        for batch in batches:
+            for part in batch.to_pylist():
+                path, start = part["load_path"], part["start"]
+                header = tuple(_header(path))
+                if not header:
+                    continue
+                if header not in known:
+                    known[header] = sources(header)
+                width, number = len(header), 0
+                records = _whole(path) if multi_line else _part(path, start, min(start + TASK_BYTES, part["size"]))
+                records = (r for r in records if r)
+                while some := list(islice(records, BATCH)):
+                    if any(len(r) != width for r in some):
+                        some = [(r + [""] * (width - len(r)))[:width] for r in some]
+                    values, n = list(zip(*some)), len(some)
+                    arrays = [
+                        pa.array(values[k], pa.string()) if k is not None else pa.repeat(pa.scalar(file_name(path) if c == "SourceFile" else ""), n)
+                        for c, k in zip(columns, known[header], strict=True)
+                    ]
+                    if load_order:
+                        arrays += [pa.repeat(pa.scalar(part["load_rank"], pa.int32()), n), pa.repeat(pa.scalar(path), n)]
+                        arrays += [pa.repeat(pa.scalar(start), n), pa.array(range(number, number + n), pa.int64())]
+                    number += n
+                    yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return read
+
+
+def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False) -> DataFrame:
     """All files as text columns, united by column name; what is missing is "".
 
-    Files are read once per distinct header, since one CSV scan over different
-    headers would put values under wrong names. ``SourceFile`` is the file name
-    unless the files bring that column. Turn ``multi_line`` off for big files
-    without line breaks inside quotes: they can then be split between tasks.
+    Columns come in the order in which files bring them. ``SourceFile`` is the file name
+    unless the files bring that column. A record with fewer values than its header is filled up, one with
+    more is cut. Turn ``multi_line`` off for big files without line breaks inside quotes: they are then
+    split between tasks. ``load_order`` adds each row's place in the order of loading (``LOAD_ORDER``).
     """
-    check_endings(paths, (".csv",), "CSV file")
-    # The content column is never selected, so this lists files and reads none.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(list(paths)).select("path")
-    listed = files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(
-        _headers, "path string, header array<string>"
-    )
-    # Kept, so that every file is opened for its header once.
+    files = listed(spark, paths, (".csv",), "CSV file")
+    # Kept, so that the layouts come from one opening of every file.
     kept = scratch_folder(spark, "csv-headers")
-    listed.write.parquet(kept)
-    headers = spark.read.schema(listed.schema).parquet(kept)
-    layouts = headers.groupBy("header").agg(F.min("path").alias("first")).orderBy("first").collect()
-    layouts = [row.header for row in layouts if row.header]
+    described = "load_rank int, load_path string, header array<string>"
+    dealt(files).mapInArrow(_headers, described).write.parquet(kept)
+    headers = spark.read.schema(described).parquet(kept).filter(F.size("header") > 0)
+    # One row for each distinct header.
+    layouts = headers.groupBy("header").agg(F.min(F.struct("load_rank", "load_path")).alias("first")).orderBy("first").collect()
     if not layouts:
         raise ValueError("The CSV files hold no header")
-    if len(layouts) == 1:
-        return _read_layout(spark, layouts[0], list(paths), multi_line).na.fill("")
-    parts = []
-    for header in layouts:
-        # File names only, as Spark's own file listing holds them.
-        same = headers.filter(F.col("header") == F.array(*[F.lit(c) for c in header]))
-        found = [_GLOB.sub(r"\\\1", row.path) for row in same.select("path").collect()]
-        parts.append(_read_layout(spark, header, found, multi_line))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
-
-
-def _read_layout(spark: SparkSession, header: list[str], paths: list[str], multi_line: bool) -> DataFrame:
-    header = unrepeated(header)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    frame = spark.read.csv(
-        paths, schema=schema, header=True, multiLine=multi_line, escape='"', encoding="UTF-8", pathGlobFilter="*.[cC][sS][vV]"
-    )
-    if has_column(frame, "SourceFile"):
-        return frame
-    # Names come encoded as in a URL, in which a plus sign stands for itself.
-    name = F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
-    return frame.select(name.alias("SourceFile"), *[quoted(c) for c in header])
+    columns: dict[str, str] = {}
+    for layout in layouts:
+        own = unrepeated(layout.header)
+        for name in own if any(c.lower() == "sourcefile" for c in own) else ["SourceFile", *own]:
+            columns.setdefault(name.lower(), name)
+    columns["sourcefile"] = "SourceFile"
+    clashing = [c for c in LOAD_ORDER if load_order and c in columns]
+    if clashing:
+        raise ValueError(f"Columns of the files take the names of the load order: {clashing}")
+    starts = F.lit(0) if multi_line else F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(TASK_BYTES)))
+    parts = dealt(files.withColumn("start", starts.cast("long")) if multi_line else files.select("*", starts.alias("start")))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns.values()])
+    if load_order:
+        schema = T.StructType([*schema.fields, *T.StructType.fromDDL(LOAD_TYPES).fields])
+    return parts.mapInArrow(_reader(list(columns.values()), multi_line, load_order), schema)
 
 
 def unrepeated(header: Sequence[str]) -> list[str]:
@@ -114,6 +158,6 @@ def unrepeated(header: Sequence[str]) -> list[str]:
     return names
 
 
-def read_prepared_lines(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_prepared_lines(spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False) -> DataFrame:
     """A CSV batch that must bring every column of a prepared line file."""
-    return require_columns(read_csv_batch(spark, paths, multi_line), PREPARED_COLUMNS, "Prepared line file")
+    return require_columns(read_csv_batch(spark, paths, multi_line, load_order), PREPARED_COLUMNS, "Prepared line file")

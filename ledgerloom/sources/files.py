@@ -33,3 +33,9 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     file_system, location = _file_system(spark, path)
     if file_system.exists(location):
         file_system.delete(location, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme; one without belongs to the default file system."""
+    file_system, location = _file_system(spark, path)
+    return file_system.makeQualified(location).toString()

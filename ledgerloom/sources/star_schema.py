@@ -6,16 +6,19 @@ Odd values (no identification, no trade name, no rate) are put in by rule.
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import r2
 from ledgerloom.schemas import DOCUMENT_TYPES, RAW_COLUMNS
 from ledgerloom.sources.datasets import read_dataset
+from ledgerloom.sources.files import qualified
+from ledgerloom.sources.intake import store_of
 from ledgerloom.sources.runs import CREATED, FAILED, RUN_EVENT, SELECTED, SUCCESS
 
 
@@ -213,8 +216,8 @@ def line_documents(lines: DataFrame) -> DataFrame:
     return spelled.select("source_file", F.when(F.col("number") == 6, cut).otherwise(F.col("xml")).alias("xml"))
 
 
-def order_documents(lines: DataFrame) -> DataFrame:
-    """One XML document per document number, as (``source_file``, ``xml``), with all its lines.
+def order_documents(lines: DataFrame, ascending: bool = True) -> DataFrame:
+    """One XML document per document number, as (``source_file``, ``xml``), with all its lines in order.
 
     Where lines of a document differ in a field of the document, the smallest value stands in it.
     """
@@ -230,7 +233,7 @@ def order_documents(lines: DataFrame) -> DataFrame:
     heads = [c for c in RAW_COLUMNS[:first] if c not in ("SourceFile", "TipoDocumento", "NumeroConsecutivo")]
     # An order has a handful of lines.
     grouped = lines.groupBy("TipoDocumento", "NumeroConsecutivo").agg(
-        *[least(c) for c in heads], F.sort_array(F.collect_list(line)).alias("LineaDetalle")
+        *[least(c) for c in heads], F.sort_array(F.collect_list(line), ascending).alias("LineaDetalle")
     )
 
     def part(name: str, **children: str) -> Column:
@@ -268,12 +271,12 @@ def order_documents(lines: DataFrame) -> DataFrame:
 def land_files(documents: DataFrame, folder: str) -> int:
     """Write each document to a file of its name, from the tasks; returns how many.
 
-    Spark's writers name their files themselves, so this goes through Arrow's file systems, and the
-    folder must be one that they reach.
+    Spark's writers name their files themselves, so this goes through Arrow's file systems.
     """
+    folder = qualified(documents.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = store_of(folder)
         store.create_dir(root)
         for batch in batches:
             for name, xml in zip(batch.column("source_file").to_pylist(), batch.column("xml").to_pylist(), strict=True):
@@ -284,6 +287,40 @@ def land_files(documents: DataFrame, folder: str) -> int:
     return documents.mapInArrow(write, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
 
 
+def load_place(lines: DataFrame) -> DataFrame:
+    """Raw lines with the folder (``returned`` or ``others``) and the CSV file they are landed in: by the cents of their price."""
+    folder = F.when(F.col("SourceFile") == "batch_r.xml", "returned").otherwise("others")
+    cents = F.substring("PrecioUnitario", -2, 2)
+    return lines.withColumns({"folder": folder, "file": F.concat(F.lit("cents_"), cents, F.lit(".csv"))})
+
+
+def land_csv(lines: DataFrame, root: str) -> None:
+    """Write raw lines to the files of ``load_place``, from the largest line to the smallest."""
+    root = qualified(lines.sparkSession, root)
+    order = ["folder", "file", *[F.desc(c) for c in RAW_COLUMNS]]
+    ordered = load_place(lines).repartition("folder", "file").sortWithinPartitions(*order)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, inner = store_of(root)
+        now, out = None, None
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in RAW_COLUMNS]
+            places = zip(batch.column("folder").to_pylist(), batch.column("file").to_pylist())
+            for place, *values in zip(places, *columns):
+                if place != now:
+                    if out:
+                        out.close()
+                    store.create_dir(f"{inner}/{place[0]}")
+                    now, out = place, io.TextIOWrapper(store.open_output_stream(f"{inner}/{place[0]}/{place[1]}"), "utf-8", newline="")
+                    csv.writer(out).writerow(RAW_COLUMNS)
+                csv.writer(out).writerow(values)
+            yield pa.record_batch({"lines": pa.array([batch.num_rows], pa.int64())})
+        if out:
+            out.close()
+
+    ordered.mapInArrow(write, "lines long").agg(F.sum("lines")).collect()
+
+
 def credit_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Provider id and the credit term last set for it: the newest event of each user."""
     latest = (

@@ -12,7 +12,7 @@ An *append-only* table is one dataset that only gains files.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import check_table_name
 from ledgerloom.operators.columns import has_column
+from ledgerloom.operators.ordered_lag import ranged
 from ledgerloom.sources.files import path_exists, remove_folder, rename_folder, subfolders
 
 
@@ -54,18 +55,24 @@ class TableStore:
         folders = [f"{self.path(name)}/{f}" for f in subfolders(self.spark, self.path(name)) if f.startswith("version=")]
         return [f for f in folders if path_exists(self.spark, f"{f}/_SUCCESS")]
 
-    def publish(self, name: str, df: DataFrame, replace: bool = True) -> int:
+    def publish(self, name: str, df: DataFrame, replace: bool = True, cluster_by: Sequence[str] = ()) -> int:
         """Write a new current version; the row count is taken during the write."""
         if not replace and self.exists(name):
             raise ValueError(f"Table {name} exists already")
-        staged = self.stage(name, df)
+        staged = self.stage(name, df, cluster_by)
         self.switch([staged])
         return staged.rows
 
-    def stage(self, name: str, df: DataFrame) -> Staged:
-        """Write a version that readers do not see yet."""
+    def stage(self, name: str, df: DataFrame, cluster_by: Sequence[str] = ()) -> Staged:
+        """Write a version that readers do not see yet.
+
+        ``cluster_by`` puts the rows in order by those columns, in files of even size, so that a reader who asks for some
+        values skips by Parquet's statistics what cannot hold them. A value that has most of the rows gets many files.
+        """
         counted = Observation()
         path = f"{self.path(name)}/staged={uuid4().hex}"
+        if cluster_by:
+            df = ranged(df, cluster_by)
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         return Staged(name, path, counted.get["rows"])
 

@@ -4,11 +4,16 @@ The standard parser reads each document, in Arrow batches: what is well formed,
 encodings, entities and namespaces count, is its business. Spark's ``from_xml`` reads
 only part of a document's rules: it knows no namespaces, mixes the text around inner
 elements, and takes what follows the root for granted.
+
+A document is fed to the parser in chunks, and elements are taken from the tree as soon as they are
+complete, so what is held of a long one is a chunk and some thousands of lines. Whether it is well
+formed, and what stands behind the lines, is known at its end only; a document with more lines than are held is
+read a second time for them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from xml.etree import ElementTree
 
@@ -18,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schemas import DEFAULT_CURRENCY, DEFAULT_RATE, DOCUMENT_TYPES, RAW_COLUMNS
-from ledgerloom.sources.csv_batches import check_endings
+from ledgerloom.sources.intake import LOAD_ORDER, LOAD_TYPES, landed, listed
 
 # Raw column and its element, from the document root.
 DOCUMENT_PATHS = {
@@ -51,14 +56,20 @@ TAX_PATHS = {
     "Impuesto_Monto": "Monto",
 }
 _DEFAULTS = {"CodigoMoneda": DEFAULT_CURRENCY, "TipoCambio": DEFAULT_RATE}
-_LINE, _REFERENCE, _TAX = "DetalleServicio/LineaDetalle", "InformacionReferencia", "Impuesto"
+_DETAIL, _LINE, _REFERENCE, _TAX = "DetalleServicio", "LineaDetalle", "InformacionReferencia", "Impuesto"
+_HEAD = [*DOCUMENT_PATHS, *REFERENCE_PATHS]
+_OF_LINE = [*LINE_ELEMENTS, *TAX_PATHS]
+
+#: Bytes fed to the parser at a time, lines of a document that are held until its end, and lines of a batch.
+CHUNK, HELD, BATCH = 1 << 16, 4096, 4096
 
 
 def read_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Whole XML files as (``source_file``, ``content``)."""
-    check_endings(paths, (".xml",), "XML file")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[xX][mM][lL]").load(list(paths))
-    return file_documents(files)
+    """Whole XML files as (``source_file``, ``content``), with their place in the order of loading.
+
+    Files are found and opened by tasks and landed once, many to a container.
+    """
+    return landed(listed(spark, paths, (".xml",), "XML file"))
 
 
 def file_documents(files: DataFrame) -> DataFrame:
@@ -66,109 +77,265 @@ def file_documents(files: DataFrame) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
 
 
-@lru_cache(maxsize=1024)
-def _qualified(path: str, namespace: str) -> str:
-    """The path with every step in the namespace of the root."""
-    return "/".join(namespace + step for step in path.split("/"))
+class _Layout:
+    """The tags to look for, in one namespace: steps from the root to a column, and those of a line."""
+
+    def __init__(self, namespace: str):
+        self.head: dict[str, tuple] = {}
+        for column, path in DOCUMENT_PATHS.items():
+            *above, last = path.split("/")
+            steps = self.head
+            for step in above:
+                steps = steps.setdefault(namespace + step, (None, {}))[1]
+            steps.setdefault(namespace + last, (column, {}))
+        self.detail, self.line, self.reference, self.tax = (namespace + t for t in (_DETAIL, _LINE, _REFERENCE, _TAX))
+        self.references = {namespace + t: c for c, t in REFERENCE_PATHS.items()}
+        self.fields = {namespace + t: k for k, t in enumerate(LINE_ELEMENTS)}
+        self.taxes = {namespace + t: len(LINE_ELEMENTS) + k for k, t in enumerate(TAX_PATHS.values())}
+
+    def values(self, line: ElementTree.Element) -> tuple[str, ...]:
+        """Texts of the first of each element of a line, and of those of its first tax."""
+        found: list[str | None] = [None] * len(_OF_LINE)
+        fields, taxed = self.fields, False
+        for child in line:
+            at = fields.get(child.tag)
+            if at is not None:
+                if found[at] is None:
+                    found[at] = child.text or ""
+            elif child.tag == self.tax and not taxed:
+                taxed = True
+                for part in child:
+                    at = self.taxes.get(part.tag)
+                    if at is not None and found[at] is None:
+                        found[at] = part.text or ""
+        return tuple(["" if x is None else x for x in found])
+
+
+@lru_cache(maxsize=256)
+def _layout(namespace: str) -> _Layout:
+    return _Layout(namespace)
+
+
+def _first_texts(node: ElementTree.Element, steps: dict[str, tuple], found: dict[str, str]) -> None:
+    """The text of the first element at the end of each path below the node."""
+    for child in node:
+        column, below = steps.get(child.tag, (None, None))
+        if column is not None:
+            found.setdefault(column, child.text or "")
+        if below:
+            _first_texts(child, below, found)
+
+
+def _namespace(root: ElementTree.Element) -> str:
+    namespace, brace, _ = root.tag.rpartition("}")
+    return namespace + brace
+
+
+def _elements(content: bytes | memoryview | str) -> Iterator[tuple[str, ElementTree.Element]]:
+    """The root, then its children as they are complete, those that hold lines as one line after the other."""
+    size = len(content)
+    if size <= CHUNK:
+        parser = ElementTree.XMLParser()
+        parser.feed(content)
+        root = parser.close()
+        yield "root", root
+    else:
+        pulled, root = ElementTree.XMLPullParser(["start"]), None
+        for start in range(0, size, CHUNK):
+            pulled.feed(content[start : start + CHUNK])
+            for _, element in pulled.read_events():
+                if root is None:
+                    root = element
+                    yield "root", root
+            if root is not None and len(root):
+                yield from _complete(root, len(root) - 1)
+                rest = root[0]
+                if rest.tag == _namespace(root) + _DETAIL and len(rest) > 1:
+                    yield from (("line", line) for line in rest[:-1] if line.tag == _namespace(root) + _LINE)
+                    del rest[:-1]
+        pulled.close()
+        for _, element in pulled.read_events():
+            if root is None:
+                root = element
+                yield "root", root
+    yield from _complete(root, len(root))
+
+
+def _complete(root: ElementTree.Element, n: int) -> Iterator[tuple[str, ElementTree.Element]]:
+    """The first n children of the root, which are taken away."""
+    namespace = _namespace(root)
+    for child in root[:n]:
+        if child.tag == namespace + _DETAIL:
+            yield from (("line", line) for line in child if line.tag == namespace + _LINE)
+        else:
+            yield "child", child
+    del root[:n]
 
 
 class _Document:
-    """One parsed document, or the reason why it gives no lines."""
-
-    def __init__(self, content: bytes | str | None):
-        self.kind = self.reason = None
+    """What one reading tells of a document: its kind or the reason why it has none, its fields, how
+    many lines it has, and the first of them."""
+
+    def __init__(self, content: bytes | memoryview | str | None, with_lines: bool = True):
+        self.kind = self.reason = self.reference = None
+        self.found: dict[str, str] = {}
+        self.lines: list[tuple[str, ...]] = []
+        self.n = 0
         if content is None:
             self.reason = "unreadable"
             return
-        parser = ElementTree.XMLParser()
+        layout = None
         try:
-            parser.feed(content)
-            self.root = parser.close()
+            for what, element in _elements(content):
+                if what == "root":
+                    self.kind = DOCUMENT_TYPES.get(element.tag.rpartition("}")[2])
+                    layout = _layout(_namespace(element)) if self.kind and with_lines else None
+                elif layout is None:
+                    continue
+                elif what == "line":
+                    self.n += 1
+                    if self.n <= HELD:
+                        self.lines.append(layout.values(element))
+                else:
+                    self._field(layout, element)
         except ElementTree.ParseError:
-            self.reason = "malformed"
-            return
+            self.kind, self.reason = None, "malformed"
         except (LookupError, ValueError):  # an encoding that nobody knows
-            self.reason = "unreadable"
-            return
-        namespace, brace, name = self.root.tag.rpartition("}")
-        self.namespace = namespace + brace
-        self.kind = DOCUMENT_TYPES.get(name)
+            self.kind, self.reason = None, "unreadable"
+        else:
+            if self.kind is None:
+                self.reason = "other document"
+
+    def _field(self, layout: _Layout, element: ElementTree.Element) -> None:
+        column, below = layout.head.get(element.tag, (None, None))
+        if column is not None:
+            self.found.setdefault(column, element.text or "")
+        if below:
+            _first_texts(element, below, self.found)
+        if element.tag == layout.reference and self.reference is None:
+            self.reference = {}
+            _first_texts(element, {t: (c, {}) for t, c in layout.references.items()}, self.reference)
+
+    def rows(self, source_file: str, content: bytes | memoryview | str | None) -> Iterator[tuple[str, ...]]:
+        """Raw lines, in the order of RAW_COLUMNS; of malformed and other documents none."""
         if self.kind is None:
-            self.reason = "other document"
+            return
+        found = self.found | (self.reference or {})
+        head = (source_file, self.kind, *(found.get(c, _DEFAULTS.get(c, "")) for c in _HEAD))
+        if self.n <= HELD:
+            yield from (head + line for line in self.lines)
+            return
+        self.lines = []
+        layout = None
+        for what, element in _elements(content):
+            if what == "root":
+                layout = _layout(_namespace(element))
+            elif what == "line":
+                yield head + layout.values(element)
 
-    def texts(self, node: ElementTree.Element | None, paths: dict[str, str]) -> dict[str, str]:
-        """Text of the first element at each path below the node."""
-        if node is None:
-            return dict.fromkeys(paths, "")
-        return {c: node.findtext(_qualified(p, self.namespace), _DEFAULTS.get(c, "")) for c, p in paths.items()}
 
-    def lines(self, source_file: str) -> Iterator[dict[str, str]]:
-        if self.reason:
-            return
-        head = {"SourceFile": source_file, "TipoDocumento": self.kind, **self.texts(self.root, DOCUMENT_PATHS)}
-        head |= self.texts(self.root.find(_qualified(_REFERENCE, self.namespace)), REFERENCE_PATHS)
-        for line in self.root.iterfind(_qualified(_LINE, self.namespace)):
-            tax = self.texts(line.find(_qualified(_TAX, self.namespace)), TAX_PATHS)
-            yield head | self.texts(line, dict(zip(LINE_ELEMENTS, LINE_ELEMENTS, strict=True))) | tax
+def _contents(batches: Iterator[pa.RecordBatch], body: str, *columns: str) -> Iterator[tuple]:
+    """Each document's content and the given columns; bytes are not copied."""
+    for batch in batches:
+        more = [batch.column(c).to_pylist() for c in columns]
+        for content, *rest in zip(batch.column(body), *more, strict=True):
+            if content.is_valid and pa.types.is_binary(content.type):
+                yield memoryview(content.as_buffer()), *rest
+            else:
+                yield content.as_py(), *rest
+
+
+def _body(documents: DataFrame) -> str:
+    """A document's text is in ``content`` (bytes) or ``xml``."""
+    return "content" if "content" in documents.columns else "xml"
 
 
-def _each(documents: DataFrame, columns: Sequence[str], rows: Callable[[str, _Document], Iterator[dict]]) -> DataFrame:
-    """``rows`` of every document; its text is in ``content`` (bytes) or ``xml``."""
-    body = "content" if "content" in documents.columns else "xml"
+def _texts(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+def _described(documents: DataFrame) -> DataFrame:
+    """(``source_file``, ``TipoDocumento``, ``reason``) of every document."""
+    body, names = _body(documents), ["source_file", "TipoDocumento", "reason"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                found = [
-                    row
-                    for name, content in zip(part.column("source_file").to_pylist(), part.column(body).to_pylist(), strict=True)
-                    for row in rows(name, _Document(content))
-                ]
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in found], pa.string()) for c in columns], list(columns))
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names)
+
+        rows: list[tuple] = []
+        for content, name in _contents(batches, body, "source_file"):
+            document = _Document(content, with_lines=False)
+            rows.append((name, document.kind, document.reason))
+            if len(rows) >= BATCH:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
 
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return documents.select("source_file", body).mapInArrow(read, schema)
+    return documents.select("source_file", body).mapInArrow(read, _texts(names))
 
 
 def routed_documents(documents: DataFrame) -> DataFrame:
     """(``source_file``, ``TipoDocumento``) by the root element; null for those that give no lines."""
-    return _each(
-        documents, ["source_file", "TipoDocumento"], lambda name, doc: iter([{"source_file": name, "TipoDocumento": doc.kind}])
-    )
+    return _described(documents).drop("reason")
+
+
+def flatten_documents(documents: DataFrame, load_order: bool = False, kind: str | None = None) -> DataFrame:
+    """One raw row per line; unknown roots and malformed documents give none.
+
+    ``load_order`` adds each line's place in the order of loading (``LOAD_ORDER``), for documents that were
+    read from files. ``kind`` keeps the lines of one type of document.
+    """
+    body = _body(documents)
+    place = LOAD_ORDER[:2] if load_order else []
+    schema = _texts(RAW_COLUMNS)
+    if load_order:
+        schema = T.StructType([*schema.fields, *T.StructType.fromDDL(LOAD_TYPES).fields])
+    kinds = [pa.string()] * len(RAW_COLUMNS) + ([pa.int32(), pa.string(), pa.int64(), pa.int64()] if load_order else [])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], schema.names)
 
+        rows: list[tuple] = []
+        for content, name, *where in _contents(batches, body, "source_file", *place):
+            document = _Document(content)
+            if kind is not None and document.kind != kind:
+                continue
+            for number, row in enumerate(document.rows(name, content)):
+                rows.append((*row, *where, 0, number) if where else row)
+                if len(rows) >= BATCH:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
-def flatten_documents(documents: DataFrame) -> DataFrame:
-    """One raw row per line; unknown roots and malformed documents give none."""
-    return _each(documents, RAW_COLUMNS, lambda name, doc: doc.lines(name))
+    return documents.select("source_file", body, *place).mapInArrow(read, schema)
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """Documents that give no rows, with the reason: unreadable, malformed or other document."""
-    reasons = _each(
-        documents, ["source_file", "reason"], lambda name, doc: iter([{"source_file": name, "reason": doc.reason}])
-    )
-    return reasons.filter(F.col("reason").isNotNull())
+    return _described(documents).filter(F.col("reason").isNotNull()).drop("TipoDocumento")
 
 
-def invoice_lines(documents: DataFrame) -> DataFrame:
-    return flatten_documents(documents).filter(F.col("TipoDocumento") == DOCUMENT_TYPES["FacturaElectronica"])
+def invoice_lines(documents: DataFrame, load_order: bool = False) -> DataFrame:
+    return flatten_documents(documents, load_order, DOCUMENT_TYPES["FacturaElectronica"])
 
 
-def credit_note_lines(documents: DataFrame) -> DataFrame:
-    return flatten_documents(documents).filter(F.col("TipoDocumento") == DOCUMENT_TYPES["NotaCreditoElectronica"])
+def credit_note_lines(documents: DataFrame, load_order: bool = False) -> DataFrame:
+    return flatten_documents(documents, load_order, DOCUMENT_TYPES["NotaCreditoElectronica"])
 
 
-def read_invoice_xmls(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_invoice_xmls(spark: SparkSession, paths: Sequence[str], load_order: bool = False) -> DataFrame:
     """Invoice lines of many files; an error if they hold none."""
-    lines = invoice_lines(read_documents(spark, paths))
+    lines = invoice_lines(read_documents(spark, paths), load_order)
     if lines.isEmpty():
         raise ValueError("The XML files hold no line of any invoice")
     return lines
 
 
-def read_credit_note_xmls(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_credit_note_xmls(spark: SparkSession, paths: Sequence[str], load_order: bool = False) -> DataFrame:
     """Credit-note lines of many files; none is fine."""
     if not paths:
-        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS]))
-    return credit_note_lines(read_documents(spark, paths))
+        return spark.createDataFrame([], _texts(RAW_COLUMNS))
+    return credit_note_lines(read_documents(spark, paths), load_order)

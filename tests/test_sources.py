@@ -11,7 +11,7 @@ from ledgerloom.operators.export import export_csv
 from ledgerloom.plans.dashboard import read_query
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import DERIVED_TABLES, PIPELINE_RUN, PREPARED_COLUMNS, RAW_COLUMNS
-from ledgerloom.sources import csv_batches, runs, xml_documents
+from ledgerloom.sources import csv_batches, intake, runs, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
 from ledgerloom.sources.tables import TableStore, utc_now
@@ -59,6 +59,49 @@ def test_csv_batch_unites_layouts_by_name(spark, tmp_path):
     }
 
 
+def test_fifty_layouts_are_one_scan(spark, tmp_path):
+    texts = {f"f{k:02d}__csv": f"c{k},all,c{k + 1}\n" + "".join(f"{n},{k}-{n},x\n" for n in range(3)) for k in range(50)}
+    frame = csv_batches.read_csv_batch(spark, text_of(tmp_path, **texts), load_order=True)
+    assert frame._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    rows = frame.collect()
+    assert len(rows) == 150 and len(frame.columns) == 1 + 51 + 1 + 4
+    for r in rows:
+        k, n = map(int, r["all"].split("-"))
+        assert (r.SourceFile, r[f"c{k}"], r[f"c{k + 1}"], r.load_rank, r.load_row) == (f"f{k:02d}.csv", str(n), "x", k, n)
+        assert sum(bool(r[f"c{j}"]) for j in range(51)) == 2
+
+
+def test_big_csv_files_are_split_by_lines(spark, tmp_path, monkeypatch):
+    lines = [f"{k},{'é' * (k % 7)},\"a,{k}\"\n" for k in range(500)]
+    (path,) = text_of(tmp_path, big__csv="n,t,q\n" + "".join(lines))
+    import os
+
+    size = os.path.getsize(path)
+    for step in (1, 10, 64, 1000, size - 1, size, size + 1):
+        found = [r for start in range(0, size, step) for r in csv_batches._part(path, start, min(start + step, size))]
+        assert found == [[str(k), "é" * (k % 7), f"a,{k}"] for k in range(500)]
+    whole, split = (csv_batches.read_csv_batch(spark, [path], multi_line=m) for m in (True, False))
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, split.collect())) and whole.count() == 500
+
+
+def test_ragged_records(spark, tmp_path):
+    paths = text_of(tmp_path, a__csv="a,b\n1\n\n2,3,4\n5,6\n", empty__csv="", head__csv="b,c\n")
+    frame = csv_batches.read_csv_batch(spark, paths)
+    assert sorted(map(tuple, frame.select("a", "b", "c").collect())) == [("1", "", ""), ("2", "3", ""), ("5", "6", "")]
+
+
+def test_files_are_listed_in_tasks(spark, tmp_path):
+    for name in ("in/a.csv", "in/deep/er/b.CSV", "in/_not/c.csv", "in/.d.csv", "in/e.txt", "in2/f1.csv", "in2/f2.csv", "in2/x/f1.csv"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("a\n1\n")
+    given = [str(tmp_path / "in2/f1.csv"), str(tmp_path / "in"), f"{tmp_path}/in?/*2.csv", f"{tmp_path}/in2/x*"]
+    found = [(r.load_rank, r.load_path.split(str(tmp_path))[1]) for r in intake.listed(spark, given, (".csv",), "CSV file").collect()]
+    assert sorted(found) == [(0, "/in2/f1.csv"), (1, "/in/a.csv"), (1, "/in/deep/er/b.CSV"), (2, "/in2/f2.csv"), (3, "/in2/x/f1.csv")]
+    with pytest.raises(Exception, match="nowhere"):
+        intake.listed(spark, [str(tmp_path / "nowhere")], (".csv",), "CSV file").count()
+
+
 def test_csv_byte_order_mark(spark, tmp_path):
     paths = text_of(tmp_path, a__CSV=b"\xef\xbb\xbfa,b\n1,2\n")
     frame = csv_batches.read_csv_batch(spark, paths)
@@ -179,6 +222,37 @@ def test_xml_files_and_encodings(spark, tmp_path):
     assert [tuple(r) for r in rejected] == [("d.xml", "malformed")]
 
 
+@pytest.mark.parametrize("held", [2, 4096])
+@pytest.mark.parametrize("kind", ["bytes", "str"])
+def test_long_documents_are_read_in_chunks(monkeypatch, held, kind):
+    """Lines before, between and after other elements, in any number of details, cut anywhere by chunks."""
+    line = "<LineaDetalle><NumeroLinea>{}</NumeroLinea><Detalle>dé {}</Detalle><Impuesto><Tarifa>{}</Tarifa></Impuesto></LineaDetalle>"
+    detail = "<DetalleServicio><Otro/>" + "".join(line.format(k, k, k) for k in range(40)) + "</DetalleServicio>"
+    text = f"<FacturaElectronica xmlns='u'><Clave>7</Clave>{detail}<LineaDetalle/>{detail}<Emisor><Nombre>n</Nombre></Emisor></FacturaElectronica>"
+    read = lambda t: list((d := xml_documents._Document(t if kind == "str" else t.encode())).rows("f", t if kind == "str" else t.encode())) or d.reason
+    expected = read(text)
+    assert len(expected) == 80 and expected[-1][2:6] == ("7", "", "", "n")
+    monkeypatch.setattr(xml_documents, "HELD", held)
+    for chunk in (1, 7, 100, 3000):
+        monkeypatch.setattr(xml_documents, "CHUNK", chunk)
+        assert read(text) == expected
+        assert read(text[:-1]) == read(text + "x") == read(text.replace("<Clave>", "<x>")) == "malformed"
+        assert read("<Other>" + detail + "</Other>") == "other document" and read("") == "malformed"
+
+
+def test_a_long_document_needs_little_memory():
+    import tracemalloc
+
+    line = "<LineaDetalle>" + "".join(f"<{c}>{c}</{c}>" for c in xml_documents.LINE_ELEMENTS) + "</LineaDetalle>"
+    text = b"<FacturaElectronica><DetalleServicio>" + line.encode() * 30_000 + b"</DetalleServicio></FacturaElectronica>"
+    tracemalloc.start()
+    document = xml_documents._Document(memoryview(text))
+    n = sum(1 for _ in document.rows("f", memoryview(text)))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert n == 30_000 and len(text) > 15e6 and peak < 12e6
+
+
 LINE = "<DetalleServicio><LineaDetalle><Detalle>own</Detalle></LineaDetalle></DetalleServicio>"
 
 

@@ -10,6 +10,7 @@ from ledgerloom.operators import clean, dedupe, edits, invoices, prices, provide
 from ledgerloom.operators import preview as look
 from ledgerloom.operators.ordered_lag import ranged, with_previous
 from ledgerloom.plans import dashboard
+from ledgerloom.sources.tables import TableStore
 from ledgerloom.schemas import CLEAN_CREDIT_NOTE_LINE
 from tests.samples import AS_OF, FIRST, INVOICE_ROWS, NOTE, NOTE_ROWS, SECOND, raw_frame, raw_row
 
@@ -263,6 +264,102 @@ def test_overview(lines, notes):
     assert dashboard.provider_labels(totals).first().provider_label == "Huerta Verde | 3101000001"
 
 
+def odd_line_rows(n=400):
+    """Lines of known and unknown providers, with and without products, amounts and documents in common."""
+    for i in range(n):
+        yield {
+            **INVOICE_ROWS[i % 3],
+            "Emisor_Identificacion": ["", "31", "32", None, " ", "33"][i % 6],
+            "Emisor_NombreComercial": ["", "Tc A", None, "Ünd-b"][i % 4],
+            "Emisor_Nombre": ["", "Tc A", None][i % 3] if i % 5 else "L",
+            "NumeroConsecutivo": [f"n{i % 37}", "", None][0 if i % 11 else i % 3],
+            "Detalle": [f"p{i % 9}", None, ""][0 if i % 7 else i % 3],
+            "CodigoCABYS": [None, "c"][i % 2],
+            "Impuesto_Tarifa": ["13", "", "NaN", "0"][i % 4],
+            "MontoTotalLinea": ["10.05", "x", "", f"{i}.33", "-2"][i % 5],
+            "TipoCambio": ["1", "512.5", "0"][i % 3],
+        }
+
+
+def test_totals_of_lines_are_the_totals_of_tables(spark):
+    lines = clean.clean_invoice_lines(raw_frame(spark, list(odd_line_rows())), AS_OF)
+    notes = clean.clean_credit_note_lines(raw_frame(spark, [{**r, "Emisor_Identificacion": r["Emisor_Identificacion"] or "39"} for r in odd_line_rows(90)]))
+    known = providers.providers(lines, notes)
+    previous = known.withColumn("credit", F.when(F.length("provider_id") > 2, F.lit("30 days")))
+    expected = dashboard.provider_totals(
+        providers.providers(lines, notes, previous),
+        providers.provider_invoices(lines),
+        providers.provider_products(lines),
+        providers.provider_credit_notes(notes),
+    )
+    found = dashboard.provider_totals_of_lines(lines, notes, previous)
+    assert found.columns == expected.columns and found.count() > 5
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+    none = lines.limit(0), notes.limit(0)
+    assert dashboard.provider_totals_of_lines(*none).collect() == []
+    assert dashboard.provider_totals_of_lines(lines, notes.limit(0)).filter("credit_note_amount_crc <> 0").isEmpty()
+
+
+def test_overview_scans_each_table_once(spark, tmp_path):
+    lines = clean.clean_invoice_lines(raw_frame(spark, INVOICE_ROWS), AS_OF)
+    notes = clean.clean_credit_note_lines(raw_frame(spark, NOTE_ROWS))
+    for name, frame in (("lines", lines), ("notes", notes)):
+        frame.write.parquet(str(tmp_path / name))
+    stored = [spark.read.parquet(str(tmp_path / n)) for n in ("lines", "notes")]
+    overview = dashboard.provider_overview(dashboard.provider_totals_of_lines(*stored))
+    overview.collect()
+    plan = overview._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2 and "Join" not in final
+
+
+def scanned_rows(frame):
+    """Rows that the scans of an executed frame gave out."""
+    frame.collect()
+    todo, total = [frame._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif "Scan" in node.nodeName():
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return total
+
+
+def test_one_provider_is_read_from_a_part_of_the_files(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    # A third of the lines are one provider's.
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("p-hot")).otherwise(F.concat(F.lit("p"), F.format_string("%04d", F.col("id") % 200))).alias("provider_id"),
+        F.concat(F.lit("d"), F.col("id") % 5).alias("detalle"), F.lit("c").alias("codigo_cabys"), F.lit("u").alias("unidad_medida"), F.lit(13.0).alias("impuesto_tarifa"),
+        F.lit(dt.datetime(2026, 1, 1)).cast("timestamp_ntz").alias("fecha_emision"), F.col("id").cast("string").alias("numero_consecutivo"), F.lit("1").alias("numero_linea"),
+        F.col("id").cast("double").alias("precio_unitario"), F.lit("P").alias("proveedor"), F.lit(1.0).alias("cantidad"), F.lit(2.0).alias("monto_total_linea_crc"),
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    # Small tables must not be put together again into a single file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.publish("plain", rows)
+        store.publish("ordered", rows, cluster_by=["provider_id"])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found, scans = [], []
+    for name in ("plain", "ordered"):
+        lines = store.read(name)
+        priced = dashboard.provider_product_prices(providers.provider_products(lines), prices.provider_prices(lines), "p0100")
+        scans.append(scanned_rows(priced))
+        found.append(sorted(map(repr, priced.collect())))
+    assert found[0] == found[1] and len(found[0]) > 0
+    assert scans[0] >= 2 * 30_000 and scans[1] < 0.3 * scans[0]
+    hot = [f for f in (tmp_path / "s" / "ordered").rglob("*.parquet")]
+    assert len(hot) >= 12
+
+
 def test_product_prices_treat_null_and_empty_unit_alike(spark):
     rows = [{**INVOICE_ROWS[0], "UnidadMedida": u} for u in (None, "")]
     lines = clean.clean_invoice_lines(raw_frame(spark, rows), AS_OF)
