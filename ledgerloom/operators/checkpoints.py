@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
+#: The names that scratch_folder gives.
+SCRATCH_NAME = re.compile(r"[a-z][a-z0-9-]*-[0-9a-f]{32}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, else the warehouse."""
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")

@@ -398,6 +398,19 @@ from raw""",
         "prepared_source_load": sql([_JOINED, _RAW], f"select {_list(PREPARED_COLUMNS)} from raw"),
         "xml_flatten": sql(documents, _flattened("true")),
         "xml_files": sql(_ORDER_FILES, "select * from raw union all select * from raw_notes"),
+        "load_without_run": sql(_ORDER_FILES, "select * from raw union all select * from raw_notes"),
+        "table_list": " union all ".join(
+            f"""select '{name}' as "table", count(*) as "rows" from {source}"""
+            for name, source in {
+                "the_supplier": "supplier",
+                "the_part": "part",
+                "the_orders": "orders",
+                "credit_notes": "lineitem where l_returnflag = 'R'",
+            }.items()
+        ),
+        "failed_run": """select 'c' as client_id, 'failed' as status, false as selected_run,
+       'The XML files hold no line of any invoice' as error_message, count(distinct l_orderkey) as documents
+from lineitem where l_returnflag = 'R'""",
         "pipeline_run": sql(
             [*_ORDER_FILES, _lines(), _NOTES, _PROVIDERS, _INVOICES, _PRODUCTS, _PROVIDER_NOTES, _FACTURAS, _SUMMARY, _HISTORY, _SEQUENCED],
             " union all ".join(

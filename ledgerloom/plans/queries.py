@@ -81,9 +81,19 @@ class Tables:
     def totals(self) -> DataFrame:
         return dashboard.provider_totals_of_lines(self.lines, self.notes)
 
+    @cached_property
+    def run_events(self) -> DataFrame:
+        """The run log: a stored snapshot of the older half of its events, and the events after it."""
+        events = star_schema.run_events(self.spark, self.folder)
+        middle = events.agg(F.min("at") + (F.max("at") - F.min("at")) / 2).first()[0]
+        store = self.store("runs")
+        older = F.col("at") < F.lit(middle)
+        store.publish(runs.SNAPSHOT, runs.folded(events.filter(older)))
+        return store.read(runs.SNAPSHOT).unionByName(events.filter(~older))
+
     @cached_property
     def runs(self) -> DataFrame:
-        return runs.run_states(star_schema.run_events(self.spark, self.folder))
+        return runs.run_states(self.run_events)
 
     def store(self, purpose: str) -> TableStore:
         return TableStore(self.spark, scratch_folder(self.spark, purpose))
@@ -218,6 +228,40 @@ def xml_files(spark: SparkSession, folder: str) -> DataFrame:
     return xml_documents.flatten_documents(xml_documents.read_documents(spark, landed))
 
 
+@query
+def load_without_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of .xml files, straight into tables."""
+    landed = Tables(spark, folder).landed_files()
+    workspace = Workspace(spark, scratch_folder(spark, "workspace"))
+    workspace.load_invoice_xmls([landed[0]])
+    workspace.load_credit_note_xmls([landed[1]])
+    return workspace.table("source_data").unionByName(workspace.table("credit_note_lines"))
+
+
+@query
+def table_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the tables of a workspace, with their rows."""
+    workspace = Workspace(spark, scratch_folder(spark, "workspace"))
+    for name in ("supplier", "part", "orders"):
+        workspace.load_dataset(f"{folder}/{name}.parquet", f"the_{name}")
+    workspace.store.publish("credit_notes", invoices.credit_note_review(Tables(spark, folder).raw_notes))
+    return look.table_counts({name: workspace.table(name) for name in workspace.table_names()})
+
+
+@query
+def failed_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The run log after a run over credit notes where invoices are asked for, and the lines that stayed."""
+    landed = f"{scratch_folder(spark, 'xml-files')}/notes"
+    documents = star_schema.land_files(star_schema.order_documents(Tables(spark, folder).raw_notes), landed)
+    workspace = Workspace(spark, scratch_folder(spark, "workspace"))
+    try:
+        workspace.run_full_pipeline([landed], [landed], client_id="c", username="u", as_of=AS_OF)
+    except ValueError:
+        log = workspace.table("pipeline_runs").withColumn("documents", F.lit(documents).cast("long"))
+        return log.select("client_id", "status", "selected_run", "error_message", "documents")
+    raise AssertionError("a run without invoices must fail")
+
+
 @query
 def pipeline_run(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts that the run log holds after a run from .xml files to derived tables."""
@@ -552,7 +596,7 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
 def select_run(spark: SparkSession, folder: str) -> DataFrame:
     """Every user's run once more, after one more selection of the oldest successful run."""
     tables = Tables(spark, folder)
-    events = star_schema.run_events(spark, folder)
+    events = tables.run_events
     successes = tables.runs.filter(F.col("status") == runs.SUCCESS)
     oldest = successes.orderBy(F.asc_nulls_last("started_at"), "run_id").limit(1).select("run_id")
     moment = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,25 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in file_system.listStatus(location) if s.isDirectory())
 
 
+def folders_with_times(spark: SparkSession, path: str) -> list[tuple[str, datetime]]:
+    """Names of the folders directly under ``path`` with the UTC time of their last change; none if it is absent."""
+    file_system, location = _file_system(spark, path)
+    if not file_system.exists(location):
+        return []
+    found = [s for s in file_system.listStatus(location) if s.isDirectory()]
+    moment = lambda s: datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc).replace(tzinfo=None)
+    return sorted((s.getPath().getName(), moment(s)) for s in found)
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly under ``path``, sorted; none if it is absent."""
+    file_system, location = _file_system(spark, path)
+    if not file_system.exists(location):
+        return []
+    names = (s.getPath().getName() for s in file_system.listStatus(location) if not s.isDirectory())
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
 def rename_folder(spark: SparkSession, path: str, new_path: str) -> None:
     file_system, location = _file_system(spark, path)
     if not file_system.rename(location, _file_system(spark, new_path)[1]):

@@ -2,6 +2,10 @@
 
 Nothing is updated in place. A run's rows are written before its success event,
 so whatever dies half-way leaves readers on the last successful run.
+
+Every event is a small file. Once there are many, they are folded into a snapshot, which names the files it took in;
+readers take the snapshot and the files that it does not name. Those files are deleted by the fold after it, so that
+two folds at once, or one that dies, lose nothing.
 """
 
 from __future__ import annotations
@@ -15,11 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schemas import PIPELINE_RUN
+from ledgerloom.sources.files import file_names, remove_folder
 from ledgerloom.sources.tables import TableStore, utc_now
 
 # What an event says about its run.
 CREATED, SUCCESS, FAILED, SELECTED = "running", "success", "failed", "selected"
 
+# The table of folded events, and the event that names a file they come from.
+SNAPSHOT, FOLDED = "pipeline_runs_snapshot", "folded"
+
 COUNTS = [f.name for f in PIPELINE_RUN.fields if isinstance(f.dataType, T.IntegerType)]
 OUTCOME = ["status", "finished_at", *COUNTS, "derived_table_counts_json", "error_message"]
 RUN_EVENT = T.StructType(
@@ -58,6 +66,22 @@ def run_states(events: DataFrame) -> DataFrame:
     return runs.select(*[values.get(f.name, F.col(f.name)).alias(f.name) for f in PIPELINE_RUN.fields])
 
 
+def folded(events: DataFrame) -> DataFrame:
+    """The events that ``run_states`` needs of these: of each run the first beginning, the last outcome and
+    the last selection. Later events can be added to them as to all the events."""
+    at, event = F.col("at"), F.col("event")
+    row = F.struct(*RUN_EVENT.names)
+    began, ended, selecting = event == CREATED, event.isin(SUCCESS, FAILED), event.isin(SUCCESS, SELECTED)
+    start = F.struct("started_at", "client_id", "run_type", "started_by")
+    kept = events.groupBy("run_id").agg(
+        F.min_by(row, F.when(began, start)).alias("start"),
+        F.max_by(row, F.when(ended, at)).alias("last"),
+        F.max_by(row, F.when(selecting, at)).alias("chosen"),
+    )
+    rows = F.array_distinct(F.array_compact(F.array("start", "last", "chosen")))
+    return kept.select(F.inline(rows))
+
+
 def newest_first(runs: DataFrame) -> DataFrame:
     """The listing shown to a user."""
     return runs.select(
@@ -107,6 +131,9 @@ def status_counts(runs: DataFrame) -> DataFrame:
 
 
 class RunLog:
+    #: Files of events that are read one by one before they are folded.
+    KEEP = 64
+
     def __init__(self, store: TableStore):
         self.store = store
 
@@ -114,6 +141,34 @@ class RunLog:
         row = {"event": event, "at": utc_now(), "run_id": run_id, **values}
         frame = self.store.spark.createDataFrame([tuple(row.get(f.name) for f in RUN_EVENT.fields)], RUN_EVENT)
         self.store.append("pipeline_runs", frame.coalesce(1))
+        if len(self._files()) > 2 * self.KEEP:
+            self.fold()
+
+    @property
+    def _folder(self) -> str:
+        return f"{self.store.path('pipeline_runs')}/rows"
+
+    def _files(self) -> list[str]:
+        return file_names(self.store.spark, self._folder)
+
+    def _snapshot(self) -> tuple[DataFrame, set[str]]:
+        """The folded events, and the names of the files they come from that may still be there."""
+        found = self.store.find(SNAPSHOT)
+        if found is None:
+            return self.store.spark.createDataFrame([], RUN_EVENT), set()
+        names = found.filter(F.col("event") == FOLDED).select("run_id").collect()
+        return found.filter(F.col("event") != FOLDED), {r.run_id for r in names}
+
+    def fold(self) -> None:
+        """Take the events so far into a new snapshot, and delete the files of the one before."""
+        snapshot, taken = self._snapshot()
+        files = self._files()
+        names = [(FOLDED, None, f) for f in files]
+        marks = self.store.spark.createDataFrame(names, "event string, at timestamp_ntz, run_id string")
+        rows = folded(self._events(snapshot, taken, files)).unionByName(marks, allowMissingColumns=True)
+        self.store.publish(SNAPSHOT, rows.coalesce(1))
+        for name in taken.intersection(files):
+            remove_folder(self.store.spark, f"{self._folder}/{name}")
 
     def create(
         self, client_id: str, username: str, run_type: str = "full_pipeline", run_id: str | None = None
@@ -137,8 +192,16 @@ class RunLog:
             raise ValueError(f"Run {run_id} did not succeed and cannot be selected")
         self._record(SELECTED, run_id)
 
+    def _events(self, snapshot: DataFrame, taken: set[str], files: list[str]) -> DataFrame:
+        later = [f"{self._folder}/{f}" for f in files if f not in taken]
+        if not later:
+            return snapshot
+        return snapshot.unionByName(self.store.spark.read.schema(RUN_EVENT).parquet(*later))
+
     def events(self) -> DataFrame:
-        return self.store.read_appended("pipeline_runs", RUN_EVENT)
+        """The snapshot's events and those after it."""
+        snapshot, taken = self._snapshot()
+        return self._events(snapshot, taken, self._files())
 
     def runs(self) -> DataFrame:
         return run_states(self.events())

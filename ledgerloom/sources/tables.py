@@ -27,6 +27,10 @@ from ledgerloom.operators.ordered_lag import ranged
 from ledgerloom.sources.files import path_exists, remove_folder, rename_folder, subfolders
 
 
+# A folder inside a version, passed over by Spark's readers.
+ATTACHED = "_attached"
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -82,6 +86,15 @@ class TableStore:
             current = f"version={utc_now():%Y%m%dT%H%M%S%f}-{uuid4().hex[:8]}"
             rename_folder(self.spark, version.path, f"{self.path(version.name)}/{current}")
 
+    def attach(self, version: Staged, rows: DataFrame) -> None:
+        """Put rows about a staged version inside it, where readers of the table do not see them."""
+        rows.write.parquet(f"{version.path}/{ATTACHED}")
+
+    def attached(self) -> list[str]:
+        """Folders of the rows attached to complete versions of any table."""
+        found = [f"{v}/{ATTACHED}" for name in subfolders(self.spark, self.root) for v in self.versions(name)]
+        return [f for f in found if path_exists(self.spark, f"{f}/_SUCCESS")]
+
     def drop(self, name: str) -> None:
         """Remove the table with all its versions; nothing happens if it is absent."""
         remove_folder(self.spark, self.path(name))

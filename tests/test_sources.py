@@ -11,7 +11,7 @@ from ledgerloom.operators.export import export_csv
 from ledgerloom.plans.dashboard import read_query
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import DERIVED_TABLES, PIPELINE_RUN, PREPARED_COLUMNS, RAW_COLUMNS
-from ledgerloom.sources import csv_batches, intake, runs, xml_documents
+from ledgerloom.sources import csv_batches, intake, runs, sweep, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
 from ledgerloom.sources.tables import TableStore, utc_now
@@ -514,3 +514,91 @@ def test_edits_need_a_key(spark, tmp_path):
     with pytest.raises(ValueError):
         workspace.save_table_edits("source_data", rows, rows.withColumn("v", F.lit(2)), ["k"], edited_by="me")
     assert workspace.table("source_data").count() == 4
+
+
+# -- snapshots, sweeping, audits ---------------------------------------------------
+
+
+def test_folded_events_stand_for_all(spark, tmp_path):
+    log = runs.RunLog(TableStore(spark, str(tmp_path / "s")))
+    ids = [log.create("client", f"u{k}") for k in range(4)]
+    log.succeed(ids[0], {"invoice_rows_loaded": 1}, {})
+    log.fail(ids[1], "boom")
+    log.succeed(ids[2], {}, {"a": 1})
+    log.select(ids[0])
+    log.select(ids[2])
+    log.select(ids[0])
+    before = sorted(map(repr, log.runs().collect()))
+    files = set(log._files())
+    log.fold()
+    assert set(log._files()) == files and log._snapshot()[1] == files
+    assert sorted(map(repr, log.runs().collect())) == before and log.selected() == ids[0]
+    # Later events count, and a fold deletes what the fold before it took in.
+    log.succeed(ids[3], {}, {})
+    assert log.selected() == ids[3]
+    log.fold()
+    assert len(log._files()) == 1 and log.selected() == ids[3]
+    # A fold that dies before its snapshot is current changes nothing.
+    log.fail(ids[1], "again")
+    log.store.stage(runs.SNAPSHOT, log.events())
+    assert {r.run_id: r.error_message for r in log.runs().collect()}[ids[1]] == "again"
+
+
+def test_reading_cost_does_not_grow_with_past_events(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs.RunLog, "KEEP", 3)
+    log = runs.RunLog(TableStore(spark, str(tmp_path / "s")))
+    run = log.create("client", "u")
+    log.succeed(run, {}, {})
+    seen = []
+    for _ in range(14):
+        log.select(run)
+        seen.append(len(log._files()))
+    assert max(seen) <= 7 and log.selected() == run
+    assert log._snapshot()[0].count() <= 3
+
+
+def test_sweep_keeps_what_is_reached(spark, tmp_path):
+    folder = tmp_path / "client"
+    workspace = Workspace(spark, str(folder))
+    paths = text_of(tmp_path, a__xml=xml_of(INVOICE_ROWS))
+    first = workspace.run_full_pipeline(paths, client_id="c", username="u", as_of=AS_OF).run_id
+    second = workspace.run_full_pipeline(paths, client_id="c", username="u", as_of=AS_OF).run_id
+    failed, running = workspace.runs.create("c", "u"), workspace.runs.create("c", "u")
+    for run in (failed, running):
+        workspace.load_run("source_data", raw_frame(spark, INVOICE_ROWS[:1]), run)
+    workspace.runs.fail(failed, "boom")
+    workspace.store.stage("providers", spark.range(3))
+    expected = {t: sorted(map(repr, workspace.table(t).collect())) for t in DERIVED_TABLES}
+    history = lambda: {r.run_id for r in workspace.table("source_data_history").select("run_id").distinct().collect()}
+
+    assert workspace.sweep(timedelta(hours=1)) == sweep.Swept(0, 0, 0, 0) and history() == {first, second, failed, running}
+    gone = workspace.sweep(timedelta(seconds=-5))
+    # One old version of each derived table and of the prices by provider.
+    assert (gone.versions, gone.staged, gone.runs) == (len(DERIVED_TABLES) + 2, 1, 1) and gone.scratch > 0
+    assert history() == {first, second, running}
+    assert {t: sorted(map(repr, workspace.table(t).collect())) for t in DERIVED_TABLES} == expected
+    again = workspace.sweep(timedelta(seconds=-5))
+    assert (again.versions, again.staged, again.runs) == (0, 0, 0)
+
+
+def test_edits_and_their_audit_become_visible_together(spark, tmp_path, monkeypatch):
+    workspace = Workspace(spark, str(tmp_path / "client"))
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    workspace.store.publish("source_data", rows)
+    edited = rows.withColumn("v", F.col("v") + F.when(F.col("k") == "b", 5).otherwise(0))
+
+    def die(*_):
+        raise OSError("crash")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(TableStore, "switch", die)
+        with pytest.raises(OSError):
+            workspace.save_table_edits("source_data", rows, edited, ["k"], edited_by="me")
+    assert workspace.table("manual_edits_history").isEmpty() and workspace.table("source_data").filter("v = 7").isEmpty()
+    assert workspace.save_table_edits("source_data", rows, edited, ["k"], edited_by="me") == 1
+    audit = lambda: [(r.row_id, r.old_value, r.new_value) for r in workspace.table("manual_edits_history").collect()]
+    assert audit() == [("b", "2", "7")] and workspace.table("source_data").filter("v = 7").count() == 1
+    # They stay, once each, when the edited version goes.
+    workspace.store.publish("source_data", rows)
+    workspace.sweep(timedelta(seconds=-5))
+    assert audit() == [("b", "2", "7")] and workspace.store.attached() == []
