@@ -22,10 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import written
-
-#: Vectors of this squared length and beyond take no part: inner products of the others are exact in doubles.
-LONGEST = 2.0**52
-
+from .vectors import best_of_each, matrix, packed, quantised
 
 @dataclass(frozen=True)
 class Settings:
@@ -43,20 +40,7 @@ def usable(embeddings: DataFrame, id: str, vector: str, label: Column, is_anchor
     """(id, label, anchor, v) with v = floor(scale * component), of the rows that take part."""
     rows = embeddings.withColumns({"_l": label.cast("long"), "_a": F.coalesce(is_anchor, F.lit(False))})
     rows = rows.select(F.col(id).cast("long").alias("id"), F.col("_l").alias("label"), F.col("_a").alias("anchor"), F.col(vector).cast("array<double>").alias("v"))
-    odd = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.filter("id is not null and label is not null and v is not null").filter(~odd)
-    # floor() gives integers of 64 bits, which a finite component may exceed.
-    fits = F.aggregate("v", F.lit(0.0), lambda total, x: total + (x * scale) * (x * scale)) < LONGEST / 4
-    rows = rows.filter(fits).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("long")))
-    return rows.filter(F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x) < LONGEST)
-
-
-def matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Vectors as rows of doubles; shorter ones end with zeros."""
-    flat, sizes = column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(sizes), width))
-    out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    return out
+    return quantised(rows.filter("id is not null and label is not null"), scale)
 
 
 def _directions(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +69,11 @@ def angles(x: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Walkers:
-    """vectors, ids and labels of anchors; by walker its anchor, range of scores, whether it wants the anchor's label, and
+    """vectors, rows and labels of anchors; by walker its anchor, range of scores, whether it wants the anchor's label, and
     a score that k candidates are known to reach."""
 
     vectors: np.ndarray
-    ids: np.ndarray
+    rows: np.ndarray
     labels: np.ndarray
     owner: np.ndarray
     low: np.ndarray
@@ -98,7 +82,7 @@ class Walkers:
     known: np.ndarray
 
 
-def walk(w: Walkers, centre: np.ndarray, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, k: int, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def walk(w: Walkers, centre: np.ndarray, x: np.ndarray, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, k: int, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(walker, candidate id, score) of the best k of each walker among the candidates x, and how many were scored.
 
     Of candidates below `known` none need be found. Ties go to smaller ids.
@@ -121,25 +105,17 @@ def walk(w: Walkers, centre: np.ndarray, x: np.ndarray, ids: np.ndarray, labels:
         owner = w.owner[active]
         good = (found >= least[active, None]) & (found <= w.high[active, None])
         good &= (labels[part] == w.labels[owner, None]) == w.same[active, None]
-        good &= ids[part] != w.ids[owner, None]
+        good &= rows[part] != w.rows[owner, None]
         if len(part) > k:
             # No more than the best k of the chunk, with ties.
             good &= found >= np.partition(np.where(good, found, -np.inf), -k, axis=1)[:, -k, None]
         row, column = np.nonzero(good)
         who, names, scores = np.append(who, active[row]), np.append(names, ids[part[column]]), np.append(scores, found[row, column])
-        best = np.lexsort((names, -scores, who))
-        who, names, scores = who[best], names[best], scores[best]
-        place = np.arange(len(who)) - np.searchsorted(who, who)
-        who, names, scores = who[place < k], names[place < k], scores[place < k]
-        full = np.flatnonzero(place[place < k] == k - 1)
+        who, names, scores, full = best_of_each(who, names, scores, k)
         least[who[full]] = np.maximum(least[who[full]], scores[full])
     return who, names, scores, scored
 
 
-def _bytes(values: np.ndarray, kind: str) -> pa.Array:
-    return pa.array([np.ascontiguousarray(values).astype(kind).tobytes()], pa.binary())
-
-
 class Search:
     """Candidates in blocks, and the search for the best of them."""
 
@@ -176,10 +152,10 @@ class Search:
         def gather(group: pa.Table) -> pa.Table:
             group = group.combine_chunks()
             x = matrix(group["v"].combine_chunks(), wide)
-            return pa.table({"block": group["block"][:1], "ids": _bytes(group["id"].to_numpy(), "<i8"), "labels": _bytes(group["label"].to_numpy(), "<i8"), "x": _bytes(x, "<i4")})
+            return pa.table({"block": group["block"][:1], "rows": packed(group["row"].to_numpy(), "<i8"), "ids": packed(group["id"].to_numpy(), "<i8"), "labels": packed(group["label"].to_numpy(), "<i8"), "x": packed(x, "<i4")})
 
-        blocks = dealt.select("id", "label", "v", block.cast("long").alias("block"))
-        self.blocks = written(blocks.groupBy("block").applyInArrow(gather, "block long, ids binary, labels binary, x binary"), "blocks")
+        blocks = dealt.select("row", "id", "label", "v", block.cast("long").alias("block"))
+        self.blocks = written(blocks.groupBy("block").applyInArrow(gather, "block long, rows binary, ids binary, labels binary, x binary"), "blocks")
         # Tasks do far more than the bytes they read tell, so their number is fixed.
         self.tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
@@ -209,16 +185,16 @@ class Search:
             rows = group["row"].to_numpy()
             first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
             one = group.take(pa.array(first))
-            columns = {"rows": rows[first], "ids": one["id"].to_numpy(), "labels": one["label"].to_numpy(), "owner": np.searchsorted(first, np.arange(len(rows)), "right") - 1, "walker": group["walker"].to_numpy()}
+            columns = {"rows": rows[first], "labels": one["label"].to_numpy(), "owner": np.searchsorted(first, np.arange(len(rows)), "right") - 1, "walker": group["walker"].to_numpy()}
             bounds = {c: group[c].combine_chunks().cast(pa.float64()).fill_null(x).to_numpy() for c, x in (("low", -odd), ("high", odd), ("known", -odd))}
             return pa.table(
                 {"cluster": group["cluster"][:1]}
-                | {c: _bytes(v, "<i8") for c, v in columns.items()}
-                | {c: _bytes(v, "<f8") for c, v in bounds.items()}
-                | {"same": _bytes(group["same"].to_numpy(zero_copy_only=False), "<i1"), "u": _bytes(matrix(one["v"].combine_chunks(), width), "<i4")}
+                | {c: packed(v, "<i8") for c, v in columns.items()}
+                | {c: packed(v, "<f8") for c, v in bounds.items()}
+                | {"same": packed(group["same"].to_numpy(zero_copy_only=False), "<i1"), "u": packed(matrix(one["v"].combine_chunks(), width), "<i4")}
             )
 
-        names = ["rows", "ids", "labels", "owner", "walker", "low", "high", "known", "same", "u"]
+        names = ["rows", "labels", "owner", "walker", "low", "high", "known", "same", "u"]
         schema = "cluster int, " + ", ".join(f"{c} binary" for c in names)
         groups = self.anchors.join(walkers, "row").groupBy("cluster", "part").applyInArrow(pack, schema)
         groups = groups.select("cluster", *(F.col(c).alias(f"a_{c}") for c in names), F.explode(blocks.cast("array<long>")).alias("block"))
@@ -229,11 +205,11 @@ class Search:
                 for n in range(batch.num_rows):
                     read = lambda column, kind: np.frombuffer(batch.column(column)[n].as_buffer(), kind)
                     w = Walkers(
-                        read("a_u", "<i4").reshape(-1, width).astype(float), *(read(f"a_{c}", "<i8") for c in ("ids", "labels", "owner")),
+                        read("a_u", "<i4").reshape(-1, width).astype(float), *(read(f"a_{c}", "<i8") for c in ("rows", "labels", "owner")),
                         *(read(f"a_{c}", "<f8") for c in ("low", "high")), read("a_same", "<i1").astype(bool), read("a_known", "<f8"),
                     )
                     x = read("x", "<i4").reshape(-1, width).astype(float)
-                    who, found, scores, _ = walk(w, centres[batch.column("cluster")[n].as_py()], x, read("ids", "<i8"), read("labels", "<i8"), k, chunk)
+                    who, found, scores, _ = walk(w, centres[batch.column("cluster")[n].as_py()], x, read("rows", "<i8"), read("ids", "<i8"), read("labels", "<i8"), k, chunk)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(read("a_rows", "<i8")[w.owner[who]]), pa.array(read("a_walker", "<i8")[who]), pa.array(found), pa.array(scores.astype(np.int64))],
                         ["row", "walker", "id", "score"],
@@ -250,8 +226,8 @@ def mine(embeddings: DataFrame, is_anchor: Column, label: Column, positives: int
     most % of the positive's. Ties go to smaller ids. Components are floor(scale * x).
 
     Rows without id or label, with a null vector, with a null or non-finite component, or so long that inner products
-    leave 53 bits take no part. Rows of the anchor's own id are not its candidates; rows that repeat are candidates, and anchors, each for
-    itself. Vectors of different lengths are compared as if the shorter ended with zeros. Other columns are not
+    leave 53 bits take no part. Rows that repeat an id, or all else, are rows like all others: candidates but for the anchor itself, and
+    anchors each for itself. Vectors of different lengths are compared as if the shorter ended with zeros. Other columns are not
     read. An empty table gives no rows.
     """
     search = Search(usable(embeddings, id, vector, label, is_anchor, scale), settings)

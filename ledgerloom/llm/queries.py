@@ -140,17 +140,17 @@ def statements() -> dict[str, str]:
         from (select doc_id, n_chars, {place} as slot from documents)"""
     nearest = """
         with v as (
-            select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
             where vec_id is not null and embedding is not null
               and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
         ), scored as (
-            select q.vec_id as query_id, c.vec_id,
+            select q.row, q.vec_id as query_id, c.vec_id,
                    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
-            from v q join v c on q.vec_id <> c.vec_id
+            from v q join v c on q.row <> c.row
             where q.vec_id % 50 = 0
         ), ranked as (
-            select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scored
+            select *, cast(row_number() over (partition by row order by score desc, vec_id) as integer) as rank from scored
         )
         select query_id, rank, vec_id, score from ranked where rank <= 5"""
     repaired = """
@@ -230,23 +230,24 @@ def statements() -> dict[str, str]:
         left join ended e on e.conv_id is not distinct from o.conv_id and e.choice = 1"""
     mined = """
         with v as (
-            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
                    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
             from embeddings
             where vec_id is not null and label is not null and embedding is not null
               and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0
         ), scored as (
-            select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+            select a.row, a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
                    cast(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) as bigint) as score
-            from v a join v c on a.vec_id <> c.vec_id
+            from v a join v c on a.row <> c.row
             where a.vec_id % 50 = 0
         ), positives as (
-            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
-            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+            select row, anchor_id, vec_id as positive_id, score as positive_score,
+                   row_number() over (partition by row order by score desc, vec_id) as place
+            from scored where same qualify place <= 5
         )
-        select p.anchor_id, positive_id, cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+        select p.anchor_id, positive_id, cast(row_number() over (partition by p.row, place order by score desc, vec_id) as integer) as rank,
                vec_id as negative_id, positive_score, score as negative_score
-        from positives p join scored s on s.anchor_id = p.anchor_id and not same
+        from positives p join scored s on s.row = p.row and not same
          and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
         qualify rank <= 3"""
     return {"op12_hard_negatives": mined, "op4_sharding": sharded, "op10_metric_tree": nearest, "op11_conversation_repair": repaired}

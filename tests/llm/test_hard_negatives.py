@@ -15,10 +15,10 @@ def brute(rows, every=5, positives=5, negatives=3):
     width = max((len(v) for _, v, _ in use), default=0)
     use = [(i, [int(x) for x in v] + [0] * (width - len(v)), label) for i, v, label in use]
     out = []
-    for i, v, label in use:
+    for own, (i, v, label) in enumerate(use):
         if i % every:
             continue
-        scores = sorted((-sum(a * b for a, b in zip(v, w)), j, other) for j, w, other in use if j != i)
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), j, other) for at, (j, w, other) in enumerate(use) if at != own)
         for s, j, _ in [x for x in scores if x[2] == label][:positives]:
             hard = [x for x in scores if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s]
             out += [(i, j, n + 1, x[1], -s, -x[0]) for n, x in enumerate(hard[:negatives])]
@@ -42,7 +42,7 @@ def test_ties_odd_vectors_and_repeated_rows(spark, settings):
     rows += [(300 + k, [0.5, 0.25, 0.0, 0.0, 0.0, 0.0], k % 2) for k in range(120)]
     rows += [(500 + k, [-0.5] * 6, 1) for k in range(4)]
     rows += [(None, [1.0] * 6, 1), (601, None, 1), (605, [float("nan")] * 6, 1), (610, [1.0, None, 1.0], 0), (615, [float("inf")] * 6, 1), (620, [], 1), (625, [2.0], 0), (630, [0.0] * 6, 1), (635, [1.0] * 6, None), (640, [1e300] * 6, 1)]
-    rows += [rows[10], rows[10], rows[7]]
+    rows += [rows[10], rows[10], rows[7], (20, [0.3] * 6, 2)]
     expected = brute(rows)
     assert len(expected) > 300 and mined(vectors(spark, rows).repartition(3), settings) == expected
 
@@ -63,12 +63,12 @@ def test_walks_end_early_and_are_exact():
     n = len(u)
     w = hn.Walkers(u, np.arange(0, 6000, 600)[:n], np.zeros(n, int), np.arange(n), np.full(n, -np.inf), np.full(n, np.inf), np.full(n, True), np.full(n, -np.inf))
     near = [k for k in range(n) if k % 12 == 0] or [0]
-    one = hn.Walkers(u[near], w.ids[near], w.labels[near], np.arange(len(near)), *(a[near] for a in (w.low, w.high, w.same, w.known)))
+    one = hn.Walkers(u[near], w.rows[near], w.labels[near], np.arange(len(near)), *(a[near] for a in (w.low, w.high, w.same, w.known)))
     centre = hn.centroids(u[near], 1)[0]
-    who, ids, scores, scored = hn.walk(one, centre, x, np.arange(6000), np.zeros(6000, int), 5, 64)
+    who, ids, scores, scored = hn.walk(one, centre, x, np.arange(6000), np.arange(6000), np.zeros(6000, int), 5, 64)
     for k in range(len(near)):
         all_scores = x @ one.vectors[k]
-        expected = sorted((-s, i) for i, s in enumerate(all_scores.tolist()) if i != one.ids[k])[:5]
+        expected = sorted((-s, i) for i, s in enumerate(all_scores.tolist()) if i != one.rows[k])[:5]
         assert sorted(zip((-scores[who == k]).tolist(), ids[who == k].tolist())) == expected
     assert scored < 0.3 * len(near) * 6000
 
