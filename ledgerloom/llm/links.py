@@ -5,7 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .tables import written
+from .tables import discarded, written
+
+
+class Joined:
+    """Which rows have been joined so far."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while x != (up := self.above.get(x, x)):
+            self.above[x] = self.above.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """False if they were joined before."""
+        x, y = self.root(x), self.root(y)
+        self.above[max(x, y)] = min(x, y)
+        return x != y
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -33,7 +52,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-        before, (links, state) = state, _kept(small)
+        before, (after, state) = state, _kept(small)
+        discarded(links)
+        links = after
         if state == before:
             break
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

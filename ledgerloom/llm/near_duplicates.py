@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .links import components
+from .links import Joined, components
 from .runs import whole_runs
 from .sums import vector_sum
-from .tables import text_key, written
+from .tables import discarded, text_key, written
 from .texts import blocks, counted, folded, mixed, shingles, words
 
 STRATA = 1 << 16
@@ -134,27 +134,63 @@ class Sampler:
         return out
 
 
+def _drawn(batches: Iterator[pa.RecordBatch], sampler: Sampler, kind: type, cells: np.ndarray, texts: int, settings: Settings) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Blocks of texts with the samples of each; those of a text without words are null."""
+    for block, (owner, hashes, counts) in _shingled(batches, settings.size):
+        names: list = [None] * block.num_rows
+        if len(owner):
+            weights = shingle_weights(hashes, counts, cells, texts, settings)
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            for at, row in zip(owner[starts], sampler.draw(hashes, weights, starts, kind)):
+                names[at] = row.tobytes()
+        yield block, pa.array(names, pa.binary())
+
+
 def sketches(documents: DataFrame, id: str, text: str, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
-    """(id, node, sketch, fine) of every document; the samples of a text without words are null."""
+    """(id, node, sketch) of every document; the samples of a text without words are null."""
     shared = documents.sparkSession.sparkContext.broadcast(cells)  # fixed size, see Settings.cell_bits
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        banded, further = Sampler(settings.samples, settings.seed), Sampler(settings.fine, settings.seed + 1)
-        for block, (owner, hashes, counts) in _shingled(batches, settings.size):
-            names = [[None] * block.num_rows, [None] * block.num_rows]
-            if len(owner):
-                weights = shingle_weights(hashes, counts, shared.value, texts, settings)
-                starts = np.flatnonzero(np.diff(owner, prepend=-1))
-                for k, drawn in enumerate((banded.draw(hashes, weights, starts), further.draw(hashes, weights, starts, np.uint8))):
-                    for at, row in zip(owner[starts], drawn):
-                        names[k][at] = row.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [block.column("id"), block.column("node"), *(pa.array(n, pa.binary()) for n in names)], ["id", "node", "sketch", "fine"]
-            )
+        sampler = Sampler(settings.samples, settings.seed)
+        for block, names in _drawn(batches, sampler, np.uint32, shared.value, texts, settings):
+            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("node"), names], ["id", "node", "sketch"])
 
     rows = documents.select(F.col(id).alias("id"), text_key(text).alias("node"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(draw, f"id {kind}, node binary, sketch binary, fine binary")
+    return rows.mapInArrow(draw, f"id {kind}, node binary, sketch binary")
+
+
+#: log2 of the bits that tell which texts are asked for; more texts than that let others through, no fewer.
+WANTED_BITS = 24
+
+
+def further_samples(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
+    """(node, fine): further samples of the texts that `nodes` names, and of no others but by chance.
+
+    A bitmap of fixed size spares most texts; texts are not shuffled.
+    """
+    place = F.pmod(F.xxhash64("node"), F.lit(1 << WANTED_BITS))
+    bits = nodes.select(F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, cast(pmod(xxhash64(node), 64) as int))").alias("bits"))
+    found = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()  # 2**WANTED_BITS bits at most
+    wanted = np.zeros(1 << WANTED_BITS - 6, np.int64)
+    wanted[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    context = documents.sparkSession.sparkContext
+    shared, asked = context.broadcast(cells), context.broadcast(wanted)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(settings.fine, settings.seed + 1)
+
+        def chosen() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = batch.column("place").to_numpy()
+                yield batch.filter(pa.array((asked.value[at >> 6] >> (at & 63) & 1).astype(bool)))
+
+        for block, names in _drawn(chosen(), sampler, np.uint8, shared.value, texts, settings):
+            yield pa.RecordBatch.from_arrays([block.column("node"), names], ["node", "fine"])
+
+    rows = documents.select(text_key(text).alias("node"), F.col(text).alias("text")).withColumn("place", place)
+    drawn = rows.mapInArrow(draw, "node binary, fine binary").filter("fine is not null")
+    return drawn.groupBy("node").agg(F.first("fine").alias("fine"))
 
 
 def likeness(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -258,25 +294,6 @@ def near_pairs(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-class Joined:
-    """Which rows have been joined so far."""
-
-    def __init__(self):
-        self.above: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        while x != (up := self.above.get(x, x)):
-            self.above[x] = self.above.get(up, up)
-            x = up
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        """False if they were joined before."""
-        x, y = self.root(x), self.root(y)
-        self.above[max(x, y)] = min(x, y)
-        return x != y
-
-
 def _links(nodes: list[bytes], pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch({"a": pa.array([nodes[x] for x, _ in pairs], pa.binary()), "b": pa.array([nodes[y] for _, y in pairs], pa.binary())})
 
@@ -321,8 +338,7 @@ def verified_within(clusters: DataFrame, least: float, threshold: float) -> Data
 def links(documents: DataFrame, rows: DataFrame, text: str, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
     """Verified links (a, b) that join every near-duplicate class."""
     least = settings.threshold - settings.slack
-    points = rows.filter("sketch is not null").groupBy("node").agg(F.first("sketch").alias("sketch"), F.first("fine").alias("fine"))
-    points = written(points, "points")
+    points = rows.filter("sketch is not null").groupBy("node").agg(F.first("sketch").alias("sketch"))
     width = 4 * settings.rows
     members = points.select(
         "node",
@@ -335,6 +351,9 @@ def links(documents: DataFrame, rows: DataFrame, text: str, cells: np.ndarray, t
     ranked = shared.join(central, "node")
     leaders = ranked.groupBy("bucket").agg(F.max(F.struct("score", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
     crowded = written(shared.join(leaders, "bucket"), "crowded")
+    discarded(shared)
+    # Only texts that share a bucket with another one need more samples.
+    points = written(further_samples(documents, text, crowded.select("node"), cells, texts, settings), "samples")
 
     def contents(nodes: DataFrame) -> DataFrame:
         return written(weighed(documents, text, nodes, cells, texts, settings), "weights")
@@ -342,18 +361,24 @@ def links(documents: DataFrame, rows: DataFrame, text: str, cells: np.ndarray, t
     pairs = crowded.filter("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     pairs = written(estimated(pairs, points, least), "pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    first = written(verified(pairs, contents(nodes), settings.threshold), "verified").select("a", "b")
+    held = contents(nodes)
+    first = written(verified(pairs, held, settings.threshold), "verified").select("a", "b")
+    discarded(pairs, held)
     groups = components(first)
     placed = crowded.join(groups, "node", "left").select("bucket", "n", "node", F.xxhash64(F.coalesce("component", "node")).alias("group"))
     several = placed.groupBy("bucket").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y").select("bucket")
     crossed = placed.join(several, "bucket", "left_semi").join(points.select("node", "fine"), "node")
     clusters = written(components(across_groups(crossed, least)).withColumnRenamed("component", "cluster"), "clusters")
     if clusters.isEmpty():
+        discarded(crowded, points, clusters)
         return first
+    members = clusters
     clusters = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "cluster")
     clusters = clusters.join(placed.select("node", "group").distinct(), "node").join(points.select("node", "fine"), "node")
-    clusters = clusters.join(contents(clusters.select("node")), "node")
-    return first.union(written(verified_within(clusters, least, settings.threshold), "verified"))
+    held = contents(clusters.select("node"))
+    more = written(verified_within(clusters.join(held, "node"), least, settings.threshold), "verified")
+    discarded(crowded, points, members, held)
+    return first.union(more)
 
 
 def near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
