@@ -556,6 +556,7 @@ order by product_count desc, {_BY_AMOUNT} limit 12""",
 order by "NumeroConsecutivo", "Emisor_NombreComercial", "SUBTOTAL" limit 500""",
         ),
         "contains_number": sql(facturas, """select * from facturas where cast("SUBTOTAL" as varchar) ilike '%77%'"""),
+        "contains_by_signature": sql(facturas, """select * from facturas where "Emisor_NombreComercial" ilike '%Supplier#0%00_7%'"""),
         "table_counts": sql(
             [*everything, _FACTURAS],
             " union all ".join(

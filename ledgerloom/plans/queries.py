@@ -20,7 +20,7 @@ from ledgerloom.operators.checkpoints import scratch_folder
 from ledgerloom.plans import dashboard
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
-from ledgerloom.sources import csv_batches, runs, star_schema, xml_documents
+from ledgerloom.sources import csv_batches, runs, signatures, star_schema, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
 from ledgerloom.sources.intake import LOAD_ORDER
@@ -500,6 +500,15 @@ def contains_number(spark: SparkSession, folder: str) -> DataFrame:
     return look.contains(invoices.facturas_individuales(Tables(spark, folder).lines), "SUBTOTAL", "77")
 
 
+@query
+def contains_by_signature(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of the providers whose name contains some digits, from the files whose trigrams allow it."""
+    tables = StoredTables(spark, folder)
+    tables.stock.publish("facturas", invoices.facturas_individuales(Tables(spark, folder).lines), cluster_by=["Emisor_NombreComercial"])
+    signatures.sign(tables.stock, "facturas", "Emisor_NombreComercial")
+    return signatures.search(tables.stock, "facturas", "Emisor_NombreComercial", "Supplier#0%00_7")
+
+
 @query
 def table_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts as they come with the writes."""

@@ -11,7 +11,8 @@ from ledgerloom.operators.export import export_csv
 from ledgerloom.plans.dashboard import read_query
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import DERIVED_TABLES, PIPELINE_RUN, PREPARED_COLUMNS, RAW_COLUMNS
-from ledgerloom.sources import csv_batches, intake, runs, sweep, xml_documents
+from ledgerloom.operators import preview as look
+from ledgerloom.sources import csv_batches, intake, runs, signatures, sweep, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
 from ledgerloom.sources.tables import TableStore, utc_now
@@ -602,3 +603,27 @@ def test_edits_and_their_audit_become_visible_together(spark, tmp_path, monkeypa
     workspace.store.publish("source_data", rows)
     workspace.sweep(timedelta(seconds=-5))
     assert audit() == [("b", "2", "7")] and workspace.store.attached() == []
+
+
+def test_signatures_skip_files_and_no_rows(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "with space + plus"))
+    names = [f"Name {k:03d} ÉTÉ" for k in range(60)] + ["ab", "", None, "a%b_c", "tail\\x", "ΟΔΟΣ", "12345678.0"]
+    rows = spark.createDataFrame([(k, n, float(k) * 1e7) for k, n in enumerate(names)], "k int, Name string, v double")
+    store.publish("t", rows.repartitionByRange(8, "k"))
+    before = {t: sorted(r.k for r in signatures.search(store, "t", "name", t).collect()) for t in ("03", "")}
+    signatures.sign(store, "t", "name")
+    signatures.sign(store, "t", "v")
+    total = len(store.read("t").inputFiles())
+    skipped = 0
+    for text in ("Name 017", "name 0_7", "017", "03", "", "%", "nothing like it", "a%b", "été", "ÉTÉ", "ΔΟΣ", "l\\x", "x%y%zzz", "5 é%", "E 05"):
+        found = signatures.search(store, "t", "name", text)
+        assert sorted(r.k for r in found.collect()) == sorted(r.k for r in look.contains(store.read("t"), "name", text).collect()), text
+        files = signatures.candidate_files(store, "t", "name", text)
+        skipped += 0 if files is None else total - len(files)
+    assert total == 8 and skipped > 40
+    assert len(signatures.candidate_files(store, "t", "name", "Name 017")) == 1
+    assert [r.k for r in signatures.search(store, "t", "v", "30000000.0").collect()] == [3]
+    assert before["03"] == sorted(r.k for r in signatures.search(store, "t", "name", "03").collect())
+    # A later version has no signatures, and is searched whole.
+    store.publish("t", rows.withColumn("Name", F.lit("Name 017")))
+    assert signatures.candidate_files(store, "t", "name", "Name 017") is None and signatures.search(store, "t", "name", "Name 017").count() == len(names)
