@@ -548,16 +548,11 @@ def write_replace(spark: SparkSession, folder: str) -> DataFrame:
 def _line_history(tables: Tables) -> LineHistory:
     """One run per order status; the first has no receiver, the last no product."""
     history = LineHistory(tables.store("history"), "source_data_history")
-    orders = star_schema.table(tables.spark, tables.folder, "orders").select(
-        F.lpad(F.col("o_orderkey").cast("string"), 20, "0").alias("number"), "o_orderstatus"
-    )
-    landed = scratch_folder(tables.spark, "run-lines")
-    keyed = tables.raw.join(orders, F.col("NumeroConsecutivo") == F.col("number")).drop("number")
-    keyed.write.partitionBy("o_orderstatus").parquet(landed)
+    lines = star_schema.raw_invoice_lines(tables.order_lines, "o_orderstatus")
+    run = F.concat(F.lit("run_"), F.col("o_orderstatus"))
     absent = {tables.statuses[0]: "Receptor_Nombre", tables.statuses[-1]: "Detalle"}
-    for status in tables.statuses:
-        rows = tables.spark.read.parquet(f"{landed}/o_orderstatus={status}")
-        history.append(rows.drop(absent[status]) if status in absent else rows, f"run_{status}")
+    columns = {f"run_{s}": [c for c in RAW_COLUMNS if c != absent.get(s)] for s in tables.statuses}
+    history.append_runs(lines.withColumn("run", run).drop("o_orderstatus"), "run", columns)
     return history
 
 

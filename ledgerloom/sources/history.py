@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +18,11 @@ _COLUMN_LOG = T.StructType(
 )
 
 
+def _text(column: str | None) -> Column:
+    """A cell as the history keeps it; "" where the column is missing."""
+    return F.lit("") if column is None else F.coalesce(F.col(quoted(column)).cast("string"), F.lit(""))
+
+
 class LineHistory:
     """Rows of every run of one line table.
 
@@ -47,29 +54,25 @@ class LineHistory:
         meta = [T.StructField("loaded_at", T.TimestampNTZType()), T.StructField("run_id", T.StringType())]
         return T.StructType([*fields, *meta])
 
+    def _record(self, known: list[str], new: list[str]) -> None:
+        """Columns are recorded before rows, so that every column of a written file is known to
+        readers even if the job dies in between."""
+        if new:
+            log = [(len(known) + i, c) for i, c in enumerate(new)]
+            self.store.append(self._column_log, self.store.spark.createDataFrame(log, _COLUMN_LOG).coalesce(1))
+
     def append(self, frame: DataFrame, run_id: str, replace_run: bool = False) -> None:
         """Add one run's lines: nulls as "", known columns that are missing as "".
 
-        The columns are recorded before the rows, so every column of a written
-        file is known to readers even if the job dies in between. ``replace_run``
-        makes repeating a load harmless: the run's earlier rows go.
+        ``replace_run`` makes repeating a load harmless: the run's earlier rows go.
         """
         known = self.columns()
         lower = {c.lower() for c in known}
         new = [c for c in frame.columns if c.lower() not in lower]
-        if new:
-            log = [(len(known) + i, c) for i, c in enumerate(new)]
-            self.store.append(self._column_log, self.store.spark.createDataFrame(log, _COLUMN_LOG).coalesce(1))
+        self._record(known, new)
         given = {c.lower(): c for c in frame.columns}
-
-        def text(column: str):
-            if column.lower() not in given:
-                return F.lit("").alias(column)
-            value = F.col(quoted(given[column.lower()])).cast("string")
-            return F.coalesce(value, F.lit("")).alias(column)
-
         rows = frame.select(
-            *[text(c) for c in [*known, *new]],
+            *[_text(given.get(c.lower())).alias(c) for c in [*known, *new]],
             F.lit(str(utc_now())).cast("timestamp_ntz").alias("loaded_at"),
             F.lit(run_id).alias("run_id"),
         )
@@ -78,6 +81,40 @@ class LineHistory:
         else:
             rows.write.mode("append").partitionBy("run_id").parquet(self.location)
 
+    def append_runs(self, frame: DataFrame, run: str, columns: Mapping[str, Sequence[str]]) -> None:
+        """Add the lines of several runs by one write, as if ``append`` had been called for each in turn.
+
+        ``run`` names the column with a line's run; ``columns`` lists the runs in order, with the columns of the frame that
+        each of them brings.
+        """
+        known = self.columns()
+        # The run that brings a column first; earlier runs do not know it.
+        first = {c.lower(): -1 for c in known}
+        new = []
+        for number, brought in enumerate(columns.values()):
+            for c in brought:
+                if c.lower() not in first:
+                    first[c.lower()] = number
+                    new.append(c)
+        self._record(known, new)
+        given = {c.lower(): c for c in frame.columns}
+        names = list(columns)
+
+        def value(column: str) -> Column:
+            bringing = [r for r in names if any(b.lower() == column.lower() for b in columns[r])]
+            later = names[max(first[column.lower()], 0) :]
+            text = _text(given[column.lower()]) if bringing else F.lit("")
+            if len(bringing) < len(later):
+                text = F.when(F.col(run).isin(bringing), text).otherwise(F.lit("")) if bringing else text
+            return (F.when(F.col(run).isin(later), text) if len(later) < len(names) else text).alias(column)
+
+        rows = frame.filter(F.col(run).isin(names)).select(
+            *[value(c) for c in [*known, *new]],
+            F.lit(str(utc_now())).cast("timestamp_ntz").alias("loaded_at"),
+            F.col(run).alias("run_id"),
+        )
+        rows.write.mode("append").partitionBy("run_id").parquet(self.location)
+
     def read(self) -> DataFrame:
         """Every run, meta columns first; columns newer than a row are null in it."""
         if not self.exists():

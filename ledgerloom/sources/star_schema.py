@@ -45,7 +45,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _raw(lines: DataFrame, **document: Column) -> DataFrame:
+def _raw(lines: DataFrame, *more: str, **document: Column) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     rate = F.when(F.col("l_tax") >= 0.05, 13.0).when(F.col("l_tax") >= 0.01, 1.0)
     tax = net * F.coalesce(rate, F.lit(0.0)) / 100
@@ -83,7 +83,7 @@ def _raw(lines: DataFrame, **document: Column) -> DataFrame:
         "Impuesto_Monto": F.when(rate.isNull(), "").otherwise(_money(tax)),
         **document,
     }
-    return lines.select(*[values[c].alias(c) for c in RAW_COLUMNS])
+    return lines.select(*[values[c].alias(c) for c in RAW_COLUMNS], *more)
 
 
 def _invoice_fields() -> dict[str, Column]:
@@ -109,8 +109,9 @@ def _credit_note_fields() -> dict[str, Column]:
     }
 
 
-def raw_invoice_lines(lines: DataFrame) -> DataFrame:
-    return _raw(lines, **_invoice_fields())
+def raw_invoice_lines(lines: DataFrame, *more: str) -> DataFrame:
+    """Raw lines of all orders; ``more`` names columns of the order lines that come along."""
+    return _raw(lines, *more, **_invoice_fields())
 
 
 def raw_credit_note_lines(lines: DataFrame) -> DataFrame:

@@ -350,6 +350,24 @@ def test_history_columns_grow(spark, tmp_path):
     assert [tuple(r) for r in history.read_run("r2").collect()] == [("3", "", "")]
 
 
+def test_runs_in_one_write_are_those_of_one_after_the_other(spark, tmp_path):
+    rows = [(r, f"{r}{k}", None if k else "b", "c", "d") for r in ("r1", "r2", "r3", "other") for k in range(2)]
+    frame = spark.createDataFrame(rows, "run string, a string, b string, C string, d string")
+    columns = {"r1": ["a", "b"], "r2": ["a", "C"], "r3": ["b", "C", "d"]}
+    found = []
+    for name in ("together", "apart"):
+        history = LineHistory(TableStore(spark, str(tmp_path / name)), "lines_history")
+        history.append(spark.createDataFrame([("0", "x", "y")], "b string, c string, e string"), "r0")
+        if name == "together":
+            history.append_runs(frame, "run", columns)
+        else:
+            for run, brought in columns.items():
+                history.append(frame.filter(F.col("run") == run).select(*brought), run)
+        found.append((history.read().columns, sorted(map(repr, history.read().drop("loaded_at").collect()))))
+        assert sorted(r.a or "" for r in history.read_run("r3").collect()) == ["", ""]
+    assert found[0] == found[1] and len(found[0][1]) == 7
+
+
 def test_load_time_is_utc_in_any_session_zone(spark, tmp_path):
     history = LineHistory(TableStore(spark, str(tmp_path / "s")), "lines_history")
     spark.conf.set("spark.sql.session.timeZone", "America/Costa_Rica")
@@ -622,7 +640,8 @@ def test_signatures_skip_files_and_no_rows(spark, tmp_path):
         skipped += 0 if files is None else total - len(files)
     assert total == 8 and skipped > 40
     assert len(signatures.candidate_files(store, "t", "name", "Name 017")) == 1
-    assert [r.k for r in signatures.search(store, "t", "v", "30000000.0").collect()] == [3]
+    found = signatures.search(store, "t", "v", "30000000.0").collect()
+    assert sorted(r.k for r in found) == [3, 13, 23, 33, 43, 53, 63] and len(signatures.candidate_files(store, "t", "v", "630000000.0")) == 1
     assert before["03"] == sorted(r.k for r in signatures.search(store, "t", "name", "03").collect())
     # A later version has no signatures, and is searched whole.
     store.publish("t", rows.withColumn("Name", F.lit("Name 017")))
