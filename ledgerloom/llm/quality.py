@@ -96,20 +96,22 @@ class Model:
 
 def dual_descent(rows: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, settings: Settings) -> np.ndarray:
     """Weights of the scaled features, and the bias last."""
-    weights = np.zeros(len(ratios) + 1)
-    scaled = [np.append(x / max(np.sqrt((x * x).sum()), 1e-9), 1.0) for x in (ratios[r] for r in rows)]
-    places = [np.append(r, len(ratios)) for r in rows]
-    curvature = np.array([(x * x).sum() for x in scaled])
+    weights, bias = np.zeros(len(ratios)), 0.0
+    # Four bytes a feature, twice, are all that a text takes here.
+    scaled = [(x / max(np.sqrt((x * x).sum()), 1e-9)).astype(np.float32) for x in (ratios[r] for r in rows)]
+    curvature = np.array([(x * x).sum(dtype=np.float64) + 1 for x in scaled])
     alphas = np.zeros(len(rows))
     random = np.random.Generator(np.random.PCG64(5))
     for _ in range(settings.rounds):
         for i in random.permutation(len(rows)):
-            slope = signs[i] * (weights[places[i]] @ scaled[i]) - 1
+            slope = signs[i] * (weights[rows[i]] @ scaled[i] + bias) - 1
             changed = min(max(alphas[i] - slope / curvature[i], 0.0), settings.cost)
             if changed != alphas[i]:
-                weights[places[i]] += (changed - alphas[i]) * signs[i] * scaled[i]
+                step = (changed - alphas[i]) * signs[i]
+                weights[rows[i]] += step * scaled[i]
+                bias += step
                 alphas[i] = changed
-    return weights
+    return np.append(weights, bias)
 
 
 def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
@@ -151,13 +153,15 @@ def learnt(rows: DataFrame, settings: Settings = Settings()) -> Model:
             yield pa.RecordBatch.from_arrays([block.column("order"), pa.array(packed, pa.binary()), block.column("label")], ["order", "features", "label"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sorted(
-            (order, x, label) for batch in batches for order, x, label in zip(*(batch.column(c).to_pylist() for c in ("order", "features", "label")))
-        )
-        signs = np.array([1.0 if label else -1.0 for _, _, label in held])
-        yield pa.record_batch(
-            {"weights": pa.array([dual_descent([np.frombuffer(x, np.int32) for _, x, _ in held], signs, shared.value, settings).tobytes()], pa.binary())}
-        )
+        orders, rows, signs = [], [], []
+        for batch in batches:
+            orders += batch.column("order").to_pylist()
+            signs += [1.0 if label else -1.0 for label in batch.column("label").to_pylist()]
+            # Views of the batches, which stay.
+            rows += [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column("features")]
+        first = sorted(range(len(orders)), key=orders.__getitem__)
+        weights = dual_descent([rows[k] for k in first], np.array(signs)[first], shared.value, settings)
+        yield pa.record_batch({"weights": pa.array([weights.tobytes()], pa.binary())})
 
     extracted = sample.mapInArrow(extract, "order long, features binary, label int")
     # Rows that repeat have equal hashes, and count once here: the sample stays bounded.
