@@ -164,32 +164,37 @@ def sketches(documents: DataFrame, id: str, text: str, cells: np.ndarray, texts:
 WANTED_BITS = 24
 
 
-def further_samples(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
-    """(node, fine): further samples of the texts that `nodes` names, and of no others but by chance.
+def asked_rows(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the texts that `nodes` names, and of some others by chance.
 
-    A bitmap of fixed size spares most texts; texts are not shuffled.
+    A bitmap of fixed size spares most other texts; nothing is shuffled.
     """
     place = F.pmod(F.xxhash64("node"), F.lit(1 << WANTED_BITS))
     bits = nodes.select(F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, cast(pmod(xxhash64(node), 64) as int))").alias("bits"))
     found = bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()  # 2**WANTED_BITS bits at most
     wanted = np.zeros(1 << WANTED_BITS - 6, np.int64)
     wanted[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    context = documents.sparkSession.sparkContext
-    shared, asked = context.broadcast(cells), context.broadcast(wanted)
+    asked = documents.sparkSession.sparkContext.broadcast(wanted)
 
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(settings.fine, settings.seed + 1)
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            yield batch.select(["node", "text"]).filter(pa.array((asked.value[at >> 6] >> (at & 63) & 1).astype(bool)))
+
+    rows = documents.select(text_key(text).alias("node"), F.col(text).alias("text")).withColumn("place", place)
+    return rows.mapInArrow(choose, "node binary, text string")
 
-        def chosen() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = batch.column("place").to_numpy()
-                yield batch.filter(pa.array((asked.value[at >> 6] >> (at & 63) & 1).astype(bool)))
 
-        for block, names in _drawn(chosen(), sampler, np.uint8, shared.value, texts, settings):
+def further_samples(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
+    """(node, fine): further samples of the texts that `nodes` names, and of some others by chance."""
+    shared = documents.sparkSession.sparkContext.broadcast(cells)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler = Sampler(settings.fine, settings.seed + 1)
+        for block, names in _drawn(batches, sampler, np.uint8, shared.value, texts, settings):
             yield pa.RecordBatch.from_arrays([block.column("node"), names], ["node", "fine"])
 
-    rows = documents.select(text_key(text).alias("node"), F.col(text).alias("text")).withColumn("place", place)
-    drawn = rows.mapInArrow(draw, "node binary, fine binary").filter("fine is not null")
+    drawn = asked_rows(documents, text, nodes).mapInArrow(draw, "node binary, fine binary").filter("fine is not null")
     return drawn.groupBy("node").agg(F.first("fine").alias("fine"))
 
 
@@ -226,7 +231,7 @@ def weighed(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray
                 ["node", "hashes", "weights"],
             )
 
-    wanted = documents.select(text_key(text).alias("node"), F.col(text).alias("text")).join(nodes, "node", "left_semi")
+    wanted = asked_rows(documents, text, nodes).join(nodes, "node", "left_semi")
     rows = wanted.mapInArrow(weigh, "node binary, hashes binary, weights binary")
     return rows.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
 
