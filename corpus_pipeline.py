@@ -6,6 +6,8 @@ documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,18 +15,32 @@ from ledgerloom.llm import contamination, fuzzy_lines, near_duplicates, packing,
 from ledgerloom.llm.tables import written
 
 
+def _without(docs: DataFrame, names: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stage's documents, where columns of the names that it sets itself keep what docs has in them."""
+    aside = {c: f"own {c}" for c in docs.columns if c in names}
+    done = stage(docs.withColumnsRenamed(aside)).drop(*names)
+    return done.withColumnsRenamed({own: c for c, own in aside.items()}).select(docs.columns)
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
     labels = queries.table(spark, sf_dir, "labels")
-    judged = quality.classify(docs, labels, learn=queries.not_held_out(3, 1))
-    return judged.filter("predicted = 1").select(docs.columns)
+
+    def accepted(rows: DataFrame) -> DataFrame:
+        return quality.classify(rows, labels, learn=queries.not_held_out(3, 1)).filter("predicted = 1")
+
+    return _without(docs, ("score", "predicted"), accepted)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that came before; those of which nothing is left go."""
-    rows = fuzzy_lines.without_repeated_lines(docs, settings=fuzzy_lines.EVERY_LINE)
-    rows = rows.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+    def left(rows: DataFrame) -> DataFrame:
+        rows = fuzzy_lines.without_repeated_lines(rows, settings=fuzzy_lines.EVERY_LINE)
+        rows = rows.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
+        return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+    return _without(docs, ("n_lines", "n_dropped"), left)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
