@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from ledgerloom.llm import queries
 from tests.comparison import compare
-from tests.llm.samples import SCHEMA, changed, prose
+from tests.llm.samples import ROWS, SCHEMA, changed, messy, prose
 
 
 @pytest.mark.parametrize("name", sorted(queries.statements()))
@@ -63,3 +63,17 @@ def test_stages_keep_the_columns(spark, sample_folder):
         out = stage(spark, docs, sample_folder)
         assert out.schema.simpleString() == docs.schema.simpleString() and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sample_folder).filter(F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_on_messy_tables(spark, sample_folder, number):
+    """Nulls, repeated rows, long texts, and columns with the names that stages set: all columns come out as they went in."""
+    docs = messy(spark).withColumns({"n_lines": F.lit("clash"), "n_dropped": F.lit("clash")})
+    rows = corpus_pipeline.STAGES[number][1](spark, docs, sample_folder)
+    assert rows.schema.simpleString() == docs.schema.simpleString()
+    found = rows.collect()
+    assert 0 < len(found) <= ROWS
+    assert {r[c] for r in found for c in ("score", "predicted", "n_lines", "n_dropped", "node")} == {"clash"}
+    texts = {r.text for r in docs.collect()}
+    # The lines stage cuts the text that repeats another one's line; the others leave texts alone.
+    assert {r.text for r in found} <= texts | {prose(3)}
