@@ -20,7 +20,7 @@ Texts are compared once each: exact copies share the node of their text.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -164,10 +164,11 @@ def sketches(documents: DataFrame, id: str, text: str, cells: np.ndarray, texts:
 WANTED_BITS = 24
 
 
-def asked_rows(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """(node, text) of the texts that `nodes` names, and of some others by chance.
+def asked_rows(documents: DataFrame, text: str, nodes: DataFrame) -> tuple[DataFrame, Callable]:
+    """(node, text, place) of all rows, and what picks from their batches those of the texts that `nodes` names.
 
-    A bitmap of fixed size spares most other texts; nothing is shuffled.
+    A bitmap of fixed size tells them, and lets some others through by chance; nothing is shuffled. The picking is left to
+    the function that reads the batches, so that a task needs no Python process more for it.
     """
     place = F.pmod(F.xxhash64("node"), F.lit(1 << WANTED_BITS))
     bits = nodes.select(F.shiftright(place, 6).alias("at"), F.expr("shiftleft(1L, cast(pmod(xxhash64(node), 64) as int))").alias("bits"))
@@ -181,20 +182,20 @@ def asked_rows(documents: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
             at = batch.column("place").to_numpy()
             yield batch.select(["node", "text"]).filter(pa.array((asked.value[at >> 6] >> (at & 63) & 1).astype(bool)))
 
-    rows = documents.select(text_key(text).alias("node"), F.col(text).alias("text")).withColumn("place", place)
-    return rows.mapInArrow(choose, "node binary, text string")
+    return documents.select(text_key(text).alias("node"), F.col(text).alias("text")).withColumn("place", place), choose
 
 
 def further_samples(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray, texts: int, settings: Settings) -> DataFrame:
     """(node, fine): further samples of the texts that `nodes` names, and of some others by chance."""
     shared = documents.sparkSession.sparkContext.broadcast(cells)
+    rows, choose = asked_rows(documents, text, nodes)
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(settings.fine, settings.seed + 1)
-        for block, names in _drawn(batches, sampler, np.uint8, shared.value, texts, settings):
+        for block, names in _drawn(choose(batches), sampler, np.uint8, shared.value, texts, settings):
             yield pa.RecordBatch.from_arrays([block.column("node"), names], ["node", "fine"])
 
-    drawn = asked_rows(documents, text, nodes).mapInArrow(draw, "node binary, fine binary").filter("fine is not null")
+    drawn = rows.mapInArrow(draw, "node binary, fine binary").filter("fine is not null")
     return drawn.groupBy("node").agg(F.first("fine").alias("fine"))
 
 
@@ -231,7 +232,8 @@ def weighed(documents: DataFrame, text: str, nodes: DataFrame, cells: np.ndarray
                 ["node", "hashes", "weights"],
             )
 
-    wanted = asked_rows(documents, text, nodes).join(nodes, "node", "left_semi")
+    rows, choose = asked_rows(documents, text, nodes)
+    wanted = rows.mapInArrow(choose, "node binary, text string").join(nodes, "node", "left_semi")
     rows = wanted.mapInArrow(weigh, "node binary, hashes binary, weights binary")
     return rows.groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("weights").alias("weights"))
 
