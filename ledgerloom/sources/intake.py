@@ -2,20 +2,22 @@
 
 Folders are listed in tasks, level by level, and the names go to a table in the shared
 folder: the driver sees the paths it was given and nothing else. Small files are landed
-in containers of many; what is read from a file can carry its place in the order of
+in containers of many; archives are containers already and are read where they lie, member by member.
+What is read from a file can carry its place in the order of
 loading: the given path, the file in it, the first byte of the part read, and the row in that
 part.
 """
 
 from __future__ import annotations
 
+import tarfile
 from collections.abc import Callable, Iterator, Sequence
 from fnmatch import fnmatchcase
 from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.checkpoints import scratch_folder
@@ -26,6 +28,8 @@ LOAD_ORDER = ["load_rank", "load_path", "load_start", "load_row"]
 LOAD_TYPES = "load_rank int, load_path string, load_start long, load_row long"
 
 _FOUND = "load_rank int, load_path string, size long, folder boolean, rest array<string>"
+#: Endings of archives of many files.
+ARCHIVES = (".tar", ".tar.gz", ".tgz", ".tar.zst")
 #: Bytes of small files that a task reads, and that go into one batch.
 TASK_BYTES, BATCH_BYTES = 64 << 20, 8 << 20
 
@@ -122,28 +126,66 @@ def file_name(path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
+_LANDED = "load_rank int, load_path string, source_file string, content binary"
+
+
+def _contents(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.string(), pa.string(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["load_rank", "load_path", "source_file", "content"])
+
+
 def landed(files: DataFrame) -> DataFrame:
     """(load_rank, load_path, source_file, content) of the files, in containers under the shared folder."""
-    schema = "load_rank int, load_path string, source_file string, content binary"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int32(), pa.string(), pa.string(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["load_rank", "load_path", "source_file", "content"])
-
         held, size = [], 0
         for given in batches:
             for rank, path, expected in zip(*(given.column(c).to_pylist() for c in ("load_rank", "load_path", "size")), strict=True):
                 if held and size + expected > BATCH_BYTES:
-                    yield batch(held)
+                    yield _contents(held)
                     held, size = [], 0
                 store, inner = store_of(path)
                 with store.open_input_stream(inner) as stream:
                     held.append((rank, path, file_name(path), stream.read()))
                 size += expected
         if held:
-            yield batch(held)
+            yield _contents(held)
 
     kept = scratch_folder(files.sparkSession, "containers")
-    dealt(files).mapInArrow(read, schema).write.parquet(kept)
-    return files.sparkSession.read.schema(schema).parquet(kept)
+    dealt(files).mapInArrow(read, _LANDED).write.parquet(kept)
+    return files.sparkSession.read.schema(_LANDED).parquet(kept)
+
+
+def is_archive(path: str) -> Column:
+    return reduce(Column.__or__, [F.lower(path).endswith(e) for e in ARCHIVES])
+
+
+def unpacked(archives: DataFrame, ending: str) -> DataFrame:
+    """(load_rank, load_path, source_file, content) of the files with the ending inside archives.
+
+    An archive is read once from front to end by one task, which holds some members at a time. The path of a member is that
+    of its archive and its own name. Names that begin with _ or . are passed over.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for given in batches:
+            for rank, path in zip(*(given.column(c).to_pylist() for c in ("load_rank", "load_path")), strict=True):
+                store, inner = store_of(path)
+                # The stream undoes what the ending tells of; tarfile finds out the rest.
+                with store.open_input_stream(inner) as stream, tarfile.open(fileobj=stream, mode="r|*", bufsize=1 << 20) as archive:
+                    while (member := archive.next()) is not None:
+                        # tarfile would remember all of them.
+                        archive.members = []
+                        name = file_name(member.name)
+                        if not member.isfile() or name.startswith(("_", ".")) or not name.lower().endswith(ending):
+                            continue
+                        if held and size + member.size > BATCH_BYTES:
+                            yield _contents(held)
+                            held, size = [], 0
+                        held.append((rank, f"{path}/{member.name}", name, archive.extractfile(member).read()))
+                        size += member.size
+        if held:
+            yield _contents(held)
+
+    return dealt(archives).mapInArrow(read, _LANDED)
