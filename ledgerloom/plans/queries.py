@@ -8,7 +8,7 @@ the shared one.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from ledgerloom.operators.checkpoints import scratch_folder
 from ledgerloom.plans import dashboard
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
+from ledgerloom.session import keep_compiled
 from ledgerloom.sources import csv_batches, runs, signatures, star_schema, xml_documents
 from ledgerloom.sources.datasets import read_dataset
 from ledgerloom.sources.history import LineHistory
@@ -35,8 +36,13 @@ _registry: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    _registry[function.__name__] = function
-    return function
+    @wraps(function)
+    def compiled(spark: SparkSession, folder: str) -> DataFrame:
+        keep_compiled(spark)
+        return function(spark, folder)
+
+    _registry[function.__name__] = compiled
+    return compiled
 
 
 def registry() -> dict[str, Query]:
@@ -669,4 +675,9 @@ def providers_credit_carry(spark: SparkSession, folder: str) -> DataFrame:
     return providers.providers(tables.lines, tables.notes, edited)
 
 
-_registry["providers"] = lambda spark, folder: Tables(spark, folder).providers
+def _providers(spark: SparkSession, folder: str) -> DataFrame:
+    return Tables(spark, folder).providers
+
+
+_providers.__name__ = "providers"
+query(_providers)
