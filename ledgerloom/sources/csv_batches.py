@@ -7,12 +7,14 @@ all files and would put values under wrong names.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
+from pyarrow import csv as pa_csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,8 +24,8 @@ from ledgerloom.operators.columns import require_columns
 from ledgerloom.schemas import PREPARED_COLUMNS
 from ledgerloom.sources.intake import LOAD_ORDER, LOAD_TYPES, TASK_BYTES, dealt, file_name, listed, store_of
 
-#: Records of a batch.
-BATCH = 8192
+#: Records of a batch, and bytes of a block of lines that are parsed together.
+BATCH, BLOCK_BYTES = 8192, 2 << 20
 _LONGEST_FIELD = (1 << 31) - 1
 
 
@@ -45,10 +47,52 @@ def _headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("load_rank"), batch.column("load_path"), headers], ["load_rank", "load_path", "header"])
 
 
-def _whole(path: str) -> Iterator[list[str]]:
-    """The records of a file after its header; line breaks may stand inside quotes."""
-    with _open(path) as lines:
-        yield from islice(csv.reader(lines), 1, None)
+def _rest(path: str, start: int) -> Iterator[list[str]]:
+    """The records from byte `start`, which begins a line, to the end of the file."""
+    store, inner = store_of(path)
+    with store.open_input_file(inner) as file:
+        file.seek(start)
+        yield from csv.reader(io.TextIOWrapper(file, encoding="utf-8" if start else "utf-8-sig", errors="replace", newline=""))
+
+
+def _blocks(path: str) -> Iterator[pa.RecordBatch | Iterable[list[str]]]:
+    """The records of a file without its header, in blocks: as a batch of text columns where all agree in width.
+
+    Without quotes a line is a record, so blocks of whole lines are parsed by Arrow. Records of unequal widths, and all from
+    the first quote on, go through the standard reader.
+    """
+    store, inner = store_of(path)
+    with store.open_input_stream(inner) as stream:
+        file = io.BufferedReader(stream, 1 << 20)
+        first = file.readline(BLOCK_BYTES)
+        # Headers beyond one plain line are left to the standard reader.
+        if not first.endswith(b"\n") or b'"' in first or b"\r" in first[:-2] or not first.strip():
+            yield islice(_rest(path, 0), 1, None)
+            return
+        at, width = len(first), first.count(b",") + 1
+        names = [str(k) for k in range(width)]
+        reading = pa_csv.ReadOptions(use_threads=False, column_names=names, block_size=4 * BLOCK_BYTES)
+        parsing = pa_csv.ParseOptions(quote_char=False)
+        typing = pa_csv.ConvertOptions(column_types={n: pa.string() for n in names}, strings_can_be_null=False)
+        while block := file.read(BLOCK_BYTES):
+            if not block.endswith(b"\n"):
+                block += file.readline(BLOCK_BYTES)
+            whole = block.endswith(b"\n") or not file.peek(1)
+            if not whole or b'"' in block:
+                yield _rest(path, at)
+                return
+            lines: pa.Table | None = None
+            if b"\0" not in block and not block.startswith(codecs.BOM_UTF8):
+                try:
+                    lines = pa_csv.read_csv(io.BytesIO(block), reading, parsing, typing)
+                except pa.ArrowInvalid:
+                    # Unequal widths, or bytes that are no text.
+                    pass
+            if lines is None:
+                yield csv.reader(io.StringIO(block.decode("utf-8", "replace"), newline=""))
+            else:
+                yield from lines.combine_chunks().to_batches()
+            at += len(block)
 
 
 def _part(path: str, start: int, stop: int) -> Iterator[list[str]]:
@@ -67,6 +111,19 @@ def _part(path: str, start: int, stop: int) -> Iterator[list[str]]:
             yield next(csv.reader([line.decode("utf-8", "replace")]), [])
 
 
+def _columns(block: pa.RecordBatch | Iterable[list[str]], width: int) -> Iterator[list[pa.Array]]:
+    """The columns of a block, for some records at a time; records are filled up or cut to the width."""
+    if isinstance(block, pa.RecordBatch):
+        if block.num_rows:
+            yield block.columns
+        return
+    records = (r for r in block if r)
+    while some := list(islice(records, BATCH)):
+        if any(len(r) != width for r in some):
+            some = [(r + [""] * (width - len(r)))[:width] for r in some]
+        yield [pa.array(column, pa.string()) for column in zip(*some)]
+
+
 def _reader(columns: list[str], multi_line: bool, load_order: bool) -> Callable:
     """Reads parts of files as batches of all the columns; what a file lacks is ""."""
     places = {c.lower(): k for k, c in enumerate(columns)}
@@ -90,14 +147,11 @@ def _reader(columns: list[str], multi_line: bool, load_order: bool) -> Callable:
                 if header not in known:
                     known[header] = sources(header)
                 width, number = len(header), 0
-                records = _whole(path) if multi_line else _part(path, start, min(start + TASK_BYTES, part["size"]))
-                records = (r for r in records if r)
-                while some := list(islice(records, BATCH)):
-                    if any(len(r) != width for r in some):
-                        some = [(r + [""] * (width - len(r)))[:width] for r in some]
-                    values, n = list(zip(*some)), len(some)
+                blocks = _blocks(path) if multi_line else [_part(path, start, min(start + TASK_BYTES, part["size"]))]
+                for values in (v for block in blocks for v in _columns(block, width)):
+                    n = len(values[0])
                     arrays = [
-                        pa.array(values[k], pa.string()) if k is not None else pa.repeat(pa.scalar(file_name(path) if c == "SourceFile" else ""), n)
+                        values[k] if k is not None else pa.repeat(pa.scalar(file_name(path) if c == "SourceFile" else ""), n)
                         for c, k in zip(columns, known[header], strict=True)
                     ]
                     if load_order:
