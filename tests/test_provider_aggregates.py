@@ -13,3 +13,8 @@ def test_lines_are_not_sorted_for_names(spark, name):
     at = {kind: [i for i, line in enumerate(plan) if kind in line] for kind in ("SortAggregate", "HashAggregate")}
     # Two steps of both kinds follow upon the lines; those that sort come last, which is on top.
     assert at["HashAggregate"] and max(at["SortAggregate"], default=-1) < min(at["HashAggregate"])
+
+
+def test_lines_are_put_together_once_for_two_builds(spark):
+    plan = queries()["providers_credit_carry"](spark, SMALLEST)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
