@@ -1,6 +1,6 @@
 """Column helpers: pure ``Column -> Column`` functions, no actions."""
 
-from ledgerloom.functions.amounts import as_text, r2, to_double
+from ledgerloom.functions.amounts import as_text, r2, to_cents, to_double
 from ledgerloom.functions.names import (
     TABLE_NAME,
     blank_to_null,
@@ -22,6 +22,7 @@ __all__ = [
     "quoted",
     "r2",
     "strip",
+    "to_cents",
     "to_double",
     "to_timestamp",
 ]

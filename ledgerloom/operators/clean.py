@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import blank_to_null, provider_name, r2, to_double, to_timestamp
+from ledgerloom.functions import blank_to_null, provider_name, to_cents, to_double, to_timestamp
 from ledgerloom.operators.columns import missing_columns, with_optional_columns
 from ledgerloom.operators.dedupe import dedupe_lines
 from ledgerloom.schemas import (
@@ -56,7 +56,7 @@ def _discount() -> Column:
     """Gross less net, never below zero and never null."""
     zero = F.lit(0.0)
     gross, net = F.coalesce(_amount("MontoTotal"), zero), F.coalesce(_amount("SubTotal"), zero)
-    return r2(F.greatest(gross - net, zero))
+    return to_cents(F.greatest(gross - net, zero))
 
 
 def _as_of(moment: datetime | str | None) -> Column:
@@ -92,23 +92,23 @@ def clean_invoice_lines(
         _rate().alias("tipo_cambio"),
         _key("NumeroLinea").alias("numero_linea"),
         F.col("CodigoCABYS").alias("codigo_cabys"),
-        r2(_amount("Cantidad")).alias("cantidad"),
+        to_cents(_amount("Cantidad")).alias("cantidad"),
         F.col("UnidadMedida").alias("unidad_medida"),
         F.col("TipoTransaccion").alias("tipo_transaccion"),
         F.col("Detalle").alias("detalle"),
-        r2(_amount("PrecioUnitario")).alias("precio_unitario"),
-        r2(_amount("MontoTotal")).alias("monto_total"),
-        r2(_amount("SubTotal")).alias("subtotal"),
-        r2(_amount("BaseImponible")).alias("base_imponible"),
-        r2(_amount("ImpuestoNeto")).alias("impuesto_neto"),
-        r2(_amount("MontoTotalLinea")).alias("monto_total_linea"),
+        to_cents(_amount("PrecioUnitario")).alias("precio_unitario"),
+        to_cents(_amount("MontoTotal")).alias("monto_total"),
+        to_cents(_amount("SubTotal")).alias("subtotal"),
+        to_cents(_amount("BaseImponible")).alias("base_imponible"),
+        to_cents(_amount("ImpuestoNeto")).alias("impuesto_neto"),
+        to_cents(_amount("MontoTotalLinea")).alias("monto_total_linea"),
         F.col("Impuesto_Codigo").alias("impuesto_codigo"),
         F.col("Impuesto_CodigoTarifaIVA").alias("impuesto_codigo_tarifa_iva"),
-        r2(_amount("Impuesto_Tarifa")).alias("impuesto_tarifa"),
-        r2(_amount("Impuesto_Monto")).alias("impuesto_monto"),
+        to_cents(_amount("Impuesto_Tarifa")).alias("impuesto_tarifa"),
+        to_cents(_amount("Impuesto_Monto")).alias("impuesto_monto"),
         _discount().alias("descuento_estimado"),
     )
-    return typed.withColumns({f"{c}_crc": r2(F.col(c) * F.col("tipo_cambio")) for c in CONVERTED})
+    return typed.withColumns({f"{c}_crc": to_cents(F.col(c) * F.col("tipo_cambio")) for c in CONVERTED})
 
 
 def clean_credit_note_lines(raw: DataFrame) -> DataFrame:
@@ -137,14 +137,14 @@ def clean_credit_note_lines(raw: DataFrame) -> DataFrame:
         F.col("CodigoCABYS").alias("codigo_cabys"),
         F.col("Detalle").alias("detalle"),
         F.col("UnidadMedida").alias("unidad_medida"),
-        r2(_amount("Cantidad")).alias("cantidad"),
-        r2(_amount("PrecioUnitario")).alias("precio_unitario"),
-        r2(_amount("SubTotal")).alias("subtotal"),
-        r2(_amount("ImpuestoNeto")).alias("impuesto_neto"),
-        r2(_amount("MontoTotalLinea")).alias("monto_total_linea"),
-        r2(_amount("Impuesto_Tarifa")).alias("impuesto_tarifa"),
-        r2(_amount("Impuesto_Monto")).alias("impuesto_monto"),
-        r2(_amount("MontoTotalLinea") * _rate()).alias("monto_total_linea_crc"),
+        to_cents(_amount("Cantidad")).alias("cantidad"),
+        to_cents(_amount("PrecioUnitario")).alias("precio_unitario"),
+        to_cents(_amount("SubTotal")).alias("subtotal"),
+        to_cents(_amount("ImpuestoNeto")).alias("impuesto_neto"),
+        to_cents(_amount("MontoTotalLinea")).alias("monto_total_linea"),
+        to_cents(_amount("Impuesto_Tarifa")).alias("impuesto_tarifa"),
+        to_cents(_amount("Impuesto_Monto")).alias("impuesto_monto"),
+        to_cents(_amount("MontoTotalLinea") * _rate()).alias("monto_total_linea_crc"),
     )
 
 

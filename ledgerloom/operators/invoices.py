@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import quoted, r2, to_double
+from ledgerloom.functions import quoted, r2, to_cents, to_double
 from ledgerloom.operators.columns import require_columns
 from ledgerloom.operators.providers import total
 from ledgerloom.schemas import REVIEW_HEADINGS
@@ -25,7 +25,7 @@ def facturas_individuales(invoice_lines: DataFrame) -> DataFrame:
 
 def _at_rate(amount: str, rate: int) -> Column:
     counted = F.when(F.col("impuesto_tarifa") == rate, F.coalesce(F.col(amount), F.lit(0.0)))
-    return r2(F.sum(counted.otherwise(F.lit(0.0)))).alias(f"{amount} {rate}")
+    return to_cents(F.sum(counted.otherwise(F.lit(0.0)))).alias(f"{amount} {rate}")
 
 
 def invoice_summary(invoice_lines: DataFrame) -> DataFrame:

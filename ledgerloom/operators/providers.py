@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import blank_to_null, provider_id, r2
+from ledgerloom.functions import blank_to_null, provider_id, to_cents
 from ledgerloom.operators.columns import has_column
 
 
@@ -17,7 +17,7 @@ def with_provider_id(lines: DataFrame) -> DataFrame:
 
 def total(amount: str) -> Column:
     """Sum of a cents column, nulls as zero, back to cents."""
-    return r2(F.sum(F.coalesce(F.col(amount), F.lit(0.0))))
+    return to_cents(F.sum(F.coalesce(F.col(amount), F.lit(0.0))))
 
 
 def of_known_providers(lines: DataFrame) -> DataFrame:

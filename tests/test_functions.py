@@ -1,3 +1,4 @@
+import decimal
 import math
 
 import duckdb
@@ -5,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import as_text, check_table_name, provider_id, quoted, r2, strip, to_double, to_timestamp
+from __spark_entry__ import queries
+from ledgerloom.functions import as_text, check_table_name, provider_id, quoted, r2, strip, to_cents, to_double, to_timestamp
 
 
 def _column(spark, values, kind, make):
@@ -24,6 +26,23 @@ def test_rounding_keeps_non_finite(spark):
     assert found[:2] == [math.inf, -math.inf] and math.isnan(found[2])
 
 
+def test_cents_are_what_rounding_gives(spark):
+    odd = [0.0, -0.0, -0.001, 0.0049999999999999994, 0.005, 0.015, 0.025, -0.005, -0.025, 45035996273704.955, 9e15, 1e17, 1e300, 5e-324]
+    values = [*odd, math.inf, -math.inf, math.nan, None, *[i / 200 for i in range(-999, 999)], *[i * 0.1 * 512.5 for i in range(999)]]
+    assert list(map(repr, _column(spark, values, "double", to_cents))) == list(map(repr, _column(spark, values, "double", r2)))
+
+
+def test_large_numbers_in_shortest_digits(spark):
+    values = [1e7, -1e7, 12345678.91, 9999999.999999998, 10000000.000000002, 123456789012345.67, -98765432.1, 2.0**53, 0.001, 0.0]
+    expected = [format(decimal.Decimal(repr(v)), "f") for v in values]
+    assert _column(spark, values, "double", lambda c: as_text(c, T.DoubleType())) == [x if "." in x else f"{x}.0" for x in expected]
+
+
+def test_amounts_are_not_rounded_by_way_of_decimals(spark):
+    lines = queries()["clean_invoice_lines"](spark, "/root/testdata/sf0.001")
+    assert "round(" not in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize(
     ("text", "number"),
     [
