@@ -18,3 +18,8 @@ def test_lines_are_not_sorted_for_names(spark, name):
 def test_lines_are_put_together_once_for_two_builds(spark):
     plan = queries()["providers_credit_carry"](spark, SMALLEST)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan
+
+
+def test_prices_of_all_providers_do_not_put_lines_in_order(spark):
+    files = queries()["provider_product_prices"](spark, SMALLEST).inputFiles()
+    assert files and not any("/provider_lines/" in f for f in files)
