@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import queries
+from ledgerloom.plans.queries import DerivedTables, Tables
 
 SMALLEST = "/root/testdata/sf0.001"
 
@@ -23,3 +24,8 @@ def test_lines_are_put_together_once_for_two_builds(spark):
 def test_prices_of_all_providers_do_not_put_lines_in_order(spark):
     files = queries()["provider_product_prices"](spark, SMALLEST).inputFiles()
     assert files and not any("/provider_lines/" in f for f in files)
+
+
+def test_tables_that_are_counted_are_made_of_the_columns_they_read(spark):
+    lines = DerivedTables(spark, SMALLEST).lines
+    assert len(lines.columns) == 14 and lines.count() == Tables(spark, SMALLEST).lines.count()
