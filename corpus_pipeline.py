@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import contamination, fuzzy_lines, near_duplicates, packing, quality, queries
 from ledgerloom.llm.tables import written
+from ledgerloom.session import keep_batches_small
 
 
 def _without(docs: DataFrame, names: tuple[str, ...], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -24,6 +25,7 @@ def _without(docs: DataFrame, names: tuple[str, ...], stage: Callable[[DataFrame
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
+    keep_batches_small(spark)
     labels = queries.table(spark, sf_dir, "labels")
 
     def accepted(rows: DataFrame) -> DataFrame:
