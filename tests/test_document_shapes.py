@@ -53,3 +53,72 @@ def test_routing_agrees_with_reading(text, encoding):
     content = text.encode(encoding)
     routed, read = _Document(content, with_lines=False), _Document(content)
     assert (routed.kind, routed.reason) == (read.kind, read.reason)
+
+
+ODD = [
+    TEXT.format("a &amp; &lt;b&gt; &quot;c&quot; &apos;d&apos; &amp;lt;", LINE.format("", " \t\n")),
+    TEXT.format("&#65;", ""),
+    TEXT.format("&nbsp;", ""),
+    TEXT.format("a > b", ""),
+    TEXT.format("a ]]> b", ""),
+    TEXT.format("a\rb\r\nc", ""),
+    TEXT.format("a\x01b", ""),
+    TEXT.format("a￾b", ""),
+    TEXT.format("ñ\U0001f600\x85", LINE.format("ó", "ú")),
+    TEXT.format("<![CDATA[<Clave>]]>", ""),
+    TEXT.format("a<!-- <x> -->b", ""),
+    TEXT.format("a<?x <y>?>b", ""),
+    TEXT.format("k", LINE.format("d<b>e</b>f", "t")) + "\n",
+    TEXT.format("k", "") + "more",
+    "text" + TEXT.format("k", ""),
+    "﻿" + TEXT.format("k", ""),
+    "\n" + TEXT.format("k", ""),
+    '<?xml version="1.0" encoding="UTF-8"?>\n' + TEXT.format("é", ""),
+    ' <?xml version="1.0" encoding="UTF-8"?>' + TEXT.format("é", ""),
+    '<?xml version="1.0" encoding="ISO-8859-1"?>' + TEXT.format("é", ""),
+    TEXT.format("k", "").replace("<Clave>", "<Clave a='>'>"),
+    TEXT.format("k", "").replace("<Clave>", """<Clave a="'" b='>'>"""),
+    TEXT.format("k", "").replace("<Clave>", '<Clave a="&quot;"   b = "2">'),
+    TEXT.format("k", "").replace("</Clave>", "</Clave\n>"),
+    TEXT.format("k", "").replace("<FacturaElectronica>", '<x:FacturaElectronica xmlns:x="u" xmlns="u">').replace("</Factura", "</x:Factura"),
+    TEXT.format("k", "").replace("FacturaElectronica", "MensajeHacienda"),
+    "<a>x>b>y</a>",
+    "<<a>>",
+    "&<a/>",
+]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1", "utf-16", None])
+@pytest.mark.parametrize("text", ODD)
+def test_tags_tell_what_the_parser_tells(monkeypatch, text, encoding):
+    for name, known in (("_skeletons", {}), ("_roots", {}), ("_shapes", {})):
+        monkeypatch.setattr(xml_documents, name, known)
+    content = text.encode(encoding, "replace") if encoding else text
+
+    def told():
+        read, routed = _Document(content), _Document(content, with_lines=False)
+        return read.kind, read.reason, list(read.rows("f", content)), routed.kind, routed.reason
+
+    found = [told(), told()]
+    monkeypatch.setattr(xml_documents, "_parts", lambda content: ("", []))
+    assert found == [told(), told()]
+
+
+def test_texts_that_may_not_stand_there_are_found(monkeypatch):
+    """Documents with the tags of one that is known, and something else between them."""
+    monkeypatch.setattr(xml_documents, "_skeletons", {})
+    good = TEXT.format("k", LINE.format("d", "t"))
+    assert _Document(good).kind == "FACTURA"
+    for bad in (good + "x", "x" + good, good.replace(">k<", ">&k;<"), good.replace(">k<", ">]]><"), good.replace(">k<", ">\x02<")):
+        assert _Document(bad).reason == "malformed" and _Document(bad.encode()).reason == "malformed"
+
+
+def test_second_document_with_the_same_tags_needs_no_parser(monkeypatch):
+    monkeypatch.setattr(xml_documents, "_skeletons", {})
+    monkeypatch.setattr(xml_documents, "_roots", {})
+    first, second = (TEXT.format(k, LINE.format(f"{k} &amp; {k}", k)) for k in "xy")
+    assert _Document(first).kind == _Document(first, with_lines=False).kind == "FACTURA"
+    monkeypatch.setattr(xml_documents.ElementTree, "XMLParser", None)
+    monkeypatch.setattr(xml_documents.expat, "ParserCreate", None)
+    row = next(_Document(second).rows("f", second))
+    assert row[0] == "f" and "y & y" in row and _Document(second, with_lines=False).kind == "FACTURA"
