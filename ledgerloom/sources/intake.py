@@ -10,10 +10,12 @@ part.
 
 from __future__ import annotations
 
+import io
 import tarfile
 from collections.abc import Callable, Iterator, Sequence
 from fnmatch import fnmatchcase
 from functools import reduce
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
@@ -160,6 +162,74 @@ def is_archive(path: str) -> Column:
     return reduce(Column.__or__, [F.lower(path).endswith(e) for e in ARCHIVES])
 
 
+class _Rest:
+    """A stream whose next bytes have been taken from it already."""
+
+    def __init__(self, taken: bytes, stream: BinaryIO):
+        self.taken, self.stream = taken, stream
+
+    def read(self, n: int) -> bytes:
+        if not self.taken:
+            return self.stream.read(n)
+        out, self.taken = self.taken[:n], self.taken[n:]
+        return out
+
+
+def _opened(stream: BinaryIO) -> Iterator[tuple[str, int, Callable[[], bytes]]]:
+    """(name, size, reading) of the files of a tar archive, one after the other, as the standard reader finds them."""
+    # The stream undoes what the ending tells of; tarfile finds out the rest.
+    with tarfile.open(fileobj=stream, mode="r|*", bufsize=1 << 20) as archive:
+        while (member := archive.next()) is not None:
+            # tarfile would remember all of them.
+            archive.members = []
+            if member.isfile():
+                yield member.name, member.size, archive.extractfile(member).read
+
+
+def _plain_size(header: bytes) -> int | None:
+    """The size of a plain file, by its header; None of any other header."""
+    if len(header) < tarfile.BLOCKSIZE or header[156:157] != tarfile.REGTYPE or header[257:262] != b"ustar" or header[345] or header[135] not in b"\0 ":
+        return None
+    try:
+        right = int(header[148:154], 8) == 256 + sum(header[:148]) + sum(header[156:])
+        return int(header[124:135], 8) if right else None
+    except ValueError:
+        return None
+
+
+def members(stream: BinaryIO) -> Iterator[tuple[str, int, Callable[[], bytes]]]:
+    """The same, with the headers of plain files read here; from the first other member on, the standard reader goes on."""
+    raw = io.BufferedReader(stream, 1 << 20)
+    block, first = tarfile.BLOCKSIZE, True
+    while True:
+        header = raw.read(block)
+        size = _plain_size(header)
+        if size is None:
+            try:
+                if not first:
+                    tarfile.TarInfo.frombuf(header, tarfile.ENCODING, "surrogateescape")
+            except tarfile.HeaderError:
+                # Where the standard reader ends as well; of the first header it makes an error.
+                return
+            yield from _opened(_Rest(header, raw))
+            return
+        first = False
+        name = header[: header.index(0)] if not header[99] else header[:100]
+        taken = False
+
+        def content(size: int = size) -> bytes:
+            nonlocal taken
+            taken = True
+            found, filling = raw.read(size), -size % block
+            if len(found) < size or len(raw.read(filling)) < filling:
+                raise tarfile.ReadError("unexpected end of data")
+            return found
+
+        yield name.decode(tarfile.ENCODING, "surrogateescape"), size, content
+        if not taken:
+            content()
+
+
 def unpacked(archives: DataFrame, ending: str) -> DataFrame:
     """(load_rank, load_path, source_file, content) of the files with the ending inside archives.
 
@@ -172,19 +242,16 @@ def unpacked(archives: DataFrame, ending: str) -> DataFrame:
         for given in batches:
             for rank, path in zip(*(given.column(c).to_pylist() for c in ("load_rank", "load_path")), strict=True):
                 store, inner = store_of(path)
-                # The stream undoes what the ending tells of; tarfile finds out the rest.
-                with store.open_input_stream(inner) as stream, tarfile.open(fileobj=stream, mode="r|*", bufsize=1 << 20) as archive:
-                    while (member := archive.next()) is not None:
-                        # tarfile would remember all of them.
-                        archive.members = []
-                        name = file_name(member.name)
-                        if not member.isfile() or name.startswith(("_", ".")) or not name.lower().endswith(ending):
+                with store.open_input_stream(inner) as stream:
+                    for inside, n, content in members(stream):
+                        name = file_name(inside)
+                        if name.startswith(("_", ".")) or not name.lower().endswith(ending):
                             continue
-                        if held and size + member.size > BATCH_BYTES:
+                        if held and size + n > BATCH_BYTES:
                             yield _contents(held)
                             held, size = [], 0
-                        held.append((rank, f"{path}/{member.name}", name, archive.extractfile(member).read()))
-                        size += member.size
+                        held.append((rank, f"{path}/{inside}", name, content()))
+                        size += n
         if held:
             yield _contents(held)
 

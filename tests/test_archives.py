@@ -6,8 +6,9 @@ import tarfile
 
 import pytest
 
+from ledgerloom.plans import queries
 from ledgerloom.plans.queries import Tables
-from ledgerloom.sources import star_schema, xml_documents
+from ledgerloom.sources import intake, star_schema, xml_documents
 
 SMALLEST = "/root/testdata/sf0.001"
 NOTHING = "<FacturaElectronica><Clave>{}</Clave><DetalleServicio><LineaDetalle/></DetalleServicio></FacturaElectronica>"
@@ -49,3 +50,58 @@ def test_texts_of_documents_are_escaped(spark):
     raw = Tables(spark, SMALLEST).raw.limit(1).selectExpr("* except (Detalle, NumeroLinea)", "'a<b> & \"c\"' as Detalle", "'1' as NumeroLinea")
     for documents in (star_schema.line_documents(raw), star_schema.order_documents(raw)):
         assert xml_documents.flatten_documents(documents).first().Detalle == 'a<b> & "c"'
+
+
+def archive_of(members, **how) -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w", **how) as archive:
+        for name, content, kind in members:
+            member = tarfile.TarInfo(name)
+            member.type, member.size = kind, len(content)
+            archive.addfile(member, io.BytesIO(content))
+    return out.getvalue()
+
+
+MIXED = [("a.xml", b"1", tarfile.REGTYPE), ("d", b"", tarfile.DIRTYPE), ("b" * 100, b"2" * 512, tarfile.REGTYPE), ("ñ" * 40, b"", tarfile.REGTYPE), ("c/" * 60 + "c", b"3" * 700, tarfile.REGTYPE), ("old", b"5", tarfile.AREGTYPE), ("e", b"4", tarfile.REGTYPE)]
+
+
+def by_tarfile(content):
+    with tarfile.open(fileobj=io.BytesIO(content), mode="r|") as archive:
+        return [(m.name, m.size, archive.extractfile(m).read()) for m in archive if m.isfile()]
+
+
+def told(reading):
+    try:
+        return reading()
+    except tarfile.ReadError:
+        return "error"
+
+
+@pytest.mark.parametrize("how", [{"format": f} for f in (tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT)] + [{"pax_headers": {"comment": "x"}}])
+def test_members_are_those_of_the_standard_reader(how):
+    packed = archive_of(MIXED, **how)
+    for content in (packed, packed[: 512 * 3], packed[: 512 * 2 + 100], packed[:512] + b"1" + bytes(511) + b"?" * 512 + packed[1024:], packed + b"x"):
+        assert told(lambda: [(n, size, read()) for n, size, read in intake.members(io.BytesIO(content))]) == told(lambda: by_tarfile(content))
+    passed = [n for n, _, _ in intake.members(io.BytesIO(packed))]
+    assert passed == [n for n, _, k in MIXED if k != tarfile.DIRTYPE]
+
+
+def test_plain_members_take_no_standard_reader(monkeypatch):
+    packed = archive_of([("a.xml", b"1", tarfile.REGTYPE), ("b.xml", b"2" * 600, tarfile.REGTYPE)])
+    monkeypatch.setattr(intake.tarfile, "open", None)
+    assert [(n, read()) for n, _, read in intake.members(io.BytesIO(packed))] == [("a.xml", b"1"), ("b.xml", b"2" * 600)]
+    with pytest.raises(tarfile.ReadError):
+        list(intake.members(io.BytesIO(packed[: 512 * 4])))
+
+
+def test_landed_members_are_those_of_tarfile():
+    for name, content, _ in MIXED:
+        assert archive_of([(name, content, tarfile.REGTYPE)]).startswith(star_schema._member(name, content))
+
+
+def test_documents_of_lines_are_not_landed(spark, tmp_path, monkeypatch):
+    """The documents are many times the tables that they are made of."""
+    monkeypatch.setattr(queries, "scratch_folder", lambda spark, purpose: str(tmp_path / purpose))
+    documents = Tables(spark, SMALLEST).documents
+    lines = Tables(spark, SMALLEST).order_lines
+    assert documents.count() == lines.count() + lines.filter("l_returnflag = 'R'").count() and not os.listdir(tmp_path)
