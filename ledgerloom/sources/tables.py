@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions import check_table_name
+from ledgerloom.operators.checkpoints import shuffles_freed
 from ledgerloom.operators.columns import has_column
 from ledgerloom.operators.ordered_lag import ranged
 from ledgerloom.sources.files import path_exists, remove_folder, rename_folder, subfolders
@@ -77,7 +78,8 @@ class TableStore:
         path = f"{self.path(name)}/staged={uuid4().hex}"
         if cluster_by:
             df = ranged(df, cluster_by)
-        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        with shuffles_freed(self.spark):
+            df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         return Staged(name, path, counted.get["rows"])
 
     def switch(self, staged: Iterable[Staged]) -> None:
