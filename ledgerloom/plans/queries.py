@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import as_text, quoted
 from ledgerloom.operators import clean, dedupe, edits, export, invoices, prices, providers
 from ledgerloom.operators import preview as look
-from ledgerloom.operators.checkpoints import scratch_folder
+from ledgerloom.operators.checkpoints import scratch_folder, shuffles_freed
 from ledgerloom.plans import dashboard
 from ledgerloom.plans.workspace import Workspace
 from ledgerloom.schemas import PREPARED_COLUMNS, RAW_COLUMNS
@@ -238,9 +238,10 @@ def csv_batch_union(spark: SparkSession, folder: str) -> DataFrame:
         "a": raw.filter(returned).select(*[c for c in reversed(RAW_COLUMNS) if c not in ("SourceFile", "FechaEmision")]),
         "b": raw.filter(~returned).drop("Receptor_Nombre"),
     }
-    for name, frame in layouts.items():
-        frame.write.csv(f"{path}/{name}", header=True)
-    united = csv_batches.read_csv_batch(spark, [f"{path}/{name}" for name in layouts])
+    with shuffles_freed(spark):
+        for name, frame in layouts.items():
+            frame.write.csv(f"{path}/{name}", header=True, compression="gzip")
+    united = csv_batches.read_csv_batch(spark, [f"{path}/{name}" for name in layouts], packed=True)
     # Spark names its part files at random.
     return united.withColumn("SourceFile", F.regexp_replace("SourceFile", "^part-.*[.]csv$", "part.csv"))
 
@@ -248,8 +249,9 @@ def csv_batch_union(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def prepared_source_load(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "prepared-csv")
-    Tables(spark, folder).raw.select(*PREPARED_COLUMNS).write.csv(path, header=True)
-    return csv_batches.read_prepared_lines(spark, [path])
+    with shuffles_freed(spark):
+        Tables(spark, folder).raw.select(*PREPARED_COLUMNS).write.csv(path, header=True, compression="gzip")
+    return csv_batches.read_prepared_lines(spark, [path], packed=True)
 
 
 @query
@@ -396,7 +398,7 @@ def dedupe_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _loaded(frame: DataFrame) -> DataFrame:
     """Lines with their place in the order of loading, less the folders that are new in every run."""
-    file = F.element_at(F.split("load_path", "/"), -1)
+    file = F.regexp_replace(F.element_at(F.split("load_path", "/"), -1), "[.]zst$", "")
     return frame.select(*RAW_COLUMNS, "load_rank", file.alias("load_file"), "load_row")
 
 
@@ -404,9 +406,10 @@ def _loaded(frame: DataFrame) -> DataFrame:
 def dedupe_keep_first(spark: SparkSession, folder: str) -> DataFrame:
     """Lines loaded from CSV files: returned ones first, by file name, in files that run from large to small lines."""
     landed = scratch_folder(spark, "load-order")
-    star_schema.land_csv(star_schema.with_blank_keys(Tables(spark, folder).raw), landed)
+    star_schema.land_csv(Tables(spark, folder).order_lines, landed)
     given = [f"{landed}/returned", f"{landed}/others"]
-    return _loaded(dedupe.dedupe_keep_first(csv_batches.read_prepared_lines(spark, given, load_order=True), LOAD_ORDER))
+    lines = csv_batches.read_prepared_lines(spark, given, load_order=True, packed=True)
+    return _loaded(dedupe.dedupe_keep_first(lines, LOAD_ORDER))
 
 
 @query
@@ -619,9 +622,8 @@ def current_run(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def export_table(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_folder(spark, "export")
-    export.export_csv(
-        invoices.invoice_summary(Tables(spark, folder).lines), path, ["FECHA FACTURA", "PROVEEDOR", "FACTURA"]
-    )
+    summary = invoices.invoice_summary(Tables(spark, folder).lines)
+    export.export_csv(summary, path, ["FECHA FACTURA", "PROVEEDOR", "FACTURA"], compression="gzip")
     return spark.read.csv(path, header=True, escape='"')
 
 

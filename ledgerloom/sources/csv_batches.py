@@ -27,6 +27,18 @@ from ledgerloom.sources.intake import LOAD_ORDER, LOAD_TYPES, TASK_BYTES, dealt,
 #: Records of a batch, and bytes of a block of lines that are parsed together.
 BATCH, BLOCK_BYTES = 8192, 2 << 20
 _LONGEST_FIELD = (1 << 31) - 1
+#: Endings of compressed files, which the streams undo, and about how many bytes stand behind one of theirs.
+PACKED, UNPACKED_BYTES = (".gz", ".zst"), 8
+
+
+def _is_packed(path: str) -> bool:
+    return path.lower().endswith(PACKED)
+
+
+def _plain_name(path: str) -> str:
+    """The name of a file, of a compressed one that of what it holds."""
+    name = file_name(path)
+    return name.rpartition(".")[0] if _is_packed(name) else name
 
 
 def _open(path: str) -> io.TextIOWrapper:
@@ -50,8 +62,13 @@ def _headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rest(path: str, start: int) -> Iterator[list[str]]:
     """The records from byte `start`, which begins a line, to the end of the file."""
     store, inner = store_of(path)
-    with store.open_input_file(inner) as file:
-        file.seek(start)
+    with store.open_input_stream(inner) if _is_packed(path) else store.open_input_file(inner) as file:
+        if _is_packed(path):
+            before = start
+            while before and (passed := file.read(min(before, BLOCK_BYTES))):
+                before -= len(passed)
+        else:
+            file.seek(start)
         yield from csv.reader(io.TextIOWrapper(file, encoding="utf-8" if start else "utf-8-sig", errors="replace", newline=""))
 
 
@@ -147,11 +164,11 @@ def _reader(columns: list[str], multi_line: bool, load_order: bool) -> Callable:
                 if header not in known:
                     known[header] = sources(header)
                 width, number = len(header), 0
-                blocks = _blocks(path) if multi_line else [_part(path, start, min(start + TASK_BYTES, part["size"]))]
+                blocks = _blocks(path) if multi_line or _is_packed(path) else [_part(path, start, min(start + TASK_BYTES, part["size"]))]
                 for values in (v for block in blocks for v in _columns(block, width)):
                     n = len(values[0])
                     arrays = [
-                        values[k] if k is not None else pa.repeat(pa.scalar(file_name(path) if c == "SourceFile" else ""), n)
+                        values[k] if k is not None else pa.repeat(pa.scalar(_plain_name(path) if c == "SourceFile" else ""), n)
                         for c, k in zip(columns, known[header], strict=True)
                     ]
                     if load_order:
@@ -163,15 +180,20 @@ def _reader(columns: list[str], multi_line: bool, load_order: bool) -> Callable:
     return read
 
 
-def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False) -> DataFrame:
+def read_csv_batch(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False, packed: bool = False
+) -> DataFrame:
     """All files as text columns, united by column name; what is missing is "".
 
     Columns come in the order in which files bring them. ``SourceFile`` is the file name
     unless the files bring that column. A record with fewer values than its header is filled up, one with
     more is cut. Turn ``multi_line`` off for big files without line breaks inside quotes: they are then
-    split between tasks. ``load_order`` adds each row's place in the order of loading (``LOAD_ORDER``).
+    split between tasks. ``load_order`` adds each row's place in the order of loading (``LOAD_ORDER``). ``packed`` reads
+    compressed files (.csv.gz, .csv.zst) too, each by one task.
     """
-    files = listed(spark, paths, (".csv",), "CSV file")
+    files = listed(spark, paths, (".csv", *(f".csv{e}" for e in PACKED if packed)), "CSV file")
+    is_packed = F.lower("load_path").rlike(f"({'|'.join(PACKED)})$".replace(".", "[.]"))
+    files = files.withColumn("size", F.when(is_packed, F.col("size") * UNPACKED_BYTES).otherwise(F.col("size")))
     # Kept, so that the layouts come from one opening of every file.
     kept = scratch_folder(spark, "csv-headers")
     described = "load_rank int, load_path string, header array<string>"
@@ -190,7 +212,8 @@ def read_csv_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool =
     clashing = [c for c in LOAD_ORDER if load_order and c in columns]
     if clashing:
         raise ValueError(f"Columns of the files take the names of the load order: {clashing}")
-    starts = F.lit(0) if multi_line else F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(TASK_BYTES)))
+    last = F.when(is_packed, F.lit(0)).otherwise(F.greatest(F.col("size") - 1, F.lit(0)))
+    starts = F.lit(0) if multi_line else F.explode(F.sequence(F.lit(0), last, F.lit(TASK_BYTES)))
     parts = dealt(files.withColumn("start", starts.cast("long")) if multi_line else files.select("*", starts.alias("start")))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns.values()])
     if load_order:
@@ -212,6 +235,8 @@ def unrepeated(header: Sequence[str]) -> list[str]:
     return names
 
 
-def read_prepared_lines(spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False) -> DataFrame:
+def read_prepared_lines(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = True, load_order: bool = False, packed: bool = False
+) -> DataFrame:
     """A CSV batch that must bring every column of a prepared line file."""
-    return require_columns(read_csv_batch(spark, paths, multi_line, load_order), PREPARED_COLUMNS, "Prepared line file")
+    return require_columns(read_csv_batch(spark, paths, multi_line, load_order, packed), PREPARED_COLUMNS, "Prepared line file")
